@@ -133,14 +133,14 @@ def fit_features(df: DataFrame) -> FeatureState:
     )
 
 
-def transform(df: DataFrame, state: FeatureState, row_key: str = "transaction_id") -> DataFrame:
+def transform(df: DataFrame, state: FeatureState) -> DataFrame:
     """Add the feature columns, all 32-bit floats, in their fixed order.
 
     An ``hour`` column, where present and not NULL, overrides the timestamp.
     """
     hour = hour_of(override="hour" if "hour" in df.columns else None)
-    found = lookup(df, state.merchant_freq, "merchant_category", row_key, state.hot_categories, state.n_categories)
-    found = lookup(found, state.user_home, "user_id", row_key, state.hot_users, state.n_users)
+    found = lookup(df, state.merchant_freq, "merchant_category", state.hot_categories, state.n_categories)
+    found = lookup(found, state.user_home, "user_id", state.hot_users, state.n_users)
     angle = hour_angle(hour)
     values = (
         zscore(F.log1p(F.col("amount").cast("double")), state.amount_mean, state.amount_std),

@@ -18,20 +18,18 @@ def hot_keys(counts: DataFrame, key: str, total: int, table_rows: int, share: fl
     return [row[0] for row in counts.filter(F.col("n") > share * total).select(key).collect()]
 
 
-def lookup(
-    facts: DataFrame, table: DataFrame, key: str, row_key: str, hot: list, table_rows: int
-) -> DataFrame:
+def lookup(facts: DataFrame, table: DataFrame, key: str, hot: list, table_rows: int) -> DataFrame:
     """Left join of ``facts`` to a table with one row per ``key``.
 
     A table counted and found small is broadcast. Otherwise rows of hot keys are
-    spread over salts by ``row_key`` and the few matching table rows repeated.
+    spread over salts by their content and the few matching table rows repeated.
     """
     if table_rows <= BROADCAST_ROWS:
         return facts.join(F.broadcast(table), key, "left")
     if not hot:
         return facts.join(table, key, "left")
     is_hot = F.col(key).isin(hot)
-    spread = F.pmod(F.xxhash64(row_key), F.lit(SALTS)).cast("int")
+    spread = F.pmod(F.xxhash64(*facts.columns), F.lit(SALTS)).cast("int")
     salted = facts.withColumn("_salt", F.when(is_hot, spread).otherwise(0))
     repeats = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     repeated = table.withColumn("_salt", F.explode(repeats))

@@ -35,9 +35,9 @@ def add_raw_score(features: DataFrame, raw_score) -> DataFrame:
     return features.withColumn("raw", F.when(F.col(FEATURES[0]).isNotNull(), raw_score(*FEATURES)))
 
 
-def score_batch(df: DataFrame, model: Model, row_key: str = "transaction_id") -> DataFrame:
+def score_batch(df: DataFrame, model: Model) -> DataFrame:
     """``df`` with a ``score`` column; the features are not kept."""
-    scored = add_raw_score(transform(df, model.state, row_key), model.raw_score)
+    scored = add_raw_score(transform(df, model.state), model.raw_score)
     return scored.select(*df.columns, iforest.anomaly_score(F.col("raw"), model.offset).alias("score"))
 
 

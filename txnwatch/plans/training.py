@@ -31,7 +31,7 @@ def fit(
     per distinct raw score, from which the offset is an exact quantile.
     """
     state = fit_features(df)
-    features = transform(df, state, row_key)
+    features = transform(df, state)
     sub_sample = effective_sample(state.n_rows)
     nodes = materialize(fit_forest(features, state.n_rows, n_trees, sub_sample, seed, row_key), "forest")
     model = Model(state, nodes, n_trees, sub_sample, AUTO_OFFSET, str(contamination), seed)

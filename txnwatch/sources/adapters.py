@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from txnwatch.functions.scalar import to_iso
-from txnwatch.schemas import TRANSACTION
+from txnwatch.sources.streams import read_files
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,11 +28,11 @@ def _with_country(facts: DataFrame, spark: SparkSession, sf_dir: str, owner: str
     return facts.join(owners, F.col(fact_key) == F.col(key), how).join(F.broadcast(nation), "n_nationkey", how)
 
 
-def events_as_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` as unlabelled transactions, plus the numeric ``event_id``."""
-    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+def events_as_transactions(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    """``events`` (the table, or a stream of it) as unlabelled transactions."""
+    events = table(spark, sf_dir, "events") if events is None else events
+    events = events.select("event_id", "ts", "user_id", "event_type", "value")
     return _with_country(events, spark, sf_dir, "customer", "c", "user_id", "left").select(
-        "event_id",
         F.col("event_id").cast("string").alias("transaction_id"),
         _user("user_id").alias("user_id"),
         F.col("value").alias("amount"),
@@ -57,5 +57,7 @@ def purchases_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def canonical(df: DataFrame) -> DataFrame:
-    return df.select(*TRANSACTION.names)
+def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``events`` file as a stream; the pattern makes one file a directory listing."""
+    schema = table(spark, sf_dir, "events").schema
+    return read_files(spark, f"{sf_dir}/event[s].parquet", schema)
