@@ -141,11 +141,11 @@ def transform(df: DataFrame, state: FeatureState) -> DataFrame:
     hour = hour_of(override="hour" if "hour" in df.columns else None)
     found = lookup(df, state.merchant_freq, "merchant_category", state.hot_categories, state.n_categories)
     found = lookup(found, state.user_home, "user_id", state.hot_users, state.n_users)
-    angle = hour_angle(hour)
+    found = found.withColumn("_angle", hour_angle(hour))
     values = (
         zscore(F.log1p(F.col("amount").cast("double")), state.amount_mean, state.amount_std),
-        F.sin(angle),
-        F.cos(angle),
+        F.sin("_angle"),
+        F.cos("_angle"),
         F.coalesce("freq", F.lit(state.merchant_freq_fallback)),
         indicator(F.coalesce("home_country", F.lit("")) == F.col("country")),
     )

@@ -36,11 +36,11 @@ def sample_per_tree(
     """``sub_sample`` rows for each tree, chosen by hashes of the row key.
 
     The choice depends on keys only, never on partitioning. A first hash keeps
-    about twice the rows needed in total, a second one about four times the
+    about as many rows as are needed in total, a second one about four times the
     rows needed per tree; only those are ranked. Ranking keeps the best rows
     per task before the shuffle, so many copies of one key cannot swamp a tree.
     """
-    keep = min(1.0, 2.0 * n_trees * sub_sample / max(n_rows, 1))
+    keep = min(1.0, 1.0 * n_trees * sub_sample / max(n_rows, 1))
     per_tree = min(1.0, 4.0 * sub_sample / max(n_rows * keep, 1.0))
     pool = features.select(row_key, *FEATURES)
     if keep < 1.0:
@@ -96,9 +96,10 @@ def fit_forest(
         frame.insert(0, "tree_id", tree_id)
         return frame
 
-    # One task per tree: left alone, samples this small would be merged into one.
-    sampled = sample_per_tree(features, n_rows, n_trees, sub_sample, seed, row_key).repartition(n_trees, "tree_id")
-    return sampled.groupBy("tree_id").applyInPandas(build, FOREST_NODE)
+    # Left alone, samples this small would be merged into one task.
+    tasks = min(n_trees, features.sparkSession.sparkContext.defaultParallelism)
+    sampled = sample_per_tree(features, n_rows, n_trees, sub_sample, seed, row_key)
+    return sampled.repartitionByRange(tasks, "tree_id").groupBy("tree_id").applyInPandas(build, FOREST_NODE)
 
 
 def effective_sample(n_rows: int, sub_sample: int | None = None) -> int:
@@ -124,7 +125,7 @@ def load_forest(nodes: DataFrame, sub_sample: int) -> dict:
     count = nodes.count()
     if not 0 < count <= MAX_NODES:
         raise ValueError(f"forest of {count} nodes cannot be loaded (limit {MAX_NODES})")
-    return compile_forest(nodes.orderBy("tree_id", "node_id").toPandas(), sub_sample)
+    return compile_forest(nodes.toPandas(), sub_sample)
 
 
 def compile_forest(table: pd.DataFrame, sub_sample: int) -> dict:

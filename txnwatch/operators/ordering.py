@@ -4,6 +4,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from txnwatch.session import materialize
 
+FEW_VALUES = 200_000
+
 
 def running_totals(df: DataFrame, order: str, sums: list[str], groups: list[str] | None = None) -> DataFrame:
     """Add ``<name>_upto`` and ``<name>_total`` for each of ``sums``.
@@ -51,8 +53,14 @@ def value_at(counted: DataFrame, value: str, place: int, weight: str = "n"):
     return ranked.agg(F.max(F.when(_covers(F.lit(place), weight), F.col(value)))).first()[0]
 
 
-def quantile(counted: DataFrame, value: str, q: float, weight: str = "n") -> float | None:
-    """Exact quantile, interpolated linearly, of values seen ``weight`` times each."""
+def quantile(counted: DataFrame, value: str, q: float, weight: str = "n", n_values: int | None = None) -> float | None:
+    """Exact quantile, interpolated linearly, of values seen ``weight`` times each.
+
+    The built-in aggregate holds all distinct values in one task. It is used when
+    the caller has counted them and found few, running totals otherwise.
+    """
+    if n_values is not None and n_values <= FEW_VALUES:
+        return counted.agg(F.percentile(value, q, F.col(weight))).first()[0]
     ranked = running_totals(counted.select(value, weight), value, [weight])
     last = F.col(f"{weight}_total") - 1
     position = last * F.lit(q)

@@ -477,7 +477,7 @@ def flagged_alerts(spark, sf_dir):
 SELECT transaction_id AS "key",
   '{"transaction_id":"' || transaction_id || '","user_id":"' || user_id || '","amount":' || CAST(amount AS VARCHAR)
   || ',"merchant_category":"' || merchant_category || '","timestamp":"' || "timestamp" || '","country":"' || country
-  || '","score":' || CAST(round(score, 2) AS VARCHAR) || ',"anomaly_type":' || coalesce('"' || anomaly_type || '"', 'null') || '}' AS "value"
+  || '","score":' || CAST(round(score, 2) + 0.0 AS VARCHAR) || ',"anomaly_type":' || coalesce('"' || anomaly_type || '"', 'null') || '}' AS "value"
 FROM alerts""")
 def alert_messages(spark, sf_dir):
     rows = amount_scored(spark, sf_dir).filter("is_flagged")
@@ -538,7 +538,7 @@ def reflagged(spark, sf_dir):
 
 @query("WITH " + STORED + f"""
 SELECT substr(transaction_id, 1, 8) AS tx, transaction_id, user_id, merchant_category, country,
-       '$' || format('{{:,.2f}}', amount) AS amount_text, format('{{:.4f}}', round(score * 1.0, 4)) AS score_text,
+       '$' || format('{{:,.2f}}', amount) AS amount_text, format('{{:.4f}}', score) AS score_text,
        CASE WHEN score < -0.3 THEN 'high' WHEN score < -0.2 THEN 'medium' ELSE 'low' END AS severity,
        CASE anomaly_type WHEN 'amount_spike' THEN 'spike' WHEN 'geo_jump' THEN 'geo' WHEN 'odd_hour_burst' THEN 'hour'
             ELSE '?' END AS type_label

@@ -38,7 +38,7 @@ def fit(
     raw = add_raw_score(features, model.raw_score).filter(F.col("raw").isNotNull())
     counted = materialize(raw.groupBy("raw").agg(F.count("*").alias("n")), "raw-scores")
     if contamination != "auto":
-        model.offset = quantile(counted, "raw", contamination)
+        model.offset = quantile(counted, "raw", contamination, n_values=counted.count())
     return model, counted
 
 

@@ -14,6 +14,7 @@ from txnwatch.sources.streams import ENVELOPE_ORDER
 from txnwatch.sources.tables import create_tables, read_stored_alerts, read_stored_transactions, to_message
 
 KEY = "transaction_id"
+ROWS_PER_FILE = 1_000_000
 
 
 def first_of_each(batch: DataFrame, key: str = KEY) -> DataFrame:
@@ -95,32 +96,42 @@ class ScoringSink:
         self._model, self._root, self._stream = model, root, stream
         self._threshold, self._publish, self._clock = threshold, publish, clock
         self._horizon = horizon_days
+        self._tables_made = False
         self.last_metrics: dict = {}
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
         spark = batch.sparkSession
-        create_tables(spark, self._root)
+        if not self._tables_made:
+            create_tables(spark, self._root)
+            self._tables_made = True
         model = self._model.get() if isinstance(self._model, CurrentModel) else self._model
 
-        checked = quality.check(first_of_each(batch), quality.stream_rules()).persist()
-        scored = flag(score_batch(quality.valid(checked), model), self._threshold).persist()
+        # Rejects are scored along (their score means nothing) so that one cached
+        # pass over the batch serves every table below.
+        checked = quality.check(first_of_each(batch), quality.stream_rules())
+        scored = flag(score_batch(checked, model), self._threshold).persist()
+        accepted = quality.valid(scored)
         try:
+            is_valid = F.size("reject_reasons") == 0
             metrics = scored.agg(
-                F.count("*").alias("n_rows"),
-                F.count_if("is_flagged").alias("n_flagged"),
-                F.min("score").alias("min_score"),
-                F.min(F.to_date(to_event_time())).alias("first_date"),
+                F.count_if(is_valid).alias("n_rows"),
+                F.count_if(~is_valid).alias("n_rejected"),
+                F.count_if(is_valid & F.col("is_flagged")).alias("n_flagged"),
+                F.min(F.when(is_valid, F.col("score"))).alias("min_score"),
+                F.min(F.when(is_valid, F.to_date(to_event_time()))).alias("first_date"),
             ).first().asDict()
-            self._overwrite(quality.rejects(checked), "rejects", batch_id, partitioned=False)
-            self._store(spark, scored, metrics, batch_id)
+            if metrics["n_rejected"]:
+                rejected = quality.rejects(scored).drop("score", "is_flagged")
+                rejected.write.mode("overwrite").parquet(self._path("rejects", batch_id))
+            if metrics["n_rows"]:
+                self._store(spark, accepted, metrics, batch_id)
             if self._publish and metrics["n_flagged"]:
-                self._publish(as_alert_messages(scored.filter("is_flagged")), batch_id)
+                self._publish(as_alert_messages(accepted.filter("is_flagged")), batch_id)
             self.last_metrics = {"batch_id": batch_id, **metrics}
         finally:
             scored.unpersist()
-            checked.unpersist()
 
     def _store(self, spark: SparkSession, scored: DataFrame, metrics: dict, batch_id: int) -> None:
         transactions = read_stored_transactions(spark, self._root)
@@ -130,7 +141,7 @@ class ScoringSink:
             others = from_other_batches(stored, self._stream, batch_id)
             if self._horizon is not None and metrics["first_date"]:
                 others = others.filter(F.col("event_date") >= F.date_sub(F.lit(metrics["first_date"]), self._horizon))
-            self._overwrite(suppress_known(new, others, metrics["n_rows"]), name, batch_id)
+            self._overwrite_by_date(suppress_known(new, others, metrics["n_rows"]), name, batch_id, metrics["n_rows"])
 
     def _batch_time(self, transactions: DataFrame, batch_id: int) -> datetime:
         """One time for the whole batch; a replay keeps the time of the first run."""
@@ -138,8 +149,11 @@ class ScoringSink:
         micros = own.agg(F.min(F.unix_micros("processed_at"))).first()[0]
         return self._clock() if micros is None else datetime.fromtimestamp(micros / 1e6, timezone.utc)
 
-    def _overwrite(self, df: DataFrame, table: str, batch_id: int, partitioned: bool = True) -> None:
-        writer, path = df.write, f"{self._root}/{table}/stream={self._stream}/batch_id={batch_id}"
-        if partitioned:
-            writer = df.withColumn("event_date", F.to_date("event_time")).write.partitionBy("event_date")
-        writer.mode("overwrite").parquet(path)
+    def _path(self, table: str, batch_id: int) -> str:
+        return f"{self._root}/{table}/stream={self._stream}/batch_id={batch_id}"
+
+    def _overwrite_by_date(self, df: DataFrame, table: str, batch_id: int, n_rows: int) -> None:
+        """One file per date, or several for a date that may hold many rows."""
+        part = F.pmod(F.xxhash64(KEY), F.lit(n_rows // ROWS_PER_FILE + 1))
+        dated = df.withColumn("event_date", F.to_date("event_time")).repartition("event_date", part)
+        dated.write.partitionBy("event_date").mode("overwrite").parquet(self._path(table, batch_id))
