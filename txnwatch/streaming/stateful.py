@@ -19,32 +19,36 @@ TRAVEL = (
 def geo_velocity(stream: DataFrame, min_gap_seconds: int = 6 * 3600) -> DataFrame:
     """Streaming twin of the gap-and-travel table operator.
 
-    The state of a user is one (time, country) pair, kept across batches. Within
-    a batch a user's rows arrive as a run of Arrow chunks; they are put in time
-    order together, and the batch itself is bounded by the source's rate limit.
+    The state of a user is one (time, country) pair, the latest so far, kept
+    across batches. Within a batch a user's rows arrive as a run of Arrow chunks;
+    they are put in time order together with the remembered event, so a row that
+    comes in late is never measured against a later one. The batch itself is
+    bounded by the source's rate limit.
     """
 
     def follow(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(chunks)).sort_values(["event_time", "transaction_id"], ignore_index=True)
-        time, country = rows["event_time"], rows["country"]
-        before_time, before_country = time.shift(), country.shift().astype(object)
+        parts = [chunk.assign(is_new=True) for chunk in chunks]
         if state.exists:
             micros, place = state.get
-            before_time.iloc[0] = pd.Timestamp(micros, unit="us")
-            before_country.iloc[0] = place
-        gap = (time - before_time).dt.total_seconds()
-        changed = before_country.notna() & country.notna() & (before_country != country)
+            known = {"transaction_id": "", "event_time": pd.Timestamp(micros, unit="us"), "country": place, "is_new": False}
+            parts.insert(0, pd.DataFrame([known]))
+        rows = pd.concat(parts).sort_values(["event_time", "transaction_id"], ignore_index=True)
+        time, country = rows["event_time"], rows["country"].astype(object)
         state.update((int(time.iloc[-1].value // 1000), country.iloc[-1]))
+        before = country.shift()
+        before = before.where(before.notna(), None)
+        gap = (time - time.shift()).dt.total_seconds()
+        changed = before.notna() & country.notna() & (before != country)
         yield pd.DataFrame({
             "user_id": key[0],
             "transaction_id": rows["transaction_id"],
             "event_time": time,
             "country": country,
             "seconds_since_previous": gap,
-            "previous_country": before_country.where(before_country.notna(), None),
+            "previous_country": before,
             "country_changed": changed,
             "impossible_travel": changed & (gap < min_gap_seconds),
-        })
+        })[rows["is_new"]]
 
     return (
         stream.select("user_id", "transaction_id", "event_time", "country")
