@@ -141,12 +141,14 @@ def write_events(source, name, rows):
 def test_late_events_leave_state_but_not_scoring(spark, tmp_path):
     source = tmp_path / "in"
     write_events(source, "1.json", [(f"a{i}", "u", f"2024-01-15T12:00:0{i}Z", "US", 1.0) for i in range(3)])
+    # Lateness is judged by the watermark the previous batch ran with, hence a batch in between.
+    write_events(source, "1b.json", [("b", "u", "2024-01-15T12:00:03Z", "US", 1.0)])
     write_events(source, "2.json", [("late", "u", "2024-01-15T11:45:00Z", "US", 1.0), ("ok", "u", "2024-01-15T11:55:00Z", "US", 1.0)])
     write_events(source, "3.json", [("end", "u", "2024-01-15T13:00:00Z", "US", 1.0)])
     counts = speed.windowed_velocity(event_stream(spark, source), limit=0, seconds=60, slide_seconds=60)
     got = {r["window_start"].strftime("%H:%M"): r["n"] for r in pipeline.drain_to_files(counts, spark, "late").collect()}
-    assert got == {"12:00": 3, "11:55": 1}
-    assert pipeline.drain_to_files(event_stream(spark, source), spark, "all").count() == 6
+    assert got == {"12:00": 4, "11:55": 1}
+    assert pipeline.drain_to_files(event_stream(spark, source), spark, "all").count() == 7
 
 
 def test_travel_state_crosses_batches(spark, tmp_path):
