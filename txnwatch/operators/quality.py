@@ -8,6 +8,7 @@ from txnwatch.functions.scalar import label_state, to_event_time, to_iso, to_mon
 from txnwatch.schemas import DEFAULT_COUNTRY, DEFAULT_USER, ISO_PATTERN, MAX_PAGE, MAX_WINDOW_MINUTES
 
 LABELS = ("is_anomaly", "anomaly_type")
+REQUIRED = ("transaction_id", "user_id", "amount", "merchant_category", "timestamp", "country")
 
 
 def check_page(limit: int, offset: int = 0) -> None:
@@ -94,29 +95,29 @@ def strip_labels(df: DataFrame) -> DataFrame:
 
 
 def quality_summary(df: DataFrame, categories=None, key: str = "transaction_id") -> DataFrame:
-    """One row of rule counts and key uniqueness, in one pass.
+    """One row of rule counts and key uniqueness.
 
-    Counts are taken per key first: the copies of a key collapse before the
-    shuffle, and distinct keys are then simply the groups.
+    The rule counts are a scan without a shuffle. Only the key column is shuffled
+    to see which keys repeat, with the copies of a key combined before.
     """
-    has_all = reduce(
-        lambda a, b: a & b,
-        [F.col(name).isNotNull() for name in ("transaction_id", "user_id", "amount", "merchant_category", "timestamp", "country")],
-    )
+    has_all = reduce(Column.__and__, [F.col(name).isNotNull() for name in REQUIRED])
     known = F.col("merchant_category").isin(list(categories)) if categories else F.lit(True)
-    counts = {
-        "n_complete": F.count_if(has_all),
-        "n_positive_amount": F.count_if(F.col("amount") > 0),
-        "n_iso_timestamp": F.count_if(F.col("timestamp").rlike(ISO_PATTERN)),
-        "n_known_category": F.count_if(known),
-        "n_labelled": F.count("is_anomaly"),
-    }
-    per_key = df.groupBy(key).agg(F.count("*").alias("n_rows"), *[value.alias(name) for name, value in counts.items()])
-    return per_key.agg(
-        F.sum("n_rows").alias("n_rows"),
-        F.count(key).alias("n_distinct_keys"),
-        F.count_if((F.col("n_rows") > 1) & F.col(key).isNotNull()).alias("n_duplicated_keys"),
-        *[F.sum(name).alias(name) for name in counts],
+    per_key = df.groupBy(key).agg(F.count("*").alias("copies")).filter(F.col(key).isNotNull())
+    keys = per_key.agg(
+        F.struct(F.count("*").alias("distinct"), F.count_if(F.col("copies") > 1).alias("duplicated")).alias("keys")
+    )
+    counts = df.agg(
+        F.count("*").alias("n_rows"),
+        F.count_if(has_all).alias("n_complete"),
+        F.count_if(F.col("amount") > 0).alias("n_positive_amount"),
+        F.count_if(F.col("timestamp").rlike(ISO_PATTERN)).alias("n_iso_timestamp"),
+        F.count_if(known).alias("n_known_category"),
+        F.count("is_anomaly").alias("n_labelled"),
+    )
+    return counts.withColumn("_keys", keys.scalar()).select(
+        *counts.columns,
+        F.col("_keys.distinct").alias("n_distinct_keys"),
+        F.col("_keys.duplicated").alias("n_duplicated_keys"),
     )
 
 

@@ -14,7 +14,7 @@ def gap_and_travel(
     time: str = "event_time",
     key: str = "transaction_id",
     min_gap_seconds: int = 6 * HOUR,
-    chunk_seconds: int = HOUR * 24,
+    chunk_seconds: int = 24 * HOUR,
 ) -> DataFrame:
     """Seconds since the user's previous transaction and whether the country changed.
 
@@ -22,29 +22,36 @@ def gap_and_travel(
     timeline is cut into chunks so that one busy user is many groups: rows look
     back within their chunk, and the first row of a chunk takes the last row of
     the user's previous chunk, found on a table with one row per user and chunk.
+
+    Only the four columns needed are shuffled and returned; with the same columns
+    on both sides of the join, both read one and the same shuffle. The join is
+    null-safe to keep it so (a plain one would filter one side first).
     """
     at = F.unix_micros(F.col(time))
-    rows = df.withColumn("_chunk", F.floor(at / F.lit(chunk_seconds * MICROS)))
-    here = F.struct(F.col(time).alias("time"), F.col("country").alias("country"))
+    rows = df.select(key, "user_id", time, "country").withColumn("_chunk", F.floor(at / F.lit(chunk_seconds * MICROS)))
     within = Window.partitionBy("user_id", "_chunk").orderBy(time, key)
-    rows = rows.withColumn("_before", F.lag(here).over(within))
 
-    lasts = (
-        df.withColumn("_chunk", F.floor(at / F.lit(chunk_seconds * MICROS)))
-        .groupBy("user_id", "_chunk")
-        .agg(F.max(F.struct(F.col(time).alias("time"), F.col(key).alias("key"), F.col("country").alias("country"))).alias("last"))
-    )
+    by_chunk = Window.partitionBy("user_id").orderBy("_chunk")
+    lasts = rows.withColumn("_next", F.lead(F.lit(1)).over(within)).filter("_next IS NULL")
     carried = lasts.select(
-        "user_id", "_chunk",
-        F.lag(F.struct("last.time", "last.country")).over(Window.partitionBy("user_id").orderBy("_chunk")).alias("_carried"),
+        F.col("user_id").alias("_user"),
+        F.col("_chunk").alias("_at_chunk"),
+        F.lag(time).over(by_chunk).alias("_carried_time"),
+        F.lag("country").over(by_chunk).alias("_carried_country"),
     )
-    before = F.coalesce("_before", "_carried")
-    gap = (at - F.unix_micros(before["time"])) / F.lit(float(MICROS))
-    changed = F.coalesce(before["country"] != F.col("country"), F.lit(False))
-    return rows.join(carried, ["user_id", "_chunk"], "left").select(
-        *df.columns,
+    same_chunk = F.col("user_id").eqNullSafe(F.col("_user")) & F.col("_chunk").eqNullSafe(F.col("_at_chunk"))
+    looked_back = rows.withColumns({"_time": F.lag(time).over(within), "_country": F.lag("country").over(within)})
+    linked = looked_back.join(carried, same_chunk, "left")
+
+    has_own = F.col("_time").isNotNull()
+    before_time = F.when(has_own, F.col("_time")).otherwise(F.col("_carried_time"))
+    before_country = F.when(has_own, F.col("_country")).otherwise(F.col("_carried_country"))
+    gap = (at - F.unix_micros(before_time)) / F.lit(float(MICROS))
+    changed = F.coalesce(before_country != F.col("country"), F.lit(False))
+    return linked.select(
+        key, "user_id", time, "country",
         gap.alias("seconds_since_previous"),
-        before["country"].alias("previous_country"),
+        before_country.alias("previous_country"),
         changed.alias("country_changed"),
         (changed & F.coalesce(gap < min_gap_seconds, F.lit(False))).alias("impossible_travel"),
     )
@@ -87,24 +94,48 @@ def windowed_velocity(
     )
 
 
+_ACTIVITY = ("n", "total_amount", "first_country", "last_country")
+
+
+def _bursts(df: DataFrame, time: str, gap: str, *groups: str) -> DataFrame:
+    return df.groupBy(F.session_window(time, gap).alias("slot"), "user_id", *groups).agg(
+        F.count("*").alias("n"),
+        F.sum("amount").alias("total_amount"),
+        F.min("country").alias("first_country"),
+        F.max("country").alias("last_country"),
+    ).select("user_id", F.col("slot.start").alias("session_start"), F.col("slot.end").alias("session_end"), *_ACTIVITY)
+
+
 def sessions(
-    df: DataFrame, time: str = "event_time", gap: str = "30 minutes", watermark: str = "10 minutes"
+    df: DataFrame,
+    time: str = "event_time",
+    gap: str = "30 minutes",
+    watermark: str = "10 minutes",
+    chunk_seconds: int = 24 * HOUR,
 ) -> DataFrame:
-    """Bursts of activity per user, ended by ``gap`` of silence; table or stream."""
-    return (
-        df.withWatermark(time, watermark)
-        .groupBy(F.session_window(time, gap).alias("slot"), "user_id")
-        .agg(
-            F.count("*").alias("n"),
-            F.sum("amount").alias("total_amount"),
-            F.min("country").alias("first_country"),
-            F.max("country").alias("last_country"),
-        )
-        .select(
-            "user_id",
-            F.col("slot.start").alias("session_start"),
-            F.col("slot.end").alias("session_end"),
-            "n", "total_amount",
-            (F.col("first_country") != F.col("last_country")).alias("spans_countries"),
+    """Bursts of activity per user, ended by ``gap`` of silence; table or stream.
+
+    A table is first cut into chunks of time, so that a user with much of the
+    data is many groups. The bursts found in them are few per user (``gap``
+    apart, or one per chunk) and are then joined up across chunk borders.
+    """
+    if df.isStreaming:
+        found = _bursts(df.withWatermark(time, watermark), time, gap)
+    else:
+        chunk = F.floor(F.unix_micros(F.col(time)) / F.lit(chunk_seconds * MICROS))
+        parts = _bursts(df.withColumn("_chunk", chunk), time, gap, "_chunk")
+        ordered = Window.partitionBy("user_id").orderBy("session_start")
+        starts = F.coalesce(F.col("session_start") >= F.lag("session_end").over(ordered), F.lit(True))
+        numbered = parts.withColumn("_starts", starts.cast("int")).withColumn("_number", F.sum("_starts").over(ordered))
+        found = numbered.groupBy("user_id", "_number").agg(
+            F.min("session_start").alias("session_start"),
+            F.max("session_end").alias("session_end"),
+            F.sum("n").alias("n"),
+            F.sum("total_amount").alias("total_amount"),
+            F.min("first_country").alias("first_country"),
+            F.max("last_country").alias("last_country"),
         )
+    return found.select(
+        "user_id", "session_start", "session_end", "n", "total_amount",
+        (F.col("first_country") != F.col("last_country")).alias("spans_countries"),
     )
