@@ -119,6 +119,10 @@ def test_message_stream_end_to_end(spark, model, tmp_path):
     flagged = {r[0] for r in expected.filter("score < 0.05").collect()}
     assert {r["transaction_id"] for r in tables.read_stored_alerts(spark, root).collect()} == flagged
     assert {r["key"] for r in spark.read.json(out).collect()} == flagged
+    (refused,) = spark.read.parquet(f"{root}/rejects").collect()
+    assert refused["raw_value"] == "{bad" and "missing_transaction_id" in refused["reject_reasons"]
+    followed = pipeline.drain_to_files(tables.follow_stored_alerts(spark, root), spark, "followed")
+    assert {r["transaction_id"] for r in followed.collect()} == flagged
 
     (source / "three.json").write_text(json.dumps({"value": json.dumps(tx(40))}))
     go()

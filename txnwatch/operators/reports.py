@@ -172,6 +172,29 @@ def rate_series(
     )
 
 
+def windowed_rates(
+    scored: DataFrame,
+    time: str = "event_time",
+    window: str = "10 minutes",
+    slide: str = "1 minute",
+    watermark: str = "10 minutes",
+) -> DataFrame:
+    """Rows, flagged rows and rate per sliding window of one scored table or stream.
+
+    Every row falls into window / slide windows, so the slide is coarser here
+    than the step of the table form.
+    """
+    return (
+        scored.withWatermark(time, watermark)
+        .groupBy(F.window(time, window, slide).alias("slot"))
+        .agg(F.count("*").alias("total_transactions"), F.count_if("is_flagged").alias("total_alerts"))
+        .select(
+            F.col("slot.start").alias("window_start"), F.col("slot.end").alias("window_end"),
+            "total_transactions", "total_alerts", anomaly_rate().alias("anomaly_rate"),
+        )
+    )
+
+
 def latest_rates(
     transactions: DataFrame,
     alerts: DataFrame,

@@ -114,10 +114,11 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inject_anomalies(events_as_transactions(spark, sf_dir), draw=md5_draws())
 
 
-def amount_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+def amount_scored(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
     """Labelled transactions with a score that falls as the amount gets unusual."""
-    rows = labelled(spark, sf_dir)
-    overall = overall_statistics(category_moments(rows)).first()
+    fitted_on = labelled(spark, sf_dir)
+    rows = fitted_on if rows is None else rows
+    overall = overall_statistics(category_moments(fitted_on)).first()
     z = fn.zscore(F.log1p("amount"), overall["amount_mean"], overall["amount_std"])
     scored = rows.withColumn("score", F.round(0.2 - F.abs(z) / 10, 6))
     return flag(scored, 0.0).withColumn("event_time", fn.to_event_time())
@@ -605,6 +606,24 @@ def latest_rates(spark, sf_dir):
     return with_iso(reports.latest_rates(rows, as_alerts(rows), AS_OF), "sampled_at")
 
 
+def _rate_windows(where: str = "") -> str:
+    return "WITH " + STORED + f""",
+slots AS (
+  SELECT is_flagged, make_timestamp((CAST(floor(epoch(event_time) / 900) AS BIGINT) * 900 - 900 * k) * 1000000) AS window_start
+  FROM flagged CROSS JOIN range(4) g(k)
+),
+counted AS (SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, count(*) AS x,
+                   count(*) FILTER (WHERE is_flagged) AS a FROM slots GROUP BY window_start)
+SELECT {_iso('window_start')} AS window_start, {_iso('window_end')} AS window_end, x AS total_transactions,
+       a AS total_alerts, round(a * 1.0 / x, 6) AS anomaly_rate FROM counted {where}"""
+
+
+@query(_rate_windows())
+def windowed_rates(spark, sf_dir):
+    rows = reports.windowed_rates(amount_scored(spark, sf_dir), window="1 hour", slide="15 minutes")
+    return with_iso(rows, "window_start", "window_end")
+
+
 # --- evaluation --------------------------------------------------------------
 
 MATRIX = STORED + """,
@@ -892,6 +911,13 @@ def stream_sessions(spark, sf_dir):
     return with_iso(_rounded(drained, "total_amount", places=2), "session_start", "session_end")
 
 
+@query(_rate_windows("WHERE window_end <= (SELECT max(event_time) - INTERVAL 10 MINUTE FROM flagged)"))
+def stream_rate_windows(spark, sf_dir):
+    scored = amount_scored(spark, sf_dir, timed_stream(spark, sf_dir))
+    rates = reports.windowed_rates(scored, window="1 hour", slide="15 minutes")
+    return with_iso(pipeline.drain_to_files(rates, spark, "rates"), "window_start", "window_end")
+
+
 @query("WITH " + TIMED + ' SELECT transaction_id, user_id, "timestamp" FROM timed')
 def stream_dedupe(spark, sf_dir):
     sent = timed_stream(spark, sf_dir)

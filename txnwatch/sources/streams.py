@@ -68,6 +68,11 @@ def identified(decoded: DataFrame) -> DataFrame:
     return decoded.filter(F.col("transaction_id").isNotNull()).drop("raw_value")
 
 
+def keep_text_of_unreadable(decoded: DataFrame) -> DataFrame:
+    """All rows, with the message text only where no transaction id could be read."""
+    return decoded.withColumn("raw_value", F.when(F.col("transaction_id").isNull(), F.col("raw_value")))
+
+
 def unreadable(decoded: DataFrame) -> DataFrame:
     """The complement of :func:`identified`, kept for inspection."""
     return decoded.filter(F.col("transaction_id").isNull()).select("raw_value", "ingest_ts")

@@ -31,6 +31,11 @@ def read_stored_alerts(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(stored_schema(ALERT)).parquet(f"{root}/alerts")
 
 
+def follow_stored_alerts(spark: SparkSession, root: str) -> DataFrame:
+    """The alerts table as a stream of newly stored alerts."""
+    return spark.readStream.schema(stored_schema(ALERT)).parquet(f"{root}/alerts")
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.format("binaryFile").load(path)

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from txnwatch.operators.scoring import CurrentModel, Model
 from txnwatch.schemas import ALERT_THRESHOLD
 from txnwatch.session import scratch_path
-from txnwatch.sources.streams import decode, identified
+from txnwatch.sources.streams import decode, keep_text_of_unreadable
 from txnwatch.streaming.sinks import ScoringSink
 
 TRIGGER = "5 seconds"
@@ -35,12 +35,14 @@ def start_scoring(
 ) -> StreamingQuery:
     """Decode, score and store a message stream.
 
+    Messages that cannot be read, or break a rule, are stored with the rejects.
+
     ``stream`` names the checkpoint's lineage in the tables: a fresh checkpoint
     (a backfill from the earliest offset, say) needs a fresh name, because batch
     numbers start again. ``trigger=None`` takes what is there and stops.
     """
     sink = ScoringSink(model, root, stream, threshold, publish, **sink_options)
-    writer = identified(decode(messages)).writeStream.outputMode("append").foreachBatch(sink)
+    writer = keep_text_of_unreadable(decode(messages)).writeStream.outputMode("append").foreachBatch(sink)
     return _start(writer, checkpoint, name, trigger)
 
 

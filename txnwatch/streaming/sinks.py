@@ -21,13 +21,15 @@ def first_of_each(batch: DataFrame, key: str = KEY) -> DataFrame:
     """The earliest copy of each key: by ingest time, then by place in the topic.
 
     Copies that tie on all of that are told apart by content, so that a replay
-    keeps the same one. The minimum is taken map-side first, which shrinks a
-    large group of copies before it is shuffled.
+    keeps the same one. Messages without a key are told apart by their text. The
+    minimum is taken map-side first, which shrinks a large group of copies before
+    it is shuffled.
     """
+    groups = [key] + (["raw_value"] if "raw_value" in batch.columns else [])
     order = [name for name in ("ingest_ts", *ENVELOPE_ORDER) if name in batch.columns]
-    rest = [name for name in batch.columns if name not in order and name != key]
+    rest = [name for name in batch.columns if name not in order and name not in groups]
     earliest = F.min(F.struct(*order, *rest)).alias("row")
-    return batch.groupBy(key).agg(earliest).select(key, "row.*").select(*batch.columns)
+    return batch.groupBy(*groups).agg(earliest).select(*groups, "row.*").select(*batch.columns)
 
 
 def suppress_known(rows: DataFrame, stored: DataFrame, n_rows: int, key: str = KEY) -> DataFrame:
