@@ -35,8 +35,10 @@ def test_average_precision_with_ties(spark):
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.tuples(st.integers(-9, 9).map(lambda v: v / 10), st.booleans()), min_size=1, max_size=60))
 def test_average_precision_equals_brute_force(spark, rows):
-    got = ev.average_precision(ev.profile(scored(spark, rows))).first()["auprc"]
-    assert got == pytest.approx(brute_average_precision(rows), abs=1e-12)
+    counted = ev.profile(scored(spark, rows))
+    for n_rows in (None, len(rows)):
+        got = ev.average_precision(counted, n_rows=n_rows).first()["auprc"]
+        assert got == pytest.approx(brute_average_precision(rows), abs=1e-12)
 
 
 def test_no_positives_gives_zeros_and_nulls(spark):

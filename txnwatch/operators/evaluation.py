@@ -108,13 +108,16 @@ def pr_curve(counted: DataFrame) -> DataFrame:
     )
 
 
-def average_precision(counted: DataFrame, groups: list[str] | None = None) -> DataFrame:
+def average_precision(
+    counted: DataFrame, groups: list[str] | None = None, n_rows: int | None = None
+) -> DataFrame:
     """Step-wise area: precision at each distinct score, weighted by recall gained.
 
-    With ``groups``, one value per group. No positives gives 0.
+    With ``groups``, one value per group. No positives gives 0. ``n_rows`` is the
+    size of the profile, if it has been counted.
     """
     groups = groups or []
-    totals = running_totals(by_score(counted, groups), "score", ["n", "tp"], groups)
+    totals = running_totals(by_score(counted, groups), "score", ["n", "tp"], groups, n_rows)
     gained = F.sum(F.col("tp") * F.col("tp_upto") / F.col("n_upto"))
     aggregates = [ratio(gained, F.sum("tp")).alias("auprc"), F.sum("n").alias("n"), F.sum("tp").alias("positives")]
     return totals.groupBy(*groups).agg(*aggregates) if groups else totals.agg(*aggregates)

@@ -7,7 +7,9 @@ from txnwatch.session import materialize
 FEW_VALUES = 200_000
 
 
-def running_totals(df: DataFrame, order: str, sums: list[str], groups: list[str] | None = None) -> DataFrame:
+def running_totals(
+    df: DataFrame, order: str, sums: list[str], groups: list[str] | None = None, n_rows: int | None = None
+) -> DataFrame:
     """Add ``<name>_upto`` and ``<name>_total`` for each of ``sums``.
 
     The first is the sum over rows up to this one, the second over all rows.
@@ -17,8 +19,18 @@ def running_totals(df: DataFrame, order: str, sums: list[str], groups: list[str]
     row per slice and group) are accumulated, and rows only need the total of the
     slices before theirs. The slices are written out because both steps must see
     the same cut.
+
+    A caller that has counted the rows and found few gets a plain window instead.
     """
     groups = groups or []
+    if n_rows is not None and n_rows <= FEW_VALUES:
+        everything = Window.partitionBy(*groups)
+        so_far = everything.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.select(
+            *df.columns,
+            *[F.sum(name).over(so_far).alias(f"{name}_upto") for name in sums],
+            *[F.sum(name).over(everything).alias(f"{name}_total") for name in sums],
+        )
     sliced = materialize(
         df.repartitionByRange(*groups, order).withColumn("_slice", F.spark_partition_id()), "slices"
     )

@@ -711,7 +711,7 @@ recalls AS (
                / nullif(count(*) FILTER (WHERE anomaly_type = 'geo_jump'), 0), 4) AS geo_jump,
          round(count(*) FILTER (WHERE anomaly_type = 'odd_hour_burst' AND score < 0) * 1.0
                / nullif(count(*) FILTER (WHERE anomaly_type = 'odd_hour_burst'), 0), 4) AS odd_hour_burst FROM stored)
-SELECT 0.0 AS threshold, m.*, round((SELECT sum(tp * 1.0 * tp_upto / n_upto) / sum(tp) FROM curve), 4) AS auprc,
+SELECT CAST(0.0 AS DOUBLE) AS threshold, m.*, round((SELECT sum(tp * 1.0 * tp_upto / n_upto) / sum(tp) FROM curve), 4) AS auprc,
        r.amount_spike, r.geo_jump, r.odd_hour_burst FROM metrics m CROSS JOIN recalls r""")
 def metrics_document(spark, sf_dir):
     document = training.metrics_document(profiled(spark, sf_dir), 0.0, FIXED_TIME)
@@ -730,7 +730,7 @@ def score_by_class(spark, sf_dir):
 
 
 @query("WITH " + STORED + """
-SELECT bin, count(*) AS n_rows, round(-0.5 + (bin - 1) * 0.05, 6) AS bin_start FROM (
+SELECT bin, count(*) AS n_rows, round(CAST(-0.5 + (bin - 1) * 0.05 AS DOUBLE), 6) AS bin_start FROM (
   SELECT CASE WHEN score < -0.5 THEN 0 WHEN score >= 0.5 THEN 21 ELSE CAST(floor((score + 0.5) / 1.0 * 20) AS INT) + 1 END AS bin
   FROM stored) GROUP BY bin""")
 def score_histogram(spark, sf_dir):

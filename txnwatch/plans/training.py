@@ -74,10 +74,12 @@ def train(
     return model
 
 
-def metrics_document(counted: DataFrame, threshold: float, evaluated_at: datetime) -> DataFrame:
+def metrics_document(
+    counted: DataFrame, threshold: float, evaluated_at: datetime, n_rows: int | None = None
+) -> DataFrame:
     """All metrics of one evaluation as a single nested row, from a profile."""
     matrix, recalls = ev.confusion(counted, threshold), ev.per_type_recall(counted, threshold)
-    area = ev.average_precision(counted).select(F.round("auprc", 4)).scalar()
+    area = ev.average_precision(counted, n_rows=n_rows).select(F.round("auprc", 4)).scalar()
     flat = ev.holdout_metrics(matrix)
     recall_row = recalls.select(F.struct(*ANOMALY_TYPES)).scalar()
     document = flat.select(
@@ -103,7 +105,7 @@ def evaluate(
     if "is_anomaly" not in holdout.columns:
         raise ValueError("evaluation needs an is_anomaly column")
     counted = materialize(ev.profile(score_batch(holdout, model)), "profile")
-    document = metrics_document(counted, threshold, evaluated_at or datetime.now(timezone.utc))
+    document = metrics_document(counted, threshold, evaluated_at or datetime.now(timezone.utc), counted.count())
     if path:
         write_document(document, path)
     return document
