@@ -44,6 +44,11 @@ def brute(nodes, row, sub_sample):
     return -(2.0 ** (-(total / len(by_tree)) / float(fo.expected_path(sub_sample))))
 
 
+@pytest.fixture(autouse=True)
+def early_curves(monkeypatch):
+    monkeypatch.setattr(fo, "STEP_ROWS", 16)
+
+
 def test_expected_path():
     assert list(fo.expected_path([0, 1, 2])) == [0.0, 0.0, 1.0]
     assert float(fo.expected_path(256)) == pytest.approx(2 * (np.log(255) + 0.5772156649) - 2 * 255 / 256)

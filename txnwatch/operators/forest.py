@@ -19,8 +19,9 @@ from txnwatch.schemas import FEATURES, FOREST_NODE, N_TREES, SEED, SUB_SAMPLE
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MAX_NODES = 5_000_000  # largest node table that may be loaded and broadcast
-STEP_ROWS = 64  # rows of one feature combination before its curve is built
+STEP_ROWS = 256  # rows of one feature combination before its curve is worth building
 STEP_CURVES = 2048  # curves a worker keeps
+WALK_ROWS = 1024  # rows followed through the trees at a time
 EULER = 0.5772156649
 
 
@@ -139,10 +140,12 @@ def compile_forest(table: pd.DataFrame, sub_sample: int) -> dict:
     depth = table["depth"].to_numpy()
     path = depth + expected_path(table["size"].to_numpy())
 
-    def spread(values, kind):
-        grid = np.zeros(shape, kind)
-        grid[tree, node] = values
-        return grid
+    roots = np.arange(shape[0]) * shape[1]
+
+    def run(values, kind=np.intp):
+        flat = np.zeros(shape, kind)
+        flat[tree, node] = values
+        return flat.ravel()
 
     # The box of feature values that leads to each node, level by level.
     low, high = np.full((*shape, len(FEATURES)), -np.inf), np.full((*shape, len(FEATURES)), np.inf)
@@ -161,8 +164,8 @@ def compile_forest(table: pd.DataFrame, sub_sample: int) -> dict:
     first = np.searchsorted(cuts, box_low[:, 0], side="right")
     last = np.searchsorted(cuts, box_high[:, 0], side="left")
     return {
-        "left": spread(left, np.int32), "right": spread(right, np.int32),
-        "feature": spread(feature, np.int32), "split": spread(split, float), "path": spread(path, float),
+        "roots": roots, "left": run(left + roots[tree]), "right": run(right + roots[tree]),
+        "feature": run(feature), "split": run(split, float), "path": run(path, float),
         "levels": int(depth.max()), "norm": max(float(expected_path(sub_sample)), 1e-12),
         "cuts": cuts, "box_low": box_low[:, 1:], "box_high": box_high[:, 1:],
         "box_path": path[at], "box_width": last - first + 1,
@@ -175,14 +178,23 @@ def _to_raw(forest: dict, paths: np.ndarray) -> np.ndarray:
 
 
 def walk(forest: dict, rows: np.ndarray) -> np.ndarray:
-    """Follow every tree for every row, one level at a time."""
-    trees = np.arange(len(forest["left"]))[:, None]
-    at = np.zeros((len(trees), len(rows)), np.int32)
-    index = np.arange(len(rows))[None, :]
+    """Follow every tree for every row, one level at a time.
+
+    Nodes of all trees lie in one run of arrays; a leaf leads to itself. Rows go
+    in blocks small enough for the working arrays to stay in the processor cache.
+    """
+    blocks = [rows[i:i + WALK_ROWS] for i in range(0, len(rows), WALK_ROWS)]
+    return np.concatenate([_walk_block(forest, block) for block in blocks])
+
+
+def _walk_block(forest: dict, rows: np.ndarray) -> np.ndarray:
+    flat = np.ascontiguousarray(rows).ravel()
+    start = np.arange(len(rows)) * rows.shape[1]
+    at = np.repeat(forest["roots"][:, None], len(rows), axis=1)
     for _ in range(forest["levels"]):
-        goes_left = rows[index, forest["feature"][trees, at]] <= forest["split"][trees, at]
-        at = np.where(goes_left, forest["left"][trees, at], forest["right"][trees, at])
-    return _to_raw(forest, forest["path"][trees, at])
+        value = flat.take(forest["feature"].take(at) + start)
+        at = np.where(value <= forest["split"].take(at), forest["left"].take(at), forest["right"].take(at))
+    return _to_raw(forest, forest["path"].take(at))
 
 
 def curve(forest: dict, combination: np.ndarray) -> np.ndarray:
@@ -192,7 +204,7 @@ def curve(forest: dict, combination: np.ndarray) -> np.ndarray:
     """
     open_to = ((forest["box_low"] < combination) & (combination <= forest["box_high"])).all(axis=1)
     paths = np.repeat(forest["box_path"][open_to], forest["box_width"][open_to])
-    return _to_raw(forest, paths.reshape(len(forest["left"]), -1))
+    return _to_raw(forest, paths.reshape(len(forest["roots"]), -1))
 
 
 def score_rows(forest: dict, rows: np.ndarray) -> np.ndarray:
