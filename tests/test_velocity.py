@@ -77,3 +77,12 @@ def test_windows_and_sessions_in_batch(spark):
     assert {r["n"] for r in windows} == {3} and len(windows) == 5
     got = sorted((r["n"], r["total_amount"], r["spans_countries"]) for r in speed.sessions(df, gap="60 seconds").collect())
     assert got == [(2, 4.0, False), (3, 6.0, False)]
+
+
+@pytest.mark.parametrize("chunk", [60, 90, 3600])
+def test_silence_of_exactly_the_gap_does_not_end_a_session(spark, chunk):
+    """The same on either side of a chunk border, and one second more does end it."""
+    times = [0, 60, 120, 181, 241, 302]
+    df = spark.createDataFrame([(str(s), "u", START + timedelta(seconds=s), "US", 1.0) for s in times], SCHEMA)
+    got = speed.sessions(df, gap="60 seconds", chunk_seconds=chunk).orderBy("session_start").collect()
+    assert [r["n"] for r in got] == [3, 2, 1]

@@ -113,7 +113,7 @@ def sessions(
     watermark: str = "10 minutes",
     chunk_seconds: int = 24 * HOUR,
 ) -> DataFrame:
-    """Bursts of activity per user, ended by ``gap`` of silence; table or stream.
+    """Bursts of activity per user, ended by more than ``gap`` of silence; table or stream.
 
     A table is first cut into chunks of time, so that a user with much of the
     data is many groups. The bursts found in them are few per user (``gap``
@@ -125,7 +125,7 @@ def sessions(
         chunk = F.floor(F.unix_micros(F.col(time)) / F.lit(chunk_seconds * MICROS))
         parts = _bursts(df.withColumn("_chunk", chunk), time, gap, "_chunk")
         ordered = Window.partitionBy("user_id").orderBy("session_start")
-        starts = F.coalesce(F.col("session_start") >= F.lag("session_end").over(ordered), F.lit(True))
+        starts = F.coalesce(F.col("session_start") > F.lag("session_end").over(ordered), F.lit(True))
         numbered = parts.withColumn("_starts", starts.cast("int")).withColumn("_number", F.sum("_starts").over(ordered))
         found = numbered.groupBy("user_id", "_number").agg(
             F.min("session_start").alias("session_start"),

@@ -838,7 +838,7 @@ def windowed_velocity(spark, sf_dir):
 
 
 SESSIONS = TIMED + """,
-cut AS (SELECT *, CASE WHEN event_time - lag(event_time) OVER w < INTERVAL 6 HOUR THEN 0 ELSE 1 END AS starts FROM timed
+cut AS (SELECT *, CASE WHEN event_time - lag(event_time) OVER w <= INTERVAL 6 HOUR THEN 0 ELSE 1 END AS starts FROM timed
         WINDOW w AS (PARTITION BY user_id ORDER BY event_time, transaction_id)),
 numbered AS (SELECT *, sum(starts) OVER (PARTITION BY user_id ORDER BY event_time, transaction_id ROWS UNBOUNDED PRECEDING) AS session FROM cut),
 sessions AS (
