@@ -30,7 +30,7 @@ def test_decode_and_rejects(spark):
     checked = quality.check(streams.identified(rows), quality.stream_rules())
     assert quality.valid(checked).count() == 3
     reasons = {r["reason"]: r["n_rows"] for r in quality.rejects_by_reason(checked).collect()}
-    assert reasons == {"missing_amount": 2, "amount_not_positive": 1, "amount_too_large": 1, "bad_timestamp": 1}
+    assert reasons == {"missing_amount": 2, "amount_not_scorable": 1, "amount_too_large": 1, "bad_timestamp": 1}
 
 
 def test_envelope_columns_survive(spark):

@@ -33,7 +33,7 @@ def stream_rules() -> dict[str, Column]:
         "missing_transaction_id": _blank("transaction_id"),
         "missing_user_id": _blank("user_id"),
         "missing_amount": F.col("amount").isNull() | F.isnan("amount"),
-        "amount_not_positive": F.col("amount") <= 0,
+        "amount_not_scorable": F.col("amount") <= -1,  # no log1p
         "amount_too_large": F.col("amount").isNotNull() & to_money(F.col("amount")).isNull(),
         "missing_merchant_category": _blank("merchant_category"),
         "missing_country": F.col("country").isNull(),

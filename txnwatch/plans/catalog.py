@@ -176,7 +176,7 @@ broken AS (
   SELECT unnest(CASE h WHEN 1 THEN ['missing_transaction_id', 'missing_user_id', 'missing_amount',
                                     'missing_merchant_category', 'missing_country', 'bad_timestamp']
                        WHEN 3 THEN ['missing_amount'] WHEN 4 THEN ['missing_transaction_id']
-                       WHEN 5 THEN ['amount_not_positive'] WHEN 6 THEN ['bad_timestamp'] ELSE [] END) AS reason FROM d)
+                       WHEN 5 THEN CASE WHEN amount >= 1 THEN ['amount_not_scorable'] ELSE [] END WHEN 6 THEN ['bad_timestamp'] ELSE [] END) AS reason FROM d)
 SELECT reason, count(*) AS n_rows FROM broken GROUP BY reason""")
 def rejects_by_reason(spark, sf_dir):
     decoded = decode(_messages(events_as_transactions(spark, sf_dir)))
@@ -231,7 +231,7 @@ SELECT request_id, amount, merchant_category,
        CASE WHEN kind = 'purchase' THEN h + 1 END AS hour,
        CASE WHEN kind = 'signup' THEN 'u_0000' ELSE user_id END AS user_id,
        CASE WHEN kind = 'error' THEN 'US' ELSE country END AS country
-FROM r WHERE h NOT IN (0, 1, 2) AND NOT (kind = 'purchase' AND h = 23)""")
+FROM r WHERE h NOT IN (0, 1, 2) AND amount > 0 AND NOT (kind = 'purchase' AND h = 23)""")
 def accepted_requests(spark, sf_dir):
     requests = _requests(spark, sf_dir)
     checked = quality.check(requests, quality.request_rules(requests.columns))
@@ -240,9 +240,9 @@ def accepted_requests(spark, sf_dir):
 
 @query("WITH " + REQUESTS + """,
 broken AS (
-  SELECT CASE WHEN h = 0 THEN 'missing_amount' WHEN h = 1 THEN 'amount_not_positive'
-              WHEN h = 2 THEN 'missing_merchant_category'
-              WHEN kind = 'purchase' AND h = 23 THEN 'hour_out_of_range' END AS reason FROM r)
+  SELECT unnest([CASE WHEN h = 0 THEN 'missing_amount' WHEN h = 1 OR amount <= 0 THEN 'amount_not_positive' END,
+                 CASE WHEN h = 2 THEN 'missing_merchant_category' END,
+                 CASE WHEN kind = 'purchase' AND h = 23 THEN 'hour_out_of_range' END]) AS reason FROM r)
 SELECT reason, count(*) AS n_rows FROM broken WHERE reason IS NOT NULL GROUP BY reason""")
 def rejected_requests(spark, sf_dir):
     requests = _requests(spark, sf_dir)
