@@ -29,7 +29,7 @@ def test_decode_and_rejects(spark):
     assert streams.identified(rows).count() == 8 and streams.unreadable(rows).count() == 3
     checked = quality.check(streams.identified(rows), quality.stream_rules())
     assert quality.valid(checked).count() == 3
-    reasons = {r["reason"]: r["n_rows"] for r in quality.rejects_by_reason(checked).collect()}
+    reasons = {r["reason"]: r["n_rows"] for r in quality.rejects_by_reason(streams.identified(rows), quality.stream_rules()).collect()}
     assert reasons == {"missing_amount": 2, "amount_not_scorable": 1, "amount_too_large": 1, "bad_timestamp": 1}
 
 

@@ -180,7 +180,7 @@ broken AS (
 SELECT reason, count(*) AS n_rows FROM broken GROUP BY reason""")
 def rejects_by_reason(spark, sf_dir):
     decoded = decode(_messages(events_as_transactions(spark, sf_dir)))
-    return quality.rejects_by_reason(quality.check(decoded, quality.stream_rules()))
+    return quality.rejects_by_reason(decoded, quality.stream_rules())
 
 
 @query("WITH " + TX + """
@@ -246,7 +246,7 @@ broken AS (
 SELECT reason, count(*) AS n_rows FROM broken WHERE reason IS NOT NULL GROUP BY reason""")
 def rejected_requests(spark, sf_dir):
     requests = _requests(spark, sf_dir)
-    return quality.rejects_by_reason(quality.check(requests, quality.request_rules(requests.columns)))
+    return quality.rejects_by_reason(requests, quality.request_rules(requests.columns))
 
 
 @query("""
