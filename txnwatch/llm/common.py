@@ -3,7 +3,7 @@
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:
@@ -38,3 +38,28 @@ def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBat
             yield function(batch)
 
     return df.mapInArrow(run, schema)
+
+
+#: A key is hot from one row in so many on, so there are never more hot keys than this.
+HOT_KEYS = 1000
+
+
+def join_counted(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, tie: Column) -> DataFrame:
+    """Left join of ``rows`` to a stored table with one row per key, in which ``size`` counts the key's rows.
+
+    Keys with a thousandth of all rows or more are at most a thousand, so their
+    groups are broadcast. In the shuffled join for the others, rows that have
+    their answer are dealt by ``tie`` and meet nothing.
+    """
+    total = groups.agg(F.sum(size)).first()[0] or 0
+    is_hot = F.col(size) * HOT_KEYS >= total
+    values = [name for name in groups.columns if name not in keys]
+    found, salt, *hot = fresh(rows, "_found", "_salt", *[f"_hot_{name}" for name in values])
+    near = groups.filter(is_hot).select(*keys, F.lit(True).alias(found), *[F.col(a).alias(b) for a, b in zip(values, hot)])
+    far = groups.filter(~is_hot).withColumn(salt, F.lit(-1).cast("long"))
+    rows = rows.join(F.broadcast(near), keys, "left")
+    rows = rows.withColumn(salt, F.when(F.col(found).isNull(), -1).otherwise(F.pmod(F.xxhash64(tie), F.lit(1_000_003))).cast("long"))
+    rows = rows.join(far, [*keys, salt], "left")
+    for name, other in zip(values, hot):
+        rows = rows.withColumn(name, F.coalesce(name, other))
+    return rows.drop(found, salt, *hot)

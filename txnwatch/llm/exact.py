@@ -16,12 +16,9 @@ import string
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from txnwatch.llm.common import fresh
+from txnwatch.llm.common import fresh, join_counted
 from txnwatch.session import materialize
 
-#: A group is hot from one row in so many on, so there are never more hot groups than this.
-HOT_GROUPS = 1000
-
 
 def normalised(text: str) -> Column:
     """Null as empty, A-Z in lower case, nothing else changed."""
@@ -38,22 +35,11 @@ def text_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
 def with_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, list[str]]:
     """``docs`` with keep_id, group_size, kept and text_sha256 under names that are new to it, and these names."""
-    groups = text_groups(docs, doc_id, text)
-    total = groups.agg(F.sum("group_size")).first()[0] or 0
-    is_hot = F.col("group_size") * HOT_GROUPS >= total
-    keep_id, size, kept, sha, digest, salt, hot_keep, hot_size = fresh(
-        docs, "keep_id", "group_size", "kept", "text_sha256", "_text", "_salt", "_hot_keep", "_hot_size")
-
+    keep_id, size, kept, sha, digest = fresh(docs, "keep_id", "group_size", "kept", "text_sha256", "_text")
+    groups = text_groups(docs, doc_id, text).select(
+        F.col("hash").alias(digest), F.col("text_sha256").alias(sha), F.col("keep_id").alias(keep_id), F.col("group_size").alias(size))
     rows = docs.withColumn(digest, normalised(text)).withColumn(sha, F.sha2(digest, 256)).withColumn(digest, F.unhex(F.md5(digest)))
-    hot = groups.filter(is_hot).select(
-        F.col("hash").alias(digest), F.col("text_sha256").alias(sha), F.col("keep_id").alias(hot_keep), F.col("group_size").alias(hot_size))
-    rows = rows.join(F.broadcast(hot), [digest, sha], "left")
-    # rows that have their answer are dealt evenly and meet nothing in the second join
-    rows = rows.withColumn(salt, F.when(F.col(hot_size).isNull(), 0).otherwise(1 + F.pmod(F.xxhash64(doc_id), F.lit(1_000_003))))
-    rest = groups.filter(~is_hot).select(
-        F.col("hash").alias(digest), F.col("text_sha256").alias(sha), F.lit(0).cast("long").alias(salt), F.col("keep_id").alias(keep_id), F.col("group_size").alias(size))
-    rows = rows.withColumn(salt, F.col(salt).cast("long")).join(rest, [digest, sha, salt], "left")
-    rows = rows.withColumn(keep_id, F.coalesce(keep_id, hot_keep)).withColumn(size, F.coalesce(size, hot_size))
+    rows = join_counted(rows, groups, [digest, sha], size, F.col(doc_id))
     rows = rows.withColumn(kept, F.col(doc_id).eqNullSafe(F.col(keep_id)))
     return rows.select(*docs.columns, keep_id, size, kept, sha), [keep_id, size, kept, sha]
 

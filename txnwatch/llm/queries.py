@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txnwatch.llm import chat, exact, packing, pieces, tokenfile
+from txnwatch.llm import chat, exact, packing, pieces, simhash, tokenfile
 from txnwatch.llm.tokens import tokenizer_path
 
 #: Ids that end a document, and the longest sequence, as the results ask for.
@@ -30,6 +30,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), PACK_END_ID, PACK_LENGTH)
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.duplicates(table(spark, sf_dir, "documents"))
 
@@ -39,7 +43,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op4_token_files, op5_sentencepiece, op6_packing, op9_exact_dedup, op10_chat)
+    query.__name__: query for query in (op4_token_files, op5_sentencepiece, op6_packing, op8_simhash, op9_exact_dedup, op10_chat)
 }
 
 ORACLE_SQL = {"op9_exact_dedup": exact.ORACLE_SQL, "op10_chat": chat.ORACLE_SQL}
