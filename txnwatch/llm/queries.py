@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txnwatch.llm import chat, exact, packing, pieces, simhash, tokenfile
+from txnwatch.llm import chat, convolution, exact, packing, pieces, simhash, subword, tokenfile
 from txnwatch.llm.tokens import tokenizer_path
 
 #: Ids that end a document, and the longest sequence, as the results ask for.
@@ -15,6 +15,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subword.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return convolution.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write token files of all documents, read them back."""
     files = tokenfile.write_token_files(
@@ -43,7 +51,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op4_token_files, op5_sentencepiece, op6_packing, op8_simhash, op9_exact_dedup, op10_chat)
+    query.__name__: query for query in (op1_quality, op3_toxicity, op4_token_files, op5_sentencepiece, op6_packing, op8_simhash, op9_exact_dedup, op10_chat)
 }
 
 ORACLE_SQL = {"op9_exact_dedup": exact.ORACLE_SQL, "op10_chat": chat.ORACLE_SQL}
