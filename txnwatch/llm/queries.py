@@ -2,9 +2,9 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from txnwatch.llm import chat, convolution, exact, packing, pieces, simhash, subword, tokenfile
+from txnwatch.llm import chat, convolution, exact, packing, pieces, simhash, subword, tokenfile, voronoi
 from txnwatch.llm.tokens import tokenizer_path
 
 #: Ids that end a document, and the longest sequence, as the results ask for.
@@ -19,6 +19,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return subword.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return voronoi.top_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return convolution.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -51,7 +55,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op1_quality, op3_toxicity, op4_token_files, op5_sentencepiece, op6_packing, op8_simhash, op9_exact_dedup, op10_chat)
+    query.__name__: query for query in (op1_quality, op2_top_products, op3_toxicity, op4_token_files, op5_sentencepiece, op6_packing, op8_simhash, op9_exact_dedup, op10_chat)
 }
 
-ORACLE_SQL = {"op9_exact_dedup": exact.ORACLE_SQL, "op10_chat": chat.ORACLE_SQL}
+ORACLE_SQL = {"op2_top_products": voronoi.ORACLE_SQL, "op9_exact_dedup": exact.ORACLE_SQL, "op10_chat": chat.ORACLE_SQL}
