@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from txnwatch.llm import chat, convolution, exact, packing, pieces, simhash, subword, tokenfile, voronoi
+from txnwatch.llm import chat, convolution, exact, packing, pieces, simhash, sitetree, subword, tokenfile, voronoi
 from txnwatch.llm.tokens import tokenizer_path
 
 #: Ids that end a document, and the longest sequence, as the results ask for.
@@ -42,6 +42,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), PACK_END_ID, PACK_LENGTH)
 
 
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sitetree.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -55,7 +59,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op1_quality, op2_top_products, op3_toxicity, op4_token_files, op5_sentencepiece, op6_packing, op8_simhash, op9_exact_dedup, op10_chat)
+    query.__name__: query for query in (op1_quality, op2_top_products, op3_toxicity, op4_token_files, op5_sentencepiece, op6_packing, op7_main_text, op8_simhash, op9_exact_dedup, op10_chat)
 }
 
 ORACLE_SQL = {"op2_top_products": voronoi.ORACLE_SQL, "op9_exact_dedup": exact.ORACLE_SQL, "op10_chat": chat.ORACLE_SQL}
