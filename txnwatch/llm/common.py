@@ -2,7 +2,9 @@
 
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 
@@ -25,16 +27,30 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
             yield batch.slice(start, rows)
 
 
+def slices_by_size(batches: Iterable[pa.RecordBatch], column: int = 1, size: int = 1 << 22, rows: int = 4096) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut so that the texts of ``column`` come to ``size`` bytes, or are one text."""
+    for batch in batches:
+        lengths = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), np.int64)
+        start, held = 0, 0
+        for end, length in enumerate(lengths.tolist()):
+            if end > start and (held + length > size or end - start == rows):
+                yield batch.slice(start, end - start)
+                start, held = end, 0
+            held += length
+        if start < batch.num_rows:
+            yield batch.slice(start)
+
+
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """Texts of a batch; null counts as empty."""
     return [text or "" for text in batch.column(batch.schema.get_field_index(name)).to_pylist()]
 
 
-def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, rows: int = 256) -> DataFrame:
-    """Apply ``function`` to every few rows; rows stay where they are."""
+def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, rows: int = 256, by_size: bool = False) -> DataFrame:
+    """Apply ``function`` to every few rows, or to every few megabytes of the second column; rows stay where they are."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, rows):
+        for batch in slices_by_size(batches) if by_size else slices(batches, rows):
             yield function(batch)
 
     return df.mapInArrow(run, schema)

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from txnwatch.llm import rans
-from txnwatch.llm.common import slices, texts_of
+from txnwatch.llm.common import slices_by_size
 from txnwatch.llm.tokens import encoder
 from txnwatch.session import materialize, scratch_path
 
@@ -116,31 +116,31 @@ def write_token_files(docs: DataFrame, root: str, tokenizer: str, end_id: int, f
     """
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part, segment = encoder(tokenizer).encode, TaskContext.get().partitionId(), 0
+        coder, part, segment = encoder(tokenizer), TaskContext.get().partitionId(), 0
         files, base = _place(root)
         files.create_dir(base)
-        end = np.array([end_id], "<u4").tobytes()
-        doc_ids, pieces, tokens = [], [], 0
+        doc_ids, lengths, pieces, tokens = [], [], [], 0
 
         def close() -> pa.RecordBatch:
-            nonlocal doc_ids, pieces, tokens, segment
-            data = pack_file(doc_ids, np.array([len(p) // 4 for p in pieces]), np.frombuffer(b"".join(pieces), "<u4"))
+            nonlocal doc_ids, lengths, pieces, tokens, segment
+            data = pack_file(doc_ids, np.concatenate(lengths), np.concatenate(pieces))
             name = f"part-{part:06d}-{segment:05d}-{uuid.uuid4().hex}.tid"
             with files.open_output_stream(f"{base}/{name}") as file:
                 file.write(data)
             row = [part, segment, f"{root}/{name}", len(doc_ids), tokens, len(data), zlib.crc32(data)]
-            doc_ids, pieces, tokens, segment = [], [], 0, segment + 1
+            doc_ids, lengths, pieces, tokens, segment = [], [], [], 0, segment + 1
             return pa.RecordBatch.from_arrays(
                 [pa.array([x], t) for x, t in zip(row, (pa.int32(), pa.int32(), pa.string(), *[pa.int64()] * 4))],
                 ["part", "segment", "path", "n_docs", "n_tokens", "n_bytes", "crc32"])
 
-        for batch in slices(batches):
-            for doc_id, text in zip(batch.column(0).to_pylist(), texts_of(batch)):
-                pieces.append(encode(text) + end)
-                doc_ids.append(doc_id)
-                tokens += len(pieces[-1]) // 4
-                if tokens >= file_tokens:
-                    yield close()
+        for batch in slices_by_size(batches):
+            ids, ends = coder.documents(batch.column(1), end_id)
+            pieces.append(ids)
+            lengths.append(np.diff(ends))
+            doc_ids += batch.column(0).to_pylist()
+            tokens += len(ids)
+            if tokens >= file_tokens:
+                yield close()
         if doc_ids:
             yield close()
 

@@ -6,9 +6,12 @@ has seen; what it remembers is bounded and only saves time.
 """
 
 import re
+import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Most chunks that a worker remembers at a time.
 REMEMBERED = 300_000
@@ -66,11 +69,10 @@ class TextEncoder:
         self.after_blank = _Memory(self._ids_after_blank, remembered)
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _letters(self, word: str) -> bytes:
-        tokens = self.model.tokenize(word.translate(self.as_bytes))
-        return np.array([token.id for token in tokens], "<u4").tobytes()
+        return _packed([token.id for token in self.model.tokenize(word if word.isascii() and word.isalpha() else word.translate(self.as_bytes))])
 
     def _ids(self, chunk: str) -> bytes:
         if not chunk:
@@ -95,6 +97,8 @@ class TextEncoder:
 
     def encode(self, text: str) -> bytes:
         if self.kind == "words":
+            # the tokenizer lower-cases letter by letter, Python looks around a sigma
+            text = text if "Σ" in text else text.lower()
             return b"".join(map(self.plain.__getitem__, text.replace("\n", " ").split(" ")))
         if self.kind == "whole":
             return self._whole(text)
@@ -106,6 +110,58 @@ class TextEncoder:
             return self.plain[first] + b"".join(map(self.after_blank.__getitem__, rest))
 
 
+    def encode_batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and where each text's ids begin and end.
+
+        Words are cut and told apart in Arrow, so each distinct word of the batch is
+        looked up once and the rest is array work. Null counts as empty.
+        """
+        texts = pc.fill_null(texts, "")
+        if self.kind == "whole" or not len(texts):
+            return _joined([self.encode(text) for text in texts.to_pylist()])
+        cut = pc.split_pattern(pc.replace_substring(texts, "\n", " ") if self.kind == "words" else texts, " ")
+        first = np.asarray(cut.offsets, np.int64)
+        coded = pc.dictionary_encode(cut.values)
+        index = np.array(coded.indices, np.int64)
+        words = coded.dictionary.to_pylist()
+        if self.kind == "words":
+            found, odd = list(map(self.plain.__getitem__, words)), []
+        else:
+            found = list(map(self.after_blank.__getitem__, words))
+            unsafe = np.array([ids is None for ids in found])[index]
+            unsafe[first[:-1]] = False
+            odd = np.flatnonzero(np.add.reduceat(unsafe, first[:-1])).tolist()
+            own = [self.plain[words[i]] for i in index[first[:-1]].tolist()]
+            index[first[:-1]] = len(found) + np.arange(len(own))
+            found = [ids or b"" for ids in found] + own
+        if odd:  # blanks in a row, or before other white space: such texts are cut with more care
+            pieces = {i: self.encode(texts[i].as_py()) for i in odd}
+            for i in odd:
+                index[first[i]: first[i + 1]] = len(found)
+                found.append(b"")
+            for i, ids in pieces.items():
+                index[first[i]] = len(found)
+                found.append(ids)
+        ids, starts = _joined(found)
+        lengths = np.diff(starts)[index]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        return ids[np.repeat(starts[index] - ends[:-1], lengths) + np.arange(ends[-1])], ends[first]
+
+    def documents(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """As ``encode_batch``, with ``end_id`` after each text."""
+        ids, ends = self.encode_batch(texts)
+        return np.insert(ids, ends[1:], end_id).astype("<u4", copy=False), ends + np.arange(len(ends))
+
+
+def _joined(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    ends = np.cumsum([0, *map(len, parts)]) // 4
+    return np.frombuffer(b"".join(parts), "<u4"), ends
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 def _byte_names() -> dict[str, str]:
     """How byte-level models spell the blank and the letters of ``_LETTERS``, as the library spells them."""
     from tokenizers import pre_tokenizers
