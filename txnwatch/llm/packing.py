@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from txnwatch.llm.common import map_batches, slices, texts_of
+from txnwatch.llm.common import map_batches, slices_by_size, texts_of
 from txnwatch.llm.tokens import crc32_of_ids, encoder
 
 BUCKETS, DIMENSIONS, BITS = 1024, 3, 10
@@ -36,9 +36,9 @@ def hashed_vector(text: str) -> np.ndarray:
     data = np.frombuffer(text.encode(), np.uint8)
     counts = np.zeros(BUCKETS)
     for start in range(0, max(0, len(data) - 2), STRETCH):
-        part = data[start: start + STRETCH + 2].astype(np.uint32)
-        mixed = part[:-2] * np.uint32(0x9E3779B1) + part[1:-1] * np.uint32(0x85EBCA77) + part[2:] * np.uint32(0xC2B2AE3D)
-        counts += np.bincount(mixed >> np.uint32(22), minlength=BUCKETS)
+        part = data[start: start + STRETCH + 2].astype(np.uint16)
+        mixed = part[:-2] * np.uint16(0x9E37) + part[1:-1] * np.uint16(0x85EB) + part[2:] * np.uint16(0xC2B3)
+        counts += np.bincount(mixed >> np.uint16(6), minlength=BUCKETS)
     length = np.sqrt(counts @ counts)
     return counts / length if length else counts
 
@@ -123,8 +123,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, length: int = 1024, with_
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), keys], ["doc_id", "text", "key"])
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
-        end = np.array([end_id], "<u4").tobytes()
+        coder = encoder(tokenizer)
         packer = Packer(length, TaskContext.get().partitionId() << 40)
         names = [part.split()[0] for part in PIECES.split(", ")]
 
@@ -135,9 +134,10 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, length: int = 1024, with_
             ids = pa.array([piece[7].astype(np.int32) for piece in pieces], pa.list_(pa.int32()))
             return pa.RecordBatch.from_arrays([*columns, ids], [*names, "ids"])
 
-        for batch in slices(batches):
-            pieces = [piece for doc_id, text in zip(batch.column(0).to_pylist(), texts_of(batch))
-                      for piece in packer.add(doc_id, np.frombuffer(encode(text) + end, "<u4"))]
+        for batch in slices_by_size(batches):
+            ids, ends = coder.documents(batch.column(1), end_id)
+            runs = zip(batch.column(0).to_pylist(), ends.tolist(), ends[1:].tolist())
+            pieces = [piece for doc_id, start, end in runs for piece in packer.add(doc_id, ids[start:end])]
             if pieces:
                 yield table(pieces)
         if pieces := list(packer.finish()):
