@@ -6,28 +6,26 @@ stands for. Pieces are laid over the normalised bytes and so projected to byte
 spans of the original text.
 
 Where the map is empty and no piece of the model has a blank after its beginning,
-no merge reaches over the start of a word; ids are then found once per distinct word
-by the library and put together. Any other model gets whole texts.
+no merge reaches over the start of a word; the library then encodes each distinct
+word of a batch once and the ids are put together. Any other model gets whole texts.
 
 Cases: null and empty texts give no ids and decode to an empty text; repeated rows
 are encoded each; an empty table gives no rows. Only ``doc_id`` and ``text`` are read.
 """
 
 import hashlib
-import re
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from txnwatch.llm.common import map_batches, texts_of
 
 #: The character that stands for a blank in pieces; a fixed value of the format.
 BLANK = "▁"
-REMEMBERED = 200_000
-_WORDS = re.compile(" [ ]*[^ ]*")
 
 
 def _varint(data: bytes, at: int) -> tuple[int, int]:
@@ -140,24 +138,10 @@ class Normalizer:
         return bytes(out), np.array([*align, end], np.int64)
 
 
-class _Words(dict):
-    """Word after a blank -> (ids, decimal ids with commas, bytes of its pieces in the normalised text)."""
-
-    def __init__(self, encode, limit: int):
-        super().__init__()
-        self.encode, self.limit = encode, limit
-
-    def __missing__(self, word: str):
-        if len(self) >= self.limit:
-            self.clear()
-        found = self[word] = self.encode(word)
-        return found
-
-
 class PieceEncoder:
     """Ids, digests and spans of texts by a SentencePiece model."""
 
-    def __init__(self, path: str, remembered: int = REMEMBERED):
+    def __init__(self, path: str):
         import sentencepiece
 
         with open(path, "rb") as file:
@@ -168,26 +152,42 @@ class PieceEncoder:
         self.widths = np.array([1 if self.model.is_byte(i) else len(name.encode()) for i, name in enumerate(names)], np.uint16)
         inner = any(BLANK in name.lstrip(BLANK) for name in names)
         self.by_word = self.normalize.identity and not inner and any(self.model.is_byte(i) for i in range(len(names)))
-        self.blank = self.model.piece_to_id(BLANK)
-        self.words = _Words(self._word, remembered)
-
-    def _word(self, word: str):
-        ids = tuple(self.model.encode(word)) if word else (self.blank,)
-        return ids, "".join(f"{i}," for i in ids), self.widths[list(ids)].tobytes()
-
-    def encode(self, text: str) -> tuple[list[int], str, np.ndarray]:
-        """Ids, the ids in decimal joined by commas, and the bytes that each takes in the normalised text."""
-        if not text:
-            return [], "", np.zeros(0, np.uint16)
-        if not self.by_word:
-            ids = self.model.encode(text)
-            return ids, ",".join(map(str, ids)), self.widths[ids]
-        text = text.replace(BLANK, " ")
-        words = text.split(" ")
-        if "" in words:  # several blanks, or one at an end: they belong to the word that follows
-            words = [word[1:] for word in _WORDS.findall(" " + text)]
-        ids, decimal, widths = zip(*map(self.words.__getitem__, words))
-        return list(chain.from_iterable(ids)), "".join(decimal)[:-1], np.frombuffer(b"".join(widths), np.uint16)
+        self.decimals = [str(i) for i in range(len(names))]
+
+    def encode_batch(self, texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids of every text (null as empty) and the bytes that each takes in the normalised text.
+
+        Words are cut and told apart in Arrow, so the library encodes each distinct
+        word of the batch once and the rest is array work.
+        """
+        texts = pc.fill_null(texts, "")
+        if not self.by_word or not len(texts):
+            return [self._row(self.model.encode(text)) for text in texts.to_pylist()]
+        cut = pc.split_pattern(pc.replace_substring(texts, BLANK, " "), " ")
+        first = np.asarray(cut.offsets, np.int64)
+        coded = pc.dictionary_encode(cut.values)
+        index, words = np.array(coded.indices, np.int64), coded.dictionary.to_pylist()
+        careful = np.add.reduceat(np.array([not word for word in words])[index], first[:-1]).tolist()
+        found = self.model.encode(words, num_threads=1)
+        ends = np.cumsum([0, *map(len, found)])
+        ids = np.fromiter(chain.from_iterable(found), np.int64, ends[-1])
+        lengths = np.diff(ends)[index]
+        places = np.concatenate([[0], np.cumsum(lengths)])
+        ids = ids[np.repeat(ends[index] - places[:-1], lengths) + np.arange(places[-1])]
+        widths, cuts = self.widths[ids], places[first].tolist()
+        # empty texts, several blanks in a row and blanks at an end go to the library whole
+        return [
+            self._row(self.model.encode(texts[i].as_py())) if special else (ids[cuts[i]: cuts[i + 1]], widths[cuts[i]: cuts[i + 1]])
+            for i, special in enumerate(careful)
+        ]
+
+    def _row(self, ids: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        ids = np.array(ids, np.int64)
+        return ids, self.widths[ids]
+
+    def decimal(self, ids: list[int]) -> str:
+        """Decimal ids joined by commas."""
+        return ",".join(map(self.decimals.__getitem__, ids))
 
     def spans(self, text: str, widths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First byte and byte after the last, in the original text, of each piece."""
@@ -209,17 +209,17 @@ def encode_pieces(docs: DataFrame, model: str) -> DataFrame:
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         encoder = piece_encoder(model)
         texts = texts_of(batch)
-        found = [encoder.encode(text) for text in texts]
-        spans = [encoder.spans(text, widths) for text, (_, _, widths) in zip(texts, found)]
+        found = encoder.encode_batch(batch.column(1))
+        spans = [encoder.spans(text, widths) for text, (_, widths) in zip(texts, found)]
         ints = pa.list_(pa.int32())
         return pa.RecordBatch.from_arrays([
-            batch.column(0), pa.array([ids for ids, _, _ in found], ints),
+            batch.column(0), pa.array([ids for ids, _ in found], ints),
             pa.array([begin for begin, _ in spans], ints), pa.array([end for _, end in spans], ints),
-            pa.array([encoder.model.decode(ids) for ids, _, _ in found], pa.string()),
+            pa.array([encoder.model.decode(ids.tolist()) if len(ids) else "" for ids, _ in found], pa.string()),
         ], ["doc_id", "ids", "begins", "ends", "decoded"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return map_batches(rows, run, "doc_id long, ids array<int>, begins array<int>, ends array<int>, decoded string", rows=64)
+    return map_batches(rows, run, "doc_id long, ids array<int>, begins array<int>, ends array<int>, decoded string", by_size=True)
 
 
 def piece_digests(docs: DataFrame, model: str) -> DataFrame:
@@ -231,12 +231,12 @@ def piece_digests(docs: DataFrame, model: str) -> DataFrame:
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         encoder = piece_encoder(model)
         rows = []
-        for text in texts_of(batch):
-            ids, decimal, widths = encoder.encode(text)
+        for text, (ids, widths) in zip(texts_of(batch), encoder.encode_batch(batch.column(1))):
             begins, ends = encoder.spans(text, widths)
+            ids = ids.tolist()
             decoded = encoder.model.decode(ids) if ids else ""
             rows.append((
-                len(ids), hashlib.sha256(decimal.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest(), int((ends - begins).sum())))
+                len(ids), hashlib.sha256(encoder.decimal(ids).encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest(), int((ends - begins).sum())))
         kinds = (pa.int64(), pa.string(), pa.string(), pa.int64())
         columns = zip(*rows) if rows else [()] * 4
         return pa.RecordBatch.from_arrays(
@@ -244,4 +244,4 @@ def piece_digests(docs: DataFrame, model: str) -> DataFrame:
             ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "covered_bytes"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return map_batches(rows, run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, covered_bytes long", rows=64)
+    return map_batches(rows, run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, covered_bytes long", by_size=True)
