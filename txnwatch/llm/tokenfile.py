@@ -28,7 +28,7 @@ from txnwatch.session import materialize, scratch_path
 
 MAGIC = b"TIDR\x01"
 #: Tokens after which a task closes a file.
-FILE_TOKENS = 1 << 22
+FILE_TOKENS = 1 << 21
 MANIFEST = "part int, segment int, path string, n_docs long, n_tokens long, n_bytes long, crc32 long"
 
 
@@ -135,12 +135,16 @@ def write_token_files(docs: DataFrame, root: str, tokenizer: str, end_id: int, f
 
         for batch in slices_by_size(batches):
             ids, ends = coder.documents(batch.column(1), end_id)
-            pieces.append(ids)
-            lengths.append(np.diff(ends))
-            doc_ids += batch.column(0).to_pylist()
-            tokens += len(ids)
-            if tokens >= file_tokens:
-                yield close()
+            names, at = batch.column(0).to_pylist(), 0
+            while at < len(names):
+                stop = min(len(names), int(np.searchsorted(ends, ends[at] + file_tokens - tokens)))
+                pieces.append(ids[ends[at]: ends[stop]])
+                lengths.append(np.diff(ends[at: stop + 1]))
+                doc_ids += names[at:stop]
+                tokens += int(ends[stop] - ends[at])
+                at = stop
+                if tokens >= file_tokens:
+                    yield close()
         if doc_ids:
             yield close()
 
