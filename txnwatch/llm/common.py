@@ -20,6 +20,16 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return found
 
 
+#: Rows that Spark hands to a Python worker at a time. Texts are long, and its default of 10,000 rows holds many megabytes on both sides.
+ARROW_ROWS = 1024
+
+
+def few_rows_at_a_time(df: DataFrame) -> DataFrame:
+    """``df``, once its session is told to hand texts to Python in small batches."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    return df
+
+
 def slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut to few rows, so that a task holds few whole texts at a time."""
     for batch in batches:
@@ -53,7 +63,7 @@ def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBat
         for batch in slices_by_size(batches) if by_size else slices(batches, rows):
             yield function(batch)
 
-    return df.mapInArrow(run, schema)
+    return few_rows_at_a_time(df).mapInArrow(run, schema)
 
 
 #: A key is hot from one row in so many on, so there are never more hot keys than this.

@@ -15,11 +15,11 @@ def label_counts(labels: DataFrame, label: str, allowed: Column) -> tuple[DataFr
     return clean, {row["label"]: row["n"] for row in clean.groupBy("label").agg(F.count("*").alias("n")).collect()}
 
 
-def sample(docs: DataFrame, labels: DataFrame, per_label: int) -> DataFrame:
-    """Texts of at most ``per_label`` documents of each label, chosen by a hash of the id.
+def sample(docs: DataFrame, labels: DataFrame, per_label: tuple[int, int]) -> DataFrame:
+    """Texts of at most so many documents of label 0 and of label 1, chosen by a hash of the id.
 
-    The chosen ids, bounded by twice ``per_label``, are broadcast to the scan of the texts.
+    The chosen ids, bounded by ``per_label``, are broadcast to the scan of the texts.
     """
     order = F.xxhash64("doc_id")
-    chosen = [labels.filter(F.col("label") == label).orderBy(order, "doc_id").limit(per_label) for label in (0, 1)]
+    chosen = [labels.filter(F.col("label") == label).orderBy(order, "doc_id").limit(per_label[label]) for label in (0, 1)]
     return docs.join(F.broadcast(chosen[0].unionAll(chosen[1])), "doc_id")

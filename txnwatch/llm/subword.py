@@ -20,12 +20,12 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from txnwatch.llm.common import map_batches, texts_of
+from txnwatch.llm.common import few_rows_at_a_time, map_batches, texts_of
 from txnwatch.llm.labelled import label_counts, remainder, sample
 from txnwatch.llm.words import Runs, runs_where, stretches
 
-#: Labelled documents of each kind that are learned from, at most.
-PER_LABEL = 1500
+#: Labelled documents of label 0 and of label 1 that are learned from, at most.
+PER_LABEL = (1500, 1500)
 BUCKETS, WIDTHS, DIMENSION = 1 << 17, (3, 4), 12
 #: Bucket of a word that repeats the one before.
 REPEAT = 0
@@ -90,7 +90,7 @@ def train(examples: list[tuple[np.ndarray, np.ndarray, int]], prior: float, epoc
     return QualityModel(vectors @ (output[1] - output[0]), float(bias[1] - bias[0]) + prior)
 
 
-def learn(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, per_label: int = PER_LABEL) -> QualityModel:
+def learn(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, per_label: tuple[int, int] = PER_LABEL) -> QualityModel:
     """A model of ``label`` from labels that ``allowed`` lets through; features of the sample are counted on the executors."""
     clean, counts = label_counts(labels, label, allowed)
     prior = math.log((counts.get(1, 0) + 1) / (counts.get(0, 0) + 1))
@@ -134,5 +134,5 @@ def quality(docs: DataFrame, labels: DataFrame, held_out: tuple[int, int] = (3,
 
 
 def predictions(docs: DataFrame, model, held_out: Column) -> DataFrame:
-    rows = docs.select("doc_id", held_out.alias("held_out"), score("text", model).alias("score"))
+    rows = few_rows_at_a_time(docs).select("doc_id", held_out.alias("held_out"), score("text", model).alias("score"))
     return rows.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

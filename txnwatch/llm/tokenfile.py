@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from txnwatch.llm import rans
-from txnwatch.llm.common import slices_by_size
+from txnwatch.llm.common import few_rows_at_a_time, slices_by_size
 from txnwatch.llm.tokens import encoder
 from txnwatch.session import materialize, scratch_path
 
@@ -150,7 +150,7 @@ def write_token_files(docs: DataFrame, root: str, tokenizer: str, end_id: int, f
 
     tie = F.xxhash64("text")
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ordered = ordered.repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", tie)
+    ordered = few_rows_at_a_time(ordered).repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", tie)
     return materialize(ordered.mapInArrow(write, MANIFEST), "token-files")
 
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Most chunks that a worker remembers at a time.
-REMEMBERED = 200_000
+REMEMBERED = 120_000
 #: A blank before a character that no engine takes for white space always begins a new pre-token.
 _BLANK_BEFORE_WORD = re.compile(" (?=[^\\s᠎​﻿])")
 #: Letters that neither normal forms nor neighbours change, and punctuation that begins no contraction.
