@@ -51,9 +51,18 @@ def duplicates(docs: DataFrame) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """The rows that stay, with their own columns: of equal texts the largest id, once."""
-    rows, (_, _, kept, sha) = with_groups(docs)
-    return rows.filter(kept).dropDuplicates(["doc_id", sha]).select(*docs.columns)
+    """The rows that stay, with their own columns: of equal texts the largest id, once.
+
+    What stays is decided on ids and digests; whole rows move once, to meet the
+    decision, and copies of a row under one id then lie side by side.
+    """
+    rows, (_, _, kept, sha) = with_groups(docs.select("doc_id", "text"))
+    number, missing, digest = fresh(docs, "_number", "_missing", "_digest")
+    keys = [number, missing, digest]
+    key_of = [F.coalesce("doc_id", F.lit(0)).alias(number), F.col("doc_id").isNull().alias(missing)]
+    stay = materialize(rows.filter(kept).select(*key_of, F.col(sha).alias(digest)).distinct(), "kept-texts")
+    whole = docs.select("*", *key_of, F.sha2(normalised("text"), 256).alias(digest))
+    return whole.join(stay, keys, "left_semi").dropDuplicates(keys).select(*docs.columns)
 
 
 ORACLE_SQL = f"""
