@@ -82,8 +82,30 @@ def test_salted_lookup_equals_broadcast(spark, monkeypatch):
     plain = lookups.lookup(facts, table, "user_id", [], 3)
     monkeypatch.setattr(lookups, "BROADCAST_ROWS", 0)
     counts = facts.groupBy("user_id").agg(F.count("*").alias("n"))
-    hot = lookups.hot_keys(counts.filter("user_id IS NOT NULL"), "user_id", 3000, 3, share=0.2)
-    assert hot == ["hot"]
+    hot = lookups.hot_keys(counts.filter("user_id IS NOT NULL"), "user_id", 30_000, 3)
+    assert "hot" in hot and len(hot) <= 1000
     salted = lookups.lookup(facts, table, "user_id", hot, 3)
     assert sorted(map(tuple, salted.collect()), key=str) == sorted(map(tuple, plain.select(*salted.columns).collect()), key=str)
     assert salted.columns == plain.columns
+    few = lookups.lookup(facts, table, "user_id", [], 3, few_facts=True)
+    assert sorted(map(tuple, few.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+
+
+@pytest.mark.parametrize("kind", ["null", "default", "hot"])
+def test_no_partition_of_a_lookup_swamps_the_others(spark, monkeypatch, kind):
+    """Rows without a user, of the default user and of a hot user are dealt out evenly."""
+    user = {"null": F.lit(None).cast("string"), "default": F.lit("u_0000"), "hot": F.lit("u1")}[kind]
+    facts = spark.range(10_000).select(F.col("id").alias("n"), F.when(F.col("id") % 1000 == 0, "u2").otherwise(user).alias("user_id"))
+    table = spark.createDataFrame([("u1", "B"), ("u2", "C")], "user_id string, home_country string")
+    monkeypatch.setattr(lookups, "BROADCAST_ROWS", 0)
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        found = lookups.lookup(facts, table, "user_id", ["u1", "u_0000"], 2)
+        counts = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert sum(counts) == 10_000 and max(counts) <= 2.5 * 10_000 / int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -139,10 +139,33 @@ def test_many_copies_of_one_key(spark):
     assert {r["count"] for r in got} == {64}
 
 
-def test_refuses_an_oversized_or_empty_forest(spark, monkeypatch):
+def test_refuses_an_oversized_or_empty_forest(spark):
     nodes = spark.createDataFrame(FIXED_FOREST, FOREST_NODE)
     with pytest.raises(ValueError):
         fo.load_forest(nodes.limit(0), 256)
-    monkeypatch.setattr(fo, "MAX_NODES", 3)
     with pytest.raises(ValueError):
-        fo.load_forest(nodes, 256)
+        fo.load_forest(nodes, 2)
+    with pytest.raises(ValueError):
+        fo.load_forest(nodes, 256, 4)
+
+
+def test_a_score_does_not_depend_on_its_batch(spark):
+    rng = np.random.default_rng(3)
+    data = rng.normal(size=(4000, 5)).astype(np.float32).astype(float)
+    trees = [(t, *node) for t in range(100) for node in fo.grow_tree(data[rng.choice(4000, 256, False)], 8, rng)]
+    forest = fo.compile_forest(pd.DataFrame(trees, columns=FOREST_NODE.names), 256)
+    rows = data[:2050]
+    whole = fo.walk(forest, rows)
+    for width in (1, 2, 1024, 1025):
+        parts = [fo.walk(forest, rows[i: i + width]) for i in range(0, len(rows), width)]
+        assert (np.concatenate(parts) == whole).all(), width
+    combination = rows[0, 1:]
+    cuts = fo.curve(forest, combination)
+    alike = np.column_stack([rows[:, 0], np.repeat(combination[None], len(rows), axis=0)])
+    assert (cuts[np.searchsorted(forest["cuts"], alike[:, 0])] == fo.walk(forest, alike)).all()
+
+
+def test_a_forest_that_lacks_trees_is_refused(spark):
+    rows = features(spark, 60_000).withColumn("transaction_id", F.lit("one"))
+    with pytest.raises(ValueError):
+        fo.load_forest(fo.fit_forest(rows, 60_000, 20, 64), 64, 20)

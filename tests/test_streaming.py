@@ -68,13 +68,6 @@ def test_fresh_stream_name_keeps_old_batches(spark, model, tmp_path):
     assert [r[0] for r in stored] == ["t001", "t002", "t003"] and alerts == []
 
 
-def test_horizon_is_weaker_than_a_key(spark, model, tmp_path):
-    sink = ScoringSink(model, str(tmp_path), "s", clock=lambda: NOW, horizon_days=2)
-    sink(batch(spark, [tx(1), tx(2, at="2024-03-01T00:00:00Z")]), 0)
-    sink(batch(spark, [tx(1, at="2024-03-01T00:00:00Z"), tx(2, at="2024-03-01T00:00:00Z")]), 1)
-    assert [r[0] for r in snapshot(spark, str(tmp_path))[0]] == ["t001", "t001", "t002"]
-
-
 def test_rejects_do_not_fail_the_batch(spark, model, tmp_path):
     sink = ScoringSink(model, str(tmp_path), "s", clock=lambda: NOW)
     sink(batch(spark, [tx(1), tx(2, None), tx(3, 1e11), tx(4, at="soon"), tx(5, -1.0)]), 0)

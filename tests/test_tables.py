@@ -42,7 +42,7 @@ def test_envelope_columns_survive(spark):
 def test_kafka_options():
     options = streams.kafka_options("b:9092", starting_offsets="earliest", fail_on_data_loss=False)
     assert options["startingOffsets"] == "earliest" and options["failOnDataLoss"] == "false"
-    assert options["maxOffsetsPerTrigger"] == "500" and options["subscribe"] == "transactions"
+    assert "maxOffsetsPerTrigger" not in options and options["subscribe"] == "transactions"
     assert streams.kafka_options("b:9092")["failOnDataLoss"] == "true"
 
 
@@ -60,17 +60,12 @@ def test_requests(spark):
 @pytest.mark.parametrize("call", [
     lambda: quality.check_page(0), lambda: quality.check_page(201), lambda: quality.check_page(1, -1),
     lambda: quality.check_window(0), lambda: quality.check_window(1441),
-    lambda: inject.parse_types("amount_spike,typo")])
+    lambda: inject.inject_anomalies(None, types=["amount_spike", "typo"])])
 def test_bounds(call):
     with pytest.raises(ValueError):
         call()
 
 
-def test_parse_types():
-    assert inject.parse_types(" geo_jump, ,amount_spike") == ["geo_jump", "amount_spike"]
-    assert inject.parse_types("") == []
-
-
 def plain(spark, n=400):
     return spark.range(n).select(
         F.col("id").cast("string").alias("transaction_id"), F.lit("u").alias("user_id"), F.lit(5.0).alias("amount"),

@@ -100,6 +100,8 @@ def test_latest_rows_keep_ties(spark):
     df = spark.createDataFrame(rows, "id int, event_time timestamp")
     assert {r["id"] for r in training.latest_rows(df, 4).collect()} == set(range(24, 30))
     assert training.latest_rows(df, 100).count() == 30
+    untimed = df.unionAll(spark.createDataFrame([(99, None)] * 3, df.schema))
+    assert [training.latest_rows(untimed, n).count() for n in (4, 30, 31)] == [6, 30, 30]
     with pytest.raises(ValueError):
         training.latest_rows(df, 0)
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from txnwatch.functions.scalar import hour_angle, hour_of, indicator, zscore
 from txnwatch.operators.lookups import hot_keys, lookup
-from txnwatch.schemas import FEATURE_STATS, FEATURES, STD_FLOOR
+from txnwatch.schemas import DEFAULT_USER, FEATURE_STATS, FEATURES, STD_FLOOR
 from txnwatch.session import materialize
 
 
@@ -133,14 +133,16 @@ def fit_features(df: DataFrame) -> FeatureState:
     )
 
 
-def transform(df: DataFrame, state: FeatureState) -> DataFrame:
+def transform(df: DataFrame, state: FeatureState, few_rows: bool = False) -> DataFrame:
     """Add the feature columns, all 32-bit floats, in their fixed order.
 
-    An ``hour`` column, where present and not NULL, overrides the timestamp.
+    An ``hour`` column, where present and not NULL, overrides the timestamp. The
+    default user stands in for all that gave none, so it counts as hot.
+    ``few_rows`` says that ``df`` was counted and may be broadcast.
     """
     hour = hour_of(override="hour" if "hour" in df.columns else None)
-    found = lookup(df, state.merchant_freq, "merchant_category", state.hot_categories, state.n_categories)
-    found = lookup(found, state.user_home, "user_id", state.hot_users, state.n_users)
+    found = lookup(df, state.merchant_freq, "merchant_category", state.hot_categories, state.n_categories, few_rows)
+    found = lookup(found, state.user_home, "user_id", [*state.hot_users, DEFAULT_USER], state.n_users, few_rows)
     found = found.withColumn("_angle", hour_angle(hour))
     values = (
         zscore(F.log1p(F.col("amount").cast("double")), state.amount_mean, state.amount_std),

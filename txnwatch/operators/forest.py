@@ -11,14 +11,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from txnwatch.schemas import FEATURES, FOREST_NODE, N_TREES, SEED, SUB_SAMPLE
 
 # Task-side helpers travel inside the closure, so workers need no installation.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-MAX_NODES = 5_000_000  # largest node table that may be loaded and broadcast
 STEP_ROWS = 256  # rows of one feature combination before its curve is worth building
 STEP_CURVES = 2048  # curves a worker keeps
 WALK_ROWS = 1024  # rows followed through the trees at a time
@@ -36,7 +35,9 @@ def sample_per_tree(
 ) -> DataFrame:
     """``sub_sample`` rows for each tree, chosen by hashes of the row key.
 
-    The choice depends on keys only, never on partitioning. A first hash keeps
+    The choice depends on keys only, never on partitioning. Keys should be unique:
+    few distinct ones may leave a tree without rows, which :func:`load_forest`
+    then refuses. A first hash keeps
     about as many rows as are needed in total, a second one about four times the
     rows needed per tree; only those are ranked. Ranking keeps the best rows
     per task before the shuffle, so many copies of one key cannot swamp a tree.
@@ -117,15 +118,18 @@ def expected_path(size: np.ndarray) -> np.ndarray:
     return np.where(size <= 1, 0.0, np.where(size == 2, 1.0, grown))
 
 
-def load_forest(nodes: DataFrame, sub_sample: int) -> dict:
+def load_forest(nodes: DataFrame, sub_sample: int, n_trees: int | None = None) -> dict:
     """Arrays for scoring, from a node table whose size is checked first.
 
-    The table holds at most trees x (2 x sub_sample) rows however much data the
-    forest was grown on.
+    A tree over ``sub_sample`` rows has at most 2 x sub_sample - 1 nodes, however
+    much data the forest was grown on. A forest that lacks trees is refused.
     """
-    count = nodes.count()
-    if not 0 < count <= MAX_NODES:
-        raise ValueError(f"forest of {count} nodes cannot be loaded (limit {MAX_NODES})")
+    trees, count = nodes.agg(F.count_distinct("tree_id"), F.count("*")).first()
+    limit = (n_trees or trees) * (2 * max(sub_sample, 1) - 1)
+    if n_trees is not None and trees != n_trees:
+        raise ValueError(f"forest has {trees} of {n_trees} trees")
+    if not 0 < count <= limit:
+        raise ValueError(f"forest of {count} nodes cannot be loaded (limit {limit})")
     return compile_forest(nodes.toPandas(), sub_sample)
 
 
@@ -174,7 +178,15 @@ def compile_forest(table: pd.DataFrame, sub_sample: int) -> dict:
 
 
 def _to_raw(forest: dict, paths: np.ndarray) -> np.ndarray:
-    return -np.exp2(-paths.mean(axis=0) / forest["norm"])
+    """Scores from one path length per tree and row.
+
+    Trees are added one after the other. The mean of NumPy picks its order of
+    summing by the width of the block, and with it the last bit of a score.
+    """
+    total = np.zeros(paths.shape[1])
+    for tree in paths:
+        total += tree
+    return -np.exp2(-(total / len(paths)) / forest["norm"])
 
 
 def walk(forest: dict, rows: np.ndarray) -> np.ndarray:
@@ -251,13 +263,13 @@ def score_rows(forest: dict, rows: np.ndarray) -> np.ndarray:
     return out
 
 
-def raw_score_udf(spark: SparkSession, forest: dict):
+def raw_score_udf(shared):
     """Vectorised function of the five feature columns.
 
-    The broadcast is the compiled node table, whose size :func:`load_forest`
-    checked. Curves built by a worker live in it and serve later tasks.
+    ``shared`` is the broadcast of the compiled node table, whose size
+    :func:`load_forest` checked. Curves built by a worker live in it and serve
+    later tasks.
     """
-    shared = spark.sparkContext.broadcast(forest)
 
     @F.pandas_udf("double")
     def raw_score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:

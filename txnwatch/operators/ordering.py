@@ -4,12 +4,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from txnwatch.session import materialize
 
-FEW_VALUES = 200_000
 
-
-def running_totals(
-    df: DataFrame, order: str, sums: list[str], groups: list[str] | None = None, n_rows: int | None = None
-) -> DataFrame:
+def running_totals(df: DataFrame, order: str, sums: list[str], groups: list[str] | None = None) -> DataFrame:
     """Add ``<name>_upto`` and ``<name>_total`` for each of ``sums``.
 
     The first is the sum over rows up to this one, the second over all rows.
@@ -19,18 +15,8 @@ def running_totals(
     row per slice and group) are accumulated, and rows only need the total of the
     slices before theirs. The slices are written out because both steps must see
     the same cut.
-
-    A caller that has counted the rows and found few gets a plain window instead.
     """
     groups = groups or []
-    if n_rows is not None and n_rows <= FEW_VALUES:
-        everything = Window.partitionBy(*groups)
-        so_far = everything.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.select(
-            *df.columns,
-            *[F.sum(name).over(so_far).alias(f"{name}_upto") for name in sums],
-            *[F.sum(name).over(everything).alias(f"{name}_total") for name in sums],
-        )
     sliced = materialize(
         df.repartitionByRange(*groups, order).withColumn("_slice", F.spark_partition_id()), "slices"
     )
@@ -65,14 +51,11 @@ def value_at(counted: DataFrame, value: str, place: int, weight: str = "n"):
     return ranked.agg(F.max(F.when(_covers(F.lit(place), weight), F.col(value)))).first()[0]
 
 
-def quantile(counted: DataFrame, value: str, q: float, weight: str = "n", n_values: int | None = None) -> float | None:
+def quantile(counted: DataFrame, value: str, q: float, weight: str = "n") -> float | None:
     """Exact quantile, interpolated linearly, of values seen ``weight`` times each.
 
-    The built-in aggregate holds all distinct values in one task. It is used when
-    the caller has counted them and found few, running totals otherwise.
+    The built-in aggregate would hold all distinct values in one task.
     """
-    if n_values is not None and n_values <= FEW_VALUES:
-        return counted.agg(F.percentile(value, q, F.col(weight))).first()[0]
     ranked = running_totals(counted.select(value, weight), value, [weight])
     last = F.col(f"{weight}_total") - 1
     position = last * F.lit(q)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from txnwatch.operators import forest as iforest
 from txnwatch.operators.features import FeatureState, transform
 from txnwatch.schemas import FEATURES, FEATURE_STATS, FOREST_META, FOREST_NODE
+from txnwatch.session import require_utc
 
 
 @dataclass
@@ -21,23 +22,34 @@ class Model:
     seed: int
     version: int | None = None
     _raw_score: object = field(default=None, repr=False)
+    _shared: object = field(default=None, repr=False)
 
     @property
     def raw_score(self):
         """The scoring function; the forest is broadcast once per model."""
         if self._raw_score is None:
-            compiled = iforest.load_forest(self.nodes, self.sub_sample)
-            self._raw_score = iforest.raw_score_udf(self.nodes.sparkSession, compiled)
+            compiled = iforest.load_forest(self.nodes, self.sub_sample, self.n_trees)
+            self._shared = self.nodes.sparkSession.sparkContext.broadcast(compiled)
+            self._raw_score = iforest.raw_score_udf(self._shared)
         return self._raw_score
 
+    def release(self) -> None:
+        """Drop the executors' copies of the forest; tasks that still need it fetch it again."""
+        if self._shared is not None:
+            self._shared.unpersist()
+
 
 def add_raw_score(features: DataFrame, raw_score) -> DataFrame:
     return features.withColumn("raw", F.when(F.col(FEATURES[0]).isNotNull(), raw_score(*FEATURES)))
 
 
-def score_batch(df: DataFrame, model: Model) -> DataFrame:
-    """``df`` with a ``score`` column; the features are not kept."""
-    scored = add_raw_score(transform(df, model.state), model.raw_score)
+def score_batch(df: DataFrame, model: Model, few_rows: bool = False) -> DataFrame:
+    """``df`` with a ``score`` column; the features are not kept.
+
+    ``few_rows`` says that ``df`` was counted and is small enough to be broadcast.
+    """
+    require_utc(df.sparkSession)
+    scored = add_raw_score(transform(df, model.state, few_rows), model.raw_score)
     return scored.select(*df.columns, iforest.anomaly_score(F.col("raw"), model.offset).alias("score"))
 
 
@@ -98,5 +110,7 @@ class CurrentModel:
     def get(self) -> Model:
         newest = latest_version(self._spark, self._root)
         if self._model is None or self._model.version != newest:
+            if self._model is not None:
+                self._model.release()
             self._model = load_model(self._spark, self._root, newest)
         return self._model

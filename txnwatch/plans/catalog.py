@@ -15,14 +15,16 @@ from txnwatch.operators import evaluation as ev, forest as iforest, quality, rep
 from txnwatch.operators.features import (
     category_moments, fit_features, home_countries, merchant_frequency, overall_statistics, transform,
 )
-from txnwatch.operators.inject import inject_anomalies, injection_rate, label_counts
+from txnwatch.operators.inject import assigned_home, inject_anomalies, injection_rate, label_counts
 from txnwatch.operators.ordering import quantile
-from txnwatch.operators.scoring import Model, add_raw_score, flag, score_batch
+from txnwatch.operators.scoring import Model, add_raw_score, flag, load_model, save_model, score_batch
 from txnwatch.plans import serving, training
-from txnwatch.schemas import ANOMALY_TYPES, FEATURES, FOREST_NODE, REQUEST, TRANSACTION
+from txnwatch.schemas import (
+    ANOMALY_TYPES, CONTAMINATION, FAR_COUNTRIES, FEATURES, FOREST_NODE, HOME_COUNTRIES, ODD_HOURS, REQUEST, SPIKE_RANGE, TRANSACTION,
+)
 from txnwatch.session import scratch_path
 from txnwatch.sources.adapters import events_as_transactions, purchases_by_country, stream_events, table
-from txnwatch.sources.streams import decode, identified
+from txnwatch.sources.streams import decode, identified, with_lag
 from txnwatch.sources.tables import read_stored_alerts, to_message
 from txnwatch.streaming import pipeline, stateful
 from txnwatch.streaming.sinks import (
@@ -307,9 +309,48 @@ def public_transactions(spark, sf_dir):
     return quality.strip_labels(labelled(spark, sf_dir))
 
 
-@query()
+@query("""SELECT count(*) AS n_rows, TRUE AS rate_is_near, CAST(0 AS BIGINT) AS unlabelled_changes, CAST(0 AS BIGINT) AS spikes_out_of_range,
+       CAST(0 AS BIGINT) AS jumps_not_far, CAST(0 AS BIGINT) AS bursts_at_other_hours, CAST(3 AS BIGINT) AS n_types FROM events""")
 def hashed_injection(spark, sf_dir):
-    return inject_anomalies(events_as_transactions(spark, sf_dir)).groupBy("anomaly_type").agg(F.count("*").alias("n"))
+    """Spark's own hash has no SQL counterpart; what every choice of rows must satisfy has."""
+    before = events_as_transactions(spark, sf_dir).withColumns({
+        "amount_before": F.col("amount"), "country_before": F.col("country"), "timestamp_before": F.col("timestamp")})
+    after, kind, same = inject_anomalies(before), F.col("anomaly_type"), lambda c: F.col(c).eqNullSafe(F.col(f"{c}_before"))
+    low, high = SPIKE_RANGE
+    multiple = F.col("amount") / F.col("amount_before")
+    cent = F.lit(0.01) / F.col("amount_before")
+    first, last = ODD_HOURS
+    return after.agg(
+        F.count("*").alias("n_rows"),
+        (F.abs(F.avg(kind.isNotNull().cast("double")) - CONTAMINATION) < 0.02).alias("rate_is_near"),
+        F.count_if(kind.isNull() & ~(same("amount") & same("country") & same("timestamp"))).alias("unlabelled_changes"),
+        F.count_if((kind == "amount_spike") & ~multiple.between(F.lit(low) - cent, F.lit(high) + cent)).alias("spikes_out_of_range"),
+        F.count_if((kind == "geo_jump") & ~F.col("country").isin(*FAR_COUNTRIES)).alias("jumps_not_far"),
+        F.count_if((kind == "odd_hour_burst") & ~fn.hour_of().between(first, last)).alias("bursts_at_other_hours"),
+        F.count_distinct(kind).alias("n_types"),
+    )
+
+
+@query("WITH " + TX + """
+SELECT count(*) AS n_rows, count(DISTINCT user_id) AS n_users, CAST(0 AS BIGINT) AS users_with_several_homes,
+       TRUE AS homes_are_known FROM tx""")
+def assigned_homes(spark, sf_dir):
+    rows = events_as_transactions(spark, sf_dir).withColumn("home", assigned_home())
+    per_user = rows.groupBy("user_id").agg(
+        F.count("*").alias("n"), F.count_distinct("home").alias("homes"), F.min(F.col("home").isin(*HOME_COUNTRIES)).alias("known"))
+    return per_user.agg(
+        F.sum("n").alias("n_rows"), F.count("*").alias("n_users"), F.count_if(F.col("homes") != 1).alias("users_with_several_homes"),
+        F.min("known").alias("homes_are_known"))
+
+
+@query("WITH " + TX + """
+SELECT transaction_id, CAST(3 + CAST(transaction_id AS BIGINT) % 7 AS DOUBLE) AS lag_seconds FROM tx""")
+def ingest_lag(spark, sf_dir):
+    """The broker time of each message is put a few seconds after its event."""
+    rows = timed(spark, sf_dir)
+    late = F.col("event_time") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), 3 + F.col("transaction_id").cast("long") % 7)
+    messages = rows.select(fn.json_message(TRANSACTION.names).alias("value"), late.alias("timestamp"))
+    return with_lag(decode(messages)).select("transaction_id", "lag_seconds")
 
 
 # --- features ----------------------------------------------------------------
@@ -701,7 +742,7 @@ def recall_by_type(spark, sf_dir):
     return ev.recall_by_type(profiled(spark, sf_dir), 0.0)
 
 
-@query("WITH " + MATRIX + """,
+METRICS_DOCUMENT = MATRIX[len(STORED):] + """,
 curve AS (SELECT n, tp, sum(n) OVER (ORDER BY score) AS n_upto, sum(tp) OVER (ORDER BY score) AS tp_upto FROM
             (SELECT score, count(*) AS n, count(*) FILTER (WHERE is_anomaly) AS tp FROM stored GROUP BY score)),
 recalls AS (
@@ -712,7 +753,10 @@ recalls AS (
          round(count(*) FILTER (WHERE anomaly_type = 'odd_hour_burst' AND score < 0) * 1.0
                / nullif(count(*) FILTER (WHERE anomaly_type = 'odd_hour_burst'), 0), 4) AS odd_hour_burst FROM stored)
 SELECT CAST(0.0 AS DOUBLE) AS threshold, m.*, round((SELECT sum(tp * 1.0 * tp_upto / n_upto) / sum(tp) FROM curve), 4) AS auprc,
-       r.amount_spike, r.geo_jump, r.odd_hour_burst FROM metrics m CROSS JOIN recalls r""")
+       r.amount_spike, r.geo_jump, r.odd_hour_burst FROM metrics m CROSS JOIN recalls r"""
+
+
+@query("WITH " + STORED + METRICS_DOCUMENT)
 def metrics_document(spark, sf_dir):
     document = training.metrics_document(profiled(spark, sf_dir), 0.0, FIXED_TIME)
     return document.select("*", "confusion_matrix.*", "per_type_recall.*").drop(
@@ -951,35 +995,95 @@ def most_severe(spark: SparkSession, sf_dir: str, k: int = 20) -> DataFrame:
     return reports.worst_alerts(flag(score_batch(rows, model), 0.0).filter("is_flagged"), k)
 
 
-@query()
+def _tree_facts(nodes: DataFrame) -> DataFrame:
+    """One row of what every grown forest must satisfy."""
+    per_tree = nodes.groupBy("tree_id").agg(
+        F.max(F.when(F.col("node_id") == 0, F.col("size"))).alias("root"),
+        F.sum(F.when(F.col("left") < 0, F.col("size"))).alias("leaves"), F.max("depth").alias("depth"))
+    return per_tree.agg(
+        F.count("*").alias("n_trees"), F.min("root").cast("long").alias("smallest_root"), F.max("root").cast("long").alias("largest_root"),
+        F.count_if(F.col("leaves") != F.col("root")).alias("trees_that_lose_rows"), (F.max("depth") <= 8).alias("depth_is_bounded"))
+
+
+TREE_FACTS = """CAST(100 AS BIGINT) AS n_trees, least(256, count(*)) AS smallest_root, least(256, count(*)) AS largest_root,
+       CAST(0 AS BIGINT) AS trees_that_lose_rows, TRUE AS depth_is_bounded"""
+
+
+@query("WITH " + LABELLED + f"""
+SELECT {TREE_FACTS}, count(*) AS n_rows, count(*) AS n_scored, TRUE AS scores_in_range, CAST(0 AS BIGINT) AS changed_by_storing FROM labelled""")
 def forest_train_score(spark, sf_dir):
+    """Train, store, load, score with both. Random trees have no SQL counterpart, their invariants have."""
     rows, model, _ = trained(spark, sf_dir)
-    return flag(score_batch(rows, model), 0.0).select("transaction_id", "score", "is_flagged")
+    root = scratch_path(spark, "models")
+    save_model(model, root)
+    loaded = load_model(spark, root)
+    both = score_batch(score_batch(rows, model).withColumnRenamed("score", "first_score"), loaded)
+    scores = both.agg(
+        F.count("*").alias("n_rows"), F.count("score").alias("n_scored"),
+        (F.max(F.abs("score")) <= 1).alias("scores_in_range"),
+        F.count_if(~F.col("score").eqNullSafe(F.col("first_score"))).alias("changed_by_storing"))
+    return _tree_facts(loaded.nodes).join(F.broadcast(scores))
 
 
-@query()
+@query("WITH " + FOREST_SCORED + f"""
+SELECT count(*) AS n_records, count(*) FILTER (WHERE is_anomaly) AS n_anomalies_in_training, 'auto' AS contamination, 3 AS n_estimators,
+       round(count(*) FILTER (WHERE score < 0) * 1.0 / count(*), 4) AS flagged_rate_training, '{",".join(FEATURES)}' AS features,
+       '2024-02-01T00:00:00Z' AS trained_at FROM forest""")
 def train_summary(spark, sf_dir):
-    rows, model, counted = trained(spark, sf_dir)
-    return training.training_summary(rows, model, counted, FIXED_TIME)
+    rows = labelled(spark, sf_dir)
+    model = fixed_model(spark, rows)
+    raw = add_raw_score(transform(rows, model.state), model.raw_score)
+    summary = training.training_summary(rows, model, raw.groupBy("raw").agg(F.count("*").alias("n")), FIXED_TIME)
+    return with_iso(summary.withColumn("features", F.array_join("features", ",")), "trained_at")
+
+
+FOREST_STORED = FOREST_SCORED + """,
+fixed AS (SELECT * REPLACE (round(score, 9) AS score) FROM forest)"""
 
 
-@query()
+@query("WITH " + FOREST_STORED + METRICS_DOCUMENT.replace("FROM stored", "FROM fixed"))
 def evaluate_trained(spark, sf_dir):
-    rows, model, _ = trained(spark, sf_dir)
-    return training.evaluate(rows, model, evaluated_at=FIXED_TIME)
+    """The evaluation job on the forest that SQL can follow."""
+    rows = labelled(spark, sf_dir)
+    document = training.evaluate(rows, fixed_model(spark, rows), 0.0, evaluated_at=FIXED_TIME)
+    return document.select("*", "confusion_matrix.*", "per_type_recall.*").drop(
+        "confusion_matrix", "per_type_recall", "evaluated_at")
 
 
-@query()
+@query("WITH " + FOREST_SCORED + " SELECT round(quantile_cont(score - 0.5, 0.025), 6) AS calibrated_offset FROM forest")
+def calibrated_offset(spark, sf_dir):
+    """The calibration step of training, on the forest that SQL can follow."""
+    rows = labelled(spark, sf_dir)
+    model = fixed_model(spark, rows)
+    raw = add_raw_score(transform(rows, model.state), model.raw_score)
+    found = quantile(raw.groupBy("raw").agg(F.count("*").alias("n")), "raw", 0.025)
+    return spark.createDataFrame([(round(found, 6),)], "calibrated_offset double")
+
+
+@query("WITH " + TX + f"""
+SELECT {TREE_FACTS}, CAST(2 AS INTEGER) AS version, count(*) AS n_recent FROM tx WHERE tx.at > TIMESTAMP '2024-01-15 00:00:00'""")
 def retrain_recent(spark, sf_dir):
     rows = timed(spark, sf_dir)
     root = scratch_path(spark, "models")
     training.train(rows, root)
-    model = training.retrain(rows, root, since=AS_OF)
-    return flag(score_batch(rows, model), 0.0).groupBy("is_flagged").agg(F.count("*").alias("n"))
+    training.retrain(rows, root, since=AS_OF)
+    model = load_model(spark, root)
+    return _tree_facts(model.nodes).select("*", F.lit(model.version).alias("version"), F.lit(model.state.n_rows).cast("long").alias("n_recent"))
 
 
-@query()
+_SCORED_PART = FOREST_SCORED.index("featured AS")
+
+
+@query("WITH " + FOREST_SCORED[:_SCORED_PART] + REQUESTS[len(TX) + 2:] + """,
+accepted AS (
+  SELECT request_id, amount, merchant_category, CASE WHEN kind IN ('view', 'click') THEN '2024-01-15T00:00:00Z' ELSE "timestamp" END AS "timestamp",
+         CASE WHEN kind = 'purchase' THEN h + 1 END AS hour, CASE WHEN kind = 'signup' THEN 'u_0000' ELSE user_id END AS user_id,
+         CASE WHEN kind = 'error' THEN 'US' ELSE country END AS country
+  FROM r WHERE h NOT IN (0, 1, 2) AND amount > 0 AND NOT (kind = 'purchase' AND h = 23)
+),
+""" + FOREST_SCORED[_SCORED_PART:].replace("FROM labelled l", "FROM accepted l").replace("coalesce(TRY_CAST(", "coalesce(l.hour, TRY_CAST(") + """
+SELECT request_id, round(score, 6) AS score, score < 0.05 AS is_anomaly, CAST(0.05 AS DOUBLE) AS threshold FROM forest""")
 def score_requests(spark, sf_dir):
-    _, model, _ = trained(spark, sf_dir)
-    answers, _ = serving.score_requests(_requests(spark, sf_dir), model, 0.0, AS_OF)
-    return answers
+    model = fixed_model(spark, labelled(spark, sf_dir))
+    answers, _ = serving.score_requests(_requests(spark, sf_dir), model, 0.05, AS_OF)
+    return answers.drop("features")

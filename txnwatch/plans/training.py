@@ -13,7 +13,7 @@ from txnwatch.operators.scoring import Model, add_raw_score, save_model, score_b
 from txnwatch.schemas import (
     ANOMALY_TYPES, AUTO_OFFSET, CONTAMINATION, EVALUATION_THRESHOLD, FEATURES, METRICS, N_TREES, SEED,
 )
-from txnwatch.session import materialize
+from txnwatch.session import materialize, require_utc
 from txnwatch.sources.tables import write_document
 
 
@@ -30,6 +30,7 @@ def fit(
     the tree samples and once for calibration. The last scan shrinks to one row
     per distinct raw score, from which the offset is an exact quantile.
     """
+    require_utc(df.sparkSession)
     state = fit_features(df)
     features = transform(df, state)
     sub_sample = effective_sample(state.n_rows)
@@ -38,7 +39,7 @@ def fit(
     raw = add_raw_score(features, model.raw_score).filter(F.col("raw").isNotNull())
     counted = materialize(raw.groupBy("raw").agg(F.count("*").alias("n")), "raw-scores")
     if contamination != "auto":
-        model.offset = quantile(counted, "raw", contamination, n_values=counted.count())
+        model.offset = quantile(counted, "raw", contamination)
     return model, counted
 
 
@@ -47,6 +48,7 @@ def training_summary(df: DataFrame, model: Model, counted: DataFrame, trained_at
     flagged = F.sum(F.when(F.col("raw") - F.lit(model.offset) < 0, F.col("n")))
     rate = counted.agg(F.round(ratio(flagged, F.sum("n")), 4).alias("rate")).first()["rate"]
     labelled = F.count_if("is_anomaly") if "is_anomaly" in df.columns else F.lit(None).cast("long")
+    # two columns at most are read for this
     return df.agg(F.count("*").alias("n_records"), labelled.alias("n_anomalies_in_training")).select(
         F.lit(trained_at).alias("trained_at"),
         "n_records",
@@ -74,12 +76,10 @@ def train(
     return model
 
 
-def metrics_document(
-    counted: DataFrame, threshold: float, evaluated_at: datetime, n_rows: int | None = None
-) -> DataFrame:
+def metrics_document(counted: DataFrame, threshold: float, evaluated_at: datetime) -> DataFrame:
     """All metrics of one evaluation as a single nested row, from a profile."""
     matrix, recalls = ev.confusion(counted, threshold), ev.per_type_recall(counted, threshold)
-    area = ev.average_precision(counted, n_rows=n_rows).select(F.round("auprc", 4)).scalar()
+    area = ev.average_precision(counted).select(F.round("auprc", 4)).scalar()
     flat = ev.holdout_metrics(matrix)
     recall_row = recalls.select(F.struct(*ANOMALY_TYPES)).scalar()
     document = flat.select(
@@ -105,7 +105,7 @@ def evaluate(
     if "is_anomaly" not in holdout.columns:
         raise ValueError("evaluation needs an is_anomaly column")
     counted = materialize(ev.profile(score_batch(holdout, model)), "profile")
-    document = metrics_document(counted, threshold, evaluated_at or datetime.now(timezone.utc), counted.count())
+    document = metrics_document(counted, threshold, evaluated_at or datetime.now(timezone.utc))
     if path:
         write_document(document, path)
     return document
@@ -133,14 +133,15 @@ def evaluate_stored(stored: DataFrame) -> DataFrame:
 
 
 def latest_rows(df: DataFrame, n: int, time: str = "event_time") -> DataFrame:
-    """The last ``n`` rows by time, plus any that tie with the earliest of them.
+    """The last ``n`` rows by time, plus any that tie with the earliest of them; rows without a time are left out.
 
     Counting per instant first leaves one row per instant to rank.
     """
     if n < 1:
         raise ValueError("n must be positive")
     micros = F.unix_micros(F.col(time))
-    counted = df.filter(F.col(time).isNotNull()).groupBy(micros.alias("at")).agg(F.count("*").alias("n"))
+    df = df.filter(F.col(time).isNotNull())
+    counted = df.groupBy(micros.alias("at")).agg(F.count("*").alias("n"))
     total = counted.agg(F.sum("n")).first()[0] or 0
     if total <= n:
         return df

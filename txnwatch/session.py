@@ -24,6 +24,13 @@ def get_session(app: str = "txnwatch", master: str | None = None, **conf) -> Spa
     return builder.getOrCreate()
 
 
+def require_utc(spark: SparkSession) -> None:
+    """Event times are UTC text; a session in another zone would shift them without a word."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        raise RuntimeError(f"spark.sql.session.timeZone is {zone}; set it to UTC")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the session.
 

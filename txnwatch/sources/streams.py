@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from txnwatch.functions.scalar import to_event_time
 from txnwatch.schemas import TRANSACTION
 
 
@@ -10,11 +11,12 @@ def kafka_options(
     topic: str = "transactions",
     starting_offsets: str = "latest",
     fail_on_data_loss: bool = True,
-    max_offsets_per_trigger: int | None = 500,
+    max_offsets_per_trigger: int | None = None,
 ) -> dict[str, str]:
     """Reader options. ``earliest`` with a fresh checkpoint replays the topic.
 
-    The per-trigger bound is a total over all topic partitions. Lost offsets
+    The per-trigger bound is a total over all topic partitions; by default there is
+    none. Lost offsets
     fail the query by default; pass False to skip them silently.
     """
     options = {
@@ -63,6 +65,12 @@ def decode(messages: DataFrame) -> DataFrame:
     ).select("tx.*", "ingest_ts", "raw_value", *order)
 
 
+def with_lag(decoded: DataFrame) -> DataFrame:
+    """Adds ``lag_seconds``: how long after the event its message reached the broker; NULL without both times."""
+    lag = F.unix_micros("ingest_ts") - F.unix_micros(to_event_time())
+    return decoded.withColumn("lag_seconds", lag / F.lit(1e6))
+
+
 def identified(decoded: DataFrame) -> DataFrame:
     """Rows whose transaction id could be read."""
     return decoded.filter(F.col("transaction_id").isNotNull()).drop("raw_value")

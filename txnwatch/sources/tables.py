@@ -17,10 +17,14 @@ def stored_schema(table: T.StructType) -> T.StructType:
 
 
 def create_tables(spark: SparkSession, root: str) -> None:
-    """Make both stored tables if absent; existing ones are left alone."""
+    """Make both stored tables if absent; an existing one must have the columns and types of its schema."""
     for name, schema in (("transactions", SCORED), ("alerts", ALERT)):
         empty = spark.createDataFrame([], schema)
         empty.write.mode("ignore").parquet(f"{root}/{name}/stream=none/batch_id=-1/event_date=1970-01-01")
+        found = {field.name: field.dataType for field in spark.read.parquet(f"{root}/{name}").schema}
+        wrong = [field.name for field in schema if found.get(field.name) != field.dataType]
+        if wrong:
+            raise ValueError(f"stored table {root}/{name} differs in {', '.join(wrong)}")
 
 
 def read_stored_transactions(spark: SparkSession, root: str) -> DataFrame:

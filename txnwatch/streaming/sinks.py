@@ -38,10 +38,9 @@ def suppress_known(rows: DataFrame, stored: DataFrame, n_rows: int, key: str = K
     History is only scanned for its keys and never shuffled when the batch is
     small, as a rate-limited batch is; a larger batch is joined by shuffle.
     """
-    wanted = rows.select(key)
+    known = stored.select(key)
     if n_rows <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
-    known = stored.select(key).join(wanted, key, "left_semi")
+        known = known.join(F.broadcast(rows.select(key)), key, "left_semi")
     return rows.join(known, key, "left_anti")
 
 
@@ -79,10 +78,6 @@ class ScoringSink:
     replaces whole. Keys stored by any other batch are left out, so the first
     write of a transaction stands. Messages go out after both tables, so they
     never announce a row that is not stored, and may repeat after a replay.
-
-    ``horizon_days`` limits the look-back for stored keys by event date. It makes
-    a batch cost less than the whole history, and is weaker than a primary key:
-    a copy that claims a date beyond the horizon is taken for new.
     """
 
     def __init__(
@@ -93,11 +88,9 @@ class ScoringSink:
         threshold: float = ALERT_THRESHOLD,
         publish: Callable[[DataFrame, int], None] | None = None,
         clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc),
-        horizon_days: int | None = None,
     ):
         self._model, self._root, self._stream = model, root, stream
         self._threshold, self._publish, self._clock = threshold, publish, clock
-        self._horizon = horizon_days
         self._tables_made = False
         self.last_metrics: dict = {}
 
@@ -112,8 +105,9 @@ class ScoringSink:
 
         # Rejects are scored along (their score means nothing) so that one cached
         # pass over the batch serves every table below.
-        checked = quality.check(first_of_each(batch), quality.stream_rules())
-        scored = flag(score_batch(checked, model), self._threshold).persist()
+        checked = quality.check(first_of_each(batch), quality.stream_rules()).persist()
+        few = checked.count() <= BROADCAST_ROWS
+        scored = flag(score_batch(checked, model, few), self._threshold).persist()
         accepted = quality.valid(scored)
         try:
             is_valid = F.size("reject_reasons") == 0
@@ -122,7 +116,6 @@ class ScoringSink:
                 F.count_if(~is_valid).alias("n_rejected"),
                 F.count_if(is_valid & F.col("is_flagged")).alias("n_flagged"),
                 F.min(F.when(is_valid, F.col("score"))).alias("min_score"),
-                F.min(F.when(is_valid, F.to_date(to_event_time()))).alias("first_date"),
             ).first().asDict()
             if metrics["n_rejected"]:
                 rejected = quality.rejects(scored).drop("score", "is_flagged")
@@ -134,6 +127,7 @@ class ScoringSink:
             self.last_metrics = {"batch_id": batch_id, **metrics}
         finally:
             scored.unpersist()
+            checked.unpersist()
 
     def _store(self, spark: SparkSession, scored: DataFrame, metrics: dict, batch_id: int) -> None:
         transactions = read_stored_transactions(spark, self._root)
@@ -141,8 +135,6 @@ class ScoringSink:
         rows = as_stored_transactions(scored, self._batch_time(transactions, batch_id))
         for name, new, stored in (("transactions", rows, transactions), ("alerts", as_alerts(rows), alerts)):
             others = from_other_batches(stored, self._stream, batch_id)
-            if self._horizon is not None and metrics["first_date"]:
-                others = others.filter(F.col("event_date") >= F.date_sub(F.lit(metrics["first_date"]), self._horizon))
             self._overwrite_by_date(suppress_known(new, others, metrics["n_rows"]), name, batch_id, metrics["n_rows"])
 
     def _batch_time(self, transactions: DataFrame, batch_id: int) -> datetime:
