@@ -21,7 +21,7 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
 
 
 #: Rows that Spark hands to a Python worker at a time. Texts are long, and its default of 10,000 rows holds many megabytes on both sides.
-ARROW_ROWS = 1024
+ARROW_ROWS = 2048
 
 
 def few_rows_at_a_time(df: DataFrame) -> DataFrame:
@@ -37,7 +37,7 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
             yield batch.slice(start, rows)
 
 
-def slices_by_size(batches: Iterable[pa.RecordBatch], column: int = 1, size: int = 3 << 20, rows: int = 4096) -> Iterator[pa.RecordBatch]:
+def slices_by_size(batches: Iterable[pa.RecordBatch], column: int = 1, size: int = 1 << 23, rows: int = 4096) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut so that the texts of ``column`` come to ``size`` bytes, or are one text."""
     for batch in batches:
         lengths = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), np.int64)
