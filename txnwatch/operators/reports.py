@@ -48,7 +48,17 @@ def page(df: DataFrame, time: str, limit: int, offset: int = 0) -> DataFrame:
     return df.orderBy(F.col(time).desc(), "transaction_id").offset(offset).limit(limit)
 
 
-def list_alerts(alerts: DataFrame, limit: int = 50, offset: int = 0, **filters) -> DataFrame:
+def list_alerts(
+    alerts: DataFrame, limit: int = 50, offset: int = 0, after: tuple[datetime, str] | None = None, **filters
+) -> DataFrame:
+    """A page of alerts, newest first.
+
+    ``after`` is the (alerted_at, transaction_id) of the last alert seen. Paging
+    by it costs every page the same, while a growing ``offset`` sorts ever more rows.
+    """
+    if after is not None:
+        time, key = F.lit(after[0]), F.lit(after[1])
+        alerts = alerts.filter((F.col("alerted_at") < time) | (F.col("alerted_at") == time) & (F.col("transaction_id") > key))
     found = page(matching(alerts, **filters), "alerted_at", limit, offset)
     return found.select(*ALERT.names).withColumn("amount", F.col("amount").cast("double"))
 

@@ -6,7 +6,7 @@ or a score that follows from the amount alone.
 """
 
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -23,12 +23,14 @@ from txnwatch.schemas import (
     ANOMALY_TYPES, CONTAMINATION, FAR_COUNTRIES, FEATURES, FOREST_NODE, HOME_COUNTRIES, ODD_HOURS, REQUEST, SPIKE_RANGE, TRANSACTION,
 )
 from txnwatch.session import scratch_path
-from txnwatch.sources.adapters import events_as_transactions, purchases_by_country, stream_events, table
-from txnwatch.sources.streams import decode, identified, with_lag
-from txnwatch.sources.tables import read_stored_alerts, to_message
+from txnwatch.sources.adapters import events_as_transactions, purchases_by_country, stream_closed_events, stream_events, table
+from txnwatch.sources.streams import decode, identified, read_files, with_lag
+from txnwatch.sources.tables import (
+    read_metrics, read_stored_alerts, read_stored_transactions, read_transactions, to_message, write_document,
+)
 from txnwatch.streaming import pipeline, stateful
 from txnwatch.streaming.sinks import (
-    as_alert_messages, as_alerts, as_stored_transactions, first_of_each, suppress_known,
+    ScoringSink, as_alert_messages, as_alerts, as_stored_transactions, first_of_each, suppress_known,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -838,8 +840,9 @@ def timed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labelled(spark, sf_dir).withColumn("event_time", fn.to_event_time())
 
 
-def timed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = events_as_transactions(spark, sf_dir, stream_events(spark, sf_dir))
+def timed_stream(spark: SparkSession, sf_dir: str, closed: bool = False) -> DataFrame:
+    events = (stream_closed_events if closed else stream_events)(spark, sf_dir)
+    events = events_as_transactions(spark, sf_dir, events)
     return inject_anomalies(events, draw=md5_draws()).withColumn("event_time", fn.to_event_time())
 
 
@@ -868,8 +871,6 @@ slots AS (
 counted AS (SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, user_id, count(*) AS n FROM slots
             GROUP BY window_start, user_id HAVING count(*) > 2)"""
 
-CLOSED = "(SELECT max(event_time) - INTERVAL 10 MINUTE FROM timed)"
-
 
 def _slots(where: str = "") -> str:
     return WINDOWED + f" SELECT {_iso('window_start')} AS window_start, {_iso('window_end')} AS window_end, user_id, n FROM counted {where}"
@@ -942,22 +943,95 @@ def stream_scored_alerts(spark, sf_dir):
     return _rounded(kept, "score")
 
 
-@query("WITH " + _slots(f"WHERE window_end <= {CLOSED}"))
+REPLAYED = FOREST_SCORED + """,
+accepted AS (SELECT *, CAST(transaction_id AS BIGINT) % 3 AS part, CAST(CAST(amount AS DECIMAL(12, 2)) AS DOUBLE) AS money FROM forest)"""
+
+
+def _replayed(spark: SparkSession, sf_dir: str) -> str:
+    """Tables after three batches, of which the second is replayed and the third repeats rows of the first and holds a broken one."""
+    rows = labelled(spark, sf_dir)
+    root, model = scratch_path(spark, "replayed-tables"), fixed_model(spark, rows)
+    part = F.col("transaction_id").cast("long") % 3
+    ready = rows.withColumns({"ingest_ts": F.lit(FIXED_TIME), "raw_value": F.lit(None).cast("string")})
+    batches = {
+        0: ready.filter(part == 0), 1: ready.filter(part == 1),
+        2: ready.filter(part != 1).withColumn("amount", F.when(part == 0, F.col("amount") + 1).otherwise(F.col("amount")))
+        .unionByName(ready.filter(part == 1).withColumn("timestamp", F.lit("soon")))}
+    days = iter(range(1, 9))
+    sink = ScoringSink(model, root, "replay", 0.05, clock=lambda: FIXED_TIME + timedelta(days=next(days)))
+    for batch_id in (0, 1, 1, 2, 2):
+        sink(batches[batch_id], batch_id)
+    return root
+
+
+@query("WITH " + REPLAYED + """
+SELECT transaction_id, user_id, money AS amount, round(score, 6) AS score, score < 0.05 AS is_flagged,
+       CASE part WHEN 0 THEN '2024-02-02T00:00:00Z' WHEN 1 THEN '2024-02-03T00:00:00Z' ELSE '2024-02-04T00:00:00Z' END AS processed_at
+FROM accepted""")
+def stored_after_replay(spark, sf_dir):
+    """First writes stand, a replay keeps its time: the transactions table as the live sink left it."""
+    kept = read_stored_transactions(spark, _replayed(spark, sf_dir)).withColumn("amount", F.col("amount").cast("double"))
+    return with_iso(_rounded(kept, "score"), "processed_at").select(
+        "transaction_id", "user_id", "amount", "score", "is_flagged", "processed_at")
+
+
+@query("WITH " + REPLAYED + """
+SELECT 'alert' AS kind, transaction_id FROM accepted WHERE score < 0.05
+UNION ALL SELECT 'reject', transaction_id FROM accepted WHERE part = 1""")
+def alerts_and_rejects_after_replay(spark, sf_dir):
+    root = _replayed(spark, sf_dir)
+    alerts = read_stored_alerts(spark, root).select(F.lit("alert").alias("kind"), "transaction_id")
+    rejected = spark.read.parquet(f"{root}/rejects").select(F.lit("reject").alias("kind"), "transaction_id")
+    return alerts.unionAll(rejected)
+
+
+@query("WITH " + TX + """ SELECT transaction_id, user_id, amount, merchant_category, "timestamp", country FROM tx""")
+def jsonl_scan(spark, sf_dir):
+    """Transactions written as JSON lines and scanned with the given schema."""
+    path = scratch_path(spark, "jsonl")
+    events_as_transactions(spark, sf_dir).write.json(path)
+    return read_transactions(spark, path).drop("is_anomaly", "anomaly_type")
+
+
+@query("WITH " + STORED + METRICS_DOCUMENT)
+def metrics_read(spark, sf_dir):
+    """The metrics document written, and read back as a report reads it."""
+    path = scratch_path(spark, "metrics")
+    write_document(training.metrics_document(profiled(spark, sf_dir), 0.0, FIXED_TIME), path)
+    return read_metrics(spark, path).select("*", "confusion_matrix.*", "per_type_recall.*").drop(
+        "confusion_matrix", "per_type_recall", "evaluated_at")
+
+
+@query("WITH " + LABELLED + " SELECT transaction_id, CAST(CAST(amount AS DECIMAL(12, 2)) AS DOUBLE) AS amount FROM labelled")
+def stream_resume(spark, sf_dir):
+    """Half of the files scored, the query stopped, the rest added, and the query started again on its checkpoint."""
+    rows = labelled(spark, sf_dir)
+    model = fixed_model(spark, rows)
+    source, root, checkpoint = (scratch_path(spark, f"resume-{name}") for name in ("source", "tables", "checkpoint"))
+    messages = rows.select(fn.json_message(TRANSACTION.names).alias("value"), F.col("transaction_id").cast("long").alias("n"))
+    for half in (0, 1):
+        messages.filter(F.col("n") % 2 == half).select("value").write.mode("append").parquet(source)
+        stream = read_files(spark, source, "value string")
+        pipeline.start_scoring(stream, model, root, checkpoint, threshold=0.05, trigger=None, name=None).awaitTermination()
+    return read_stored_transactions(spark, root).select("transaction_id", F.col("amount").cast("double").alias("amount"))
+
+
+@query("WITH " + _slots())
 def stream_velocity(spark, sf_dir):
-    counts = speed.windowed_velocity(timed_stream(spark, sf_dir), limit=2, seconds=3600, slide_seconds=600)
+    counts = speed.windowed_velocity(timed_stream(spark, sf_dir, closed=True), limit=2, seconds=3600, slide_seconds=600)
     return with_iso(pipeline.drain_to_files(counts, spark, "velocity"), "window_start", "window_end")
 
 
-@query("WITH " + _session_rows(f"WHERE session_end <= {CLOSED}"))
+@query("WITH " + _session_rows())
 def stream_sessions(spark, sf_dir):
-    bursts = speed.sessions(timed_stream(spark, sf_dir), gap="6 hours")
+    bursts = speed.sessions(timed_stream(spark, sf_dir, closed=True), gap="6 hours")
     drained = pipeline.drain_to_files(bursts, spark, "sessions")
     return with_iso(_rounded(drained, "total_amount", places=2), "session_start", "session_end")
 
 
-@query(_rate_windows("WHERE window_end <= (SELECT max(event_time) - INTERVAL 10 MINUTE FROM flagged)"))
+@query(_rate_windows())
 def stream_rate_windows(spark, sf_dir):
-    scored = amount_scored(spark, sf_dir, timed_stream(spark, sf_dir))
+    scored = amount_scored(spark, sf_dir, timed_stream(spark, sf_dir, closed=True))
     rates = reports.windowed_rates(scored, window="1 hour", slide="15 minutes")
     return with_iso(pipeline.drain_to_files(rates, spark, "rates"), "window_start", "window_end")
 

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from txnwatch.functions.scalar import to_iso
+from txnwatch.session import scratch_path
 from txnwatch.sources.streams import read_files
 
 
@@ -17,15 +18,16 @@ def _user(column: str):
 def _with_country(facts: DataFrame, spark: SparkSession, sf_dir: str, owner: str, prefix: str, fact_key: str, how: str) -> DataFrame:
     """Look up the owner of each fact row, then the owner's country.
 
-    The owner comes first because its own size decides how it is joined; owner
-    keys are unique, so a hot key only makes the fact side large, and adaptive
-    skew handling can split that side. Nation has one row per country, a fixed
-    and tiny set, and is the one table broadcast outright.
+    Owners get their country before they meet the facts, so the country is looked
+    up once per owner and not once per fact. Owner keys are unique, so a hot key
+    only makes the fact side large, and adaptive skew handling can split that side.
+    All tables are joined by their own sizes.
     """
     key = {"c": "c_custkey", "s": "s_suppkey"}[prefix]
     owners = table(spark, sf_dir, owner).select(key, F.col(f"{prefix}_nationkey").alias("n_nationkey"))
     nation = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("country"))
-    return facts.join(owners, F.col(fact_key) == F.col(key), how).join(F.broadcast(nation), "n_nationkey", how)
+    located = owners.join(nation, "n_nationkey", "left").drop("n_nationkey")
+    return facts.join(located if how == "left" else located.filter("country IS NOT NULL"), F.col(fact_key) == F.col(key), how)
 
 
 def events_as_transactions(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
@@ -57,7 +59,21 @@ def purchases_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ``events`` file as a stream; the pattern makes one file a directory listing."""
+def stream_events(spark: SparkSession, sf_dir: str, files_per_batch: int | None = 1) -> DataFrame:
+    """The ``events`` file as a stream, a file per batch; the pattern makes one file a directory listing."""
     schema = table(spark, sf_dir, "events").schema
-    return read_files(spark, f"{sf_dir}/event[s].parquet", schema)
+    return read_files(spark, f"{sf_dir}/event[s].parquet", schema, max_files_per_trigger=files_per_batch)
+
+
+def stream_closed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All of ``events`` as a stream that an event of no user ends, long after the last.
+
+    It moves the watermark past every window and session of the others, so a
+    finished backfill hands out its tail as well; its own never close.
+    """
+    events, path = table(spark, sf_dir, "events"), scratch_path(spark, "closed-events")
+    events.write.parquet(path)
+    last = events.agg(F.max("ts").alias("ts")).select(
+        *[((F.col("ts") + F.expr("INTERVAL 30 DAYS")) if name == "ts" else F.lit(None)).cast(kind).alias(name) for name, kind in events.dtypes])
+    last.write.mode("append").parquet(path)
+    return read_files(spark, path, events.schema)
