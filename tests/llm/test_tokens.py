@@ -11,8 +11,8 @@ from txnwatch.llm import packing, pieces, rans, tokenfile
 from txnwatch.llm.tokens import TextEncoder, tokenizer_path
 
 ODD = [
-    "", " ", "  ", " a", "a ", None, "a   b\n\n  c \t d", "x \n\ny   z 　q", "it's 'tis we'll  '", "á ́b", "Ğİ ΣΑΣ σς",
-    "<|endoftext|> a", "\x1c a \x1db", "a ​b ﻿c", "tab\t\tx \r\n y", "٣٤ 12abc—“q”  …", " \n x", "word. Word, WORD! été", "long " * 3000,
+    "", " ", "  ", " a", "a ", None, "a   b\n\n  c \t d", "x \n\ny   z \u3000q", "it's 'tis we'll  '", "á ́b", "Ğİ ΣΑΣ σς",
+    "<|endoftext|> a", "\x1c a \x1db", "a \u200bb \ufeffc", "tab\t\tx \r\n y", "٣٤ 12abc—“q”  …", " \n x", "word. Word, WORD! été", "long " * 3000,
 ]
 SCHEMA = "doc_id long, text string, key long, n_tokens string"
 
@@ -152,7 +152,7 @@ def test_normaliser_walks_a_compiled_map():
     library = sentencepiece.SentencePieceNormalizer(rule_name="nmt_nfkc")
     ours = pieces.Normalizer(library.serialized_model_proto())
     assert len(ours.units) and not ours.identity
-    for text in ["", " ", "  a  b ", "ﬁ½ Å  ｶﾞ  ①②  …", "á x", "Ǻ 　 x", "tail  ", "日本語 😀", "\x00b\n\nc"]:
+    for text in ["", " ", "  a  b ", "ﬁ½ Å  ｶﾞ  ①②  …", "á x", "Ǻ \u3000 x", "tail  ", "日本語 😀", "\x00b\n\nc"]:
         normal, align = ours(text)
         assert normal.decode() == library.normalize(text), text
         assert len(align) == len(normal) + 1 and (np.diff(align) >= 0).all() and (not len(align) or align[-1] <= len(text.encode()))

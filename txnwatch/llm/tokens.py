@@ -16,10 +16,10 @@ import pyarrow.compute as pc
 #: Most chunks that a worker remembers at a time.
 REMEMBERED = 300_000
 #: A blank before a character that no engine takes for white space always begins a new pre-token.
-_BLANK_BEFORE_WORD = re.compile(" (?=[^\\s᠎​﻿])")
+_BLANK_BEFORE_WORD = re.compile(" (?=[^\\s\\u180e\\u200b\\ufeff])")
 #: Letters that neither normal forms nor neighbours change, and punctuation that begins no contraction.
 _LETTERS = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?*#$%&|]+)?")
-_ODD_START = re.compile("[\\s᠎​﻿]")
+_ODD_START = re.compile("[\\s\\u180e\\u200b\\ufeff]")
 
 
 def tokenizer_path(name: str) -> str:
