@@ -111,6 +111,11 @@ def alert(i, at=AT, score=-0.2, kind="geo_jump"):
 def test_pages_are_stable_when_times_tie(spark):
     alerts = spark.createDataFrame([alert(i) for i in (3, 1, 4, 0, 2)], ALERT)
     pages = [[r["transaction_id"] for r in reports.list_alerts(alerts, 2, start).collect()] for start in (0, 2, 4)]
+    last = None
+    for page in pages:
+        rows = reports.list_alerts(alerts, 2, after=last).collect()
+        assert [r["transaction_id"] for r in rows] == page
+        last = (rows[-1]["alerted_at"], rows[-1]["transaction_id"])
     assert pages == [["t000", "t001"], ["t002", "t003"], ["t004"]]
 
 

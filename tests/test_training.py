@@ -10,11 +10,16 @@ from txnwatch.operators.inject import assigned_home, inject_anomalies, pick
 from txnwatch.operators.scoring import flag, score_batch
 from txnwatch.plans import training
 from txnwatch.plans.serving import score_requests
-from txnwatch.schemas import MERCHANT_CATEGORIES, REQUEST
+from txnwatch.schemas import REQUEST
 from txnwatch.session import materialize
 from txnwatch.sources.adapters import events_as_transactions
 from txnwatch.sources.tables import read_metrics
 
+# Fixed values of the simulated data.
+MERCHANT_CATEGORIES = (
+    "grocery", "gas", "restaurant", "entertainment",
+    "travel", "online", "atm", "pharmacy",
+)
 AT = datetime(2024, 1, 15, tzinfo=timezone.utc)
 
 

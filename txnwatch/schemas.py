@@ -5,10 +5,6 @@ from pyspark.sql import types as T
 # --- Fixed values (must stay as they are for results to be comparable) -------
 FEATURES = ("amount_log_zscore", "hour_sin", "hour_cos", "merchant_freq", "is_home_country")
 ANOMALY_TYPES = ("amount_spike", "geo_jump", "odd_hour_burst")
-MERCHANT_CATEGORIES = (
-    "grocery", "gas", "restaurant", "entertainment",
-    "travel", "online", "atm", "pharmacy",
-)
 HOME_COUNTRIES = ("US", "CA", "GB", "DE", "FR")
 FAR_COUNTRIES = ("JP", "SG", "AU", "ZA")
 TYPE_LABELS = {"amount_spike": "spike", "geo_jump": "geo", "odd_hour_burst": "hour"}
