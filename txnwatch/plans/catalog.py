@@ -20,7 +20,7 @@ from txnwatch.operators.ordering import quantile
 from txnwatch.operators.scoring import Model, add_raw_score, flag, load_model, save_model, score_batch
 from txnwatch.plans import serving, training
 from txnwatch.schemas import (
-    ANOMALY_TYPES, CONTAMINATION, FAR_COUNTRIES, FEATURES, FOREST_NODE, HOME_COUNTRIES, ODD_HOURS, REQUEST, SPIKE_RANGE, TRANSACTION,
+    CONTAMINATION, FAR_COUNTRIES, FEATURES, FOREST_NODE, HOME_COUNTRIES, ODD_HOURS, REQUEST, SPIKE_RANGE, TRANSACTION,
 )
 from txnwatch.session import scratch_path
 from txnwatch.sources.adapters import events_as_transactions, purchases_by_country, stream_closed_events, stream_events, table
