@@ -39,6 +39,26 @@ def test_ids_equal_whole_text_ids(texts, name, remembered):
         assert np.frombuffer(coder.encode(text or ""), "<u4").tolist() == whole
 
 
+ADDED = [
+    "<|endoftext|> a", "a<|endoftext|>b", "a  <|endoftext|>  b", "<|startoftext|>", "<|ENDOFTEXT|> A", "x\n<|endoftext|>\n\ny", "<|startoftext|><|endoftext|>",
+    "Σ <|endoftext|>", "<|endof text|>", "plain words", "<|endoftext|", " <|EndOfText|><|endoftext|> ", None, "",
+]
+
+
+@pytest.mark.parametrize("name, end_id", [("word_bpe_49k.json", 49407), ("byte_bpe_50k.json", 50256)])
+def test_added_tokens_have_their_own_ids(name, end_id):
+    from tokenizers import Tokenizer
+
+    library, coder = Tokenizer.from_file(tokenizer_path(name)), TextEncoder(tokenizer_path(name))
+    for texts in (ADDED, ADDED[:1], ADDED[9:10] * 3 + ADDED):
+        ids, ends = coder.encode_batch(pa.array(texts))
+        for i, text in enumerate(texts):
+            whole = library.encode(text or "", add_special_tokens=False).ids
+            assert ids[ends[i]: ends[i + 1]].tolist() == whole, text
+            assert np.frombuffer(coder.encode(text or ""), "<u4").tolist() == whole, text
+    assert coder.encode_batch(pa.array(ADDED[:1]))[0][0] == end_id
+
+
 @pytest.mark.parametrize("n", [1, 255, 256, 257, 65_537, 262_145, 300_000])
 def test_coder_round_trip(n):
     ids = np.minimum(np.random.default_rng(n).zipf(1.3, n), 49_407).astype("<u4")

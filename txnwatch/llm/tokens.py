@@ -52,17 +52,23 @@ class TextEncoder:
 
     A chunk of Latin letters, alone or before punctuation, is one or two
     pre-tokens, so it goes straight to the library's model; every other chunk goes
-    through the whole tokenizer.
+    through the whole tokenizer. A text with an added token (``<|endoftext|>``) is
+    never cut, as the library finds those before all else.
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         settings = _settings(path)
-        self.kind = "words" if _drops_white_space(settings) else "bytes" if _is_byte_level(settings) else "whole"
+        added = [token["content"] for token in settings.get("added_tokens") or []]
+        plain = not any(token.get("normalized") or re.search(r"\s", token["content"]) for token in settings.get("added_tokens") or [])
+        self.kind = "whole" if not plain else "words" if _drops_white_space(settings) else "bytes" if _is_byte_level(settings) else "whole"
+        # in any case of letters, so that lower-casing makes no added token that the text doesn't hold
+        self.has_added = re.compile("|".join(map(re.escape, added)) or r"[^\s\S]", re.I).search
+        # a character of every added token, whatever the case of its letters; looked for first, as that is quick
+        self.mark = next((char for char in "".join(added[:1]) if not char.isalpha() and all(char in content for content in added)), "")
         self.lower = self.kind == "words"
         self.as_bytes = str.maketrans(_byte_names())
         self.plain = _Memory(self._ids, remembered)
@@ -96,6 +102,8 @@ class TextEncoder:
         return self.after_blank[letters] + self.plain[tail] if tail else self._letters(" " + letters)
 
     def encode(self, text: str) -> bytes:
+        if self.mark in text and self.has_added(text):
+            return self._whole(text)
         if self.kind == "words":
             # the tokenizer lower-cases letter by letter, Python looks around a sigma
             text = text if "Σ" in text else text.lower()
@@ -124,17 +132,20 @@ class TextEncoder:
         coded = pc.dictionary_encode(cut.values)
         index = np.array(coded.indices, np.int64)
         words = coded.dictionary.to_pylist()
+        added = np.array([self.mark in word and self.has_added(word) is not None for word in words])
+        with_added = np.flatnonzero(np.add.reduceat(added[index], first[:-1])).tolist() if added.any() else []
         if self.kind == "words":
-            found, odd = list(map(self.plain.__getitem__, words)), []
+            found, odd = list(map(self.plain.__getitem__, words)), set()
         else:
             found = list(map(self.after_blank.__getitem__, words))
             unsafe = np.array([ids is None for ids in found])[index]
             unsafe[first[:-1]] = False
-            odd = np.flatnonzero(np.add.reduceat(unsafe, first[:-1])).tolist()
+            odd = set(np.flatnonzero(np.add.reduceat(unsafe, first[:-1])).tolist())
             own = [self.plain[words[i]] for i in index[first[:-1]].tolist()]
             index[first[:-1]] = len(found) + np.arange(len(own))
             found = [ids or b"" for ids in found] + own
-        if odd:  # blanks in a row, or before other white space: such texts are cut with more care
+        odd = sorted(odd.union(with_added))
+        if odd:  # added tokens, blanks in a row, or before other white space: such texts are cut with more care
             pieces = {i: self.encode(texts[i].as_py()) for i in odd}
             for i in odd:
                 index[first[i]: first[i + 1]] = len(found)
