@@ -54,6 +54,16 @@ def test_copies_of_an_article_keep_it(spark):
     assert {r["text"] for i, r in got.items() if i >= 50} == {"H\n\nSame\n\nCopy"}
 
 
+def test_a_style_that_only_copies_hold_is_kept(spark):
+    varied = "<body><div class='box'>Same on every page</div><div class='story'><p>Story number {0}</p></div></body>"
+    copied = "<body><div class='box'>Same on every page</div><div class='post-1234'><table><tr><td>All of the article.</table><p>And its end.</p></div></body>"
+    rows = [(i, f"http://a.example/{i}", varied.format(i)) for i in range(12)]
+    rows += [(50 + i, f"http://a.example/x?utm_source={i}", copied) for i in range(6)]
+    got = extract(spark, rows)
+    assert {r["text"] for i, r in got.items() if i >= 50} == {"All of the article.\n\nAnd its end."}
+    assert got[3]["text"] == "Story number 3"
+
+
 def test_both_joins_agree(spark, monkeypatch):
     page = "<body><div class='box'>Same</div><div class='story'>Story {0}</div></body>"
     rows = [(i, f"http://{'hot' if i % 3 else i}.example/{i}", page.format(i)) for i in range(60)]

@@ -6,8 +6,9 @@ contents over the pages, and of the ways its children are laid out, says how muc
 matters: a branch that looks and reads the same on most pages of a host matters
 little and is cut from each page. What an element is by its tag, role or class
 (menus, headers, footers, sidebars, notices, adverts, forms, scripts, comments) is
-cut without statistics, and the text blocks of an article are never judged by them,
-so copies of an article keep theirs.
+cut without statistics, and the text blocks of an article are never judged by them.
+Pages of a host that read the same count once, so copies of a page are no evidence
+against what only they hold.
 
 Cases: null html counts as empty and gives an empty text; unclosed and cut-off markup
 is read as far as it goes; a null url is a host of its own; repeated rows are
@@ -28,7 +29,7 @@ from txnwatch.session import materialize
 
 #: Share of the style node's importance that comes from its contents; the rest from its layout.
 CONTENT_SHARE = 0.9
-#: A branch is cut below this importance, on hosts of so many pages whose bodies matter at least so much.
+#: A branch is cut below this importance, if so many different pages have it, on hosts whose bodies matter at least so much.
 LOW, PAGES, BODIES = 0.2, 4, 0.5
 #: Cut branches of all hosts, up to which they are sent to every task.
 BROADCAST_BRANCHES = 100_000
@@ -211,49 +212,56 @@ def _signed(value: int) -> int:
 
 
 def style_nodes(pages: DataFrame) -> DataFrame:
-    """host, style, whether it is a body, content and layout (hashes) of each judged style of each page."""
+    """host, style, whether it is a body, content and layout (hashes) of each judged style of each page, and a hash of all its text (page)."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = []
         for url, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             nodes: dict[int, list] = {}
-            for element in read_page(text or "").elements:
+            page = read_page(text or "")
+            whole = _signed(xxhash.xxh64_intdigest("\n".join(own for _, _, own in page.blocks)))
+            for element in page.elements:
                 node = nodes.setdefault(element.style, [element.tag == "body", [], []])
                 node[1] += element.contents
                 node[2] += [*element.children, "/"]
             host = host_of(url)
             for style, (body, contents, layout) in nodes.items():
-                rows.append((host, _signed(style), body, _signed(xxhash.xxh64_intdigest(np.array(contents, np.uint64).tobytes())), _signed(xxhash.xxh64_intdigest(" ".join(layout)))))
-        kinds = (pa.string(), pa.int64(), pa.bool_(), pa.int64(), pa.int64())
-        columns = zip(*rows) if rows else [()] * 5
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["host", "style", "body", "content", "layout"])
+                rows.append((host, _signed(style), body, _signed(xxhash.xxh64_intdigest(np.array(contents, np.uint64).tobytes())), _signed(xxhash.xxh64_intdigest(" ".join(layout))), whole))
+        kinds = (pa.string(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64())
+        columns = zip(*rows) if rows else [()] * 6
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["host", "style", "body", "content", "layout", "page"])
 
-    return map_batches(pages.select("url", "html"), run, "host string, style long, body boolean, content long, layout long")
+    return map_batches(pages.select("url", "html"), run, "host string, style long, body boolean, content long, layout long, page long")
+
+
+def once_each(nodes: DataFrame) -> DataFrame:
+    """Style nodes with pages that read the same put together; copies counts them."""
+    return nodes.groupBy("host", "style", "body", "page").agg(F.min("content").alias("content"), F.min("layout").alias("layout"), F.count("*").alias("copies"))
 
 
 def _entropies(nodes: DataFrame, column: str) -> DataFrame:
     """Per host and style: pages, and the entropy of ``column`` over them as a share of the most there can be."""
-    counts = nodes.groupBy("host", "style", "body", column).agg(F.count("*").alias("n"))
-    sums = counts.groupBy("host", "style", "body").agg(F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("weighted"))
+    counts = nodes.groupBy("host", "style", "body", column).agg(F.count("*").alias("n"), F.sum("copies").alias("copies"))
+    sums = counts.groupBy("host", "style", "body").agg(F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("weighted"), F.sum("copies").alias("copies"))
     share = F.when(F.col("pages") > 1, 1 - F.col("weighted") / (F.col("pages") * F.log("pages"))).otherwise(1.0)
-    return sums.select("host", "style", "body", "pages", share.alias(f"{column}_entropy"))
+    return sums.select("host", "style", "body", "pages", "copies", share.alias(f"{column}_entropy"))
 
 
 def importances(nodes: DataFrame) -> DataFrame:
-    """host, style, body, pages and importance (0 to 1) of the merged style nodes."""
+    """host, style, body, pages (different ones), copies (all) and importance (0 to 1) of the merged style nodes."""
     content, layout = _entropies(nodes, "content"), _entropies(nodes, "layout")
     keys = ["host", "style", "body"]
     same = [content[key].eqNullSafe(layout[key]) for key in keys]
     joined = content.join(layout, same[0] & same[1] & same[2])
     importance = CONTENT_SHARE * F.col("content_entropy") + (1 - CONTENT_SHARE) * F.col("layout_entropy")
-    return joined.select(*[content[key] for key in keys], content["pages"], importance.alias("importance"))
+    return joined.select(*[content[key] for key in keys], content["pages"], content["copies"], importance.alias("importance"))
 
 
 def cut_branches(pages: DataFrame) -> DataFrame:
     """host and styles: the branches of low importance of hosts whose bodies differ; size is the host's pages."""
-    nodes = materialize(importances(style_nodes(pages)), "style-nodes")
+    nodes = materialize(importances(once_each(style_nodes(pages))), "style-nodes")
     hosts = nodes.filter("body").groupBy("host").agg(
-        F.sum("pages").alias("size"), F.max("importance").alias("body_importance")).withColumnRenamed("host", "_host")
+        F.sum("copies").alias("size"), F.max("importance").alias("body_importance")).withColumnRenamed("host", "_host")
     low = nodes.filter(~F.col("body") & (F.col("importance") < LOW) & (F.col("pages") >= PAGES))
     low = low.join(hosts, F.col("host").eqNullSafe(F.col("_host"))).filter(F.col("body_importance") >= BODIES)
     return low.groupBy("host", "size").agg(F.collect_set("style").alias("styles"))
