@@ -43,5 +43,16 @@ def test_long_conversations_roll_over_stretches(spark):
     assert "".join(got[7, p]["chat"] for p in range(3)).count("<|im_start|>") == 2500
 
 
+def test_turns_without_a_number_or_with_the_same_one_are_split(spark):
+    unnumbered = [(None, None, "user", f"t{i:05}") for i in range(3000)]
+    same = [(1, 0, f"r{i % 3}", f"t{i:05}") for i in range(2100)] + [(1, 5, "user", "end")]
+    got = chats(spark, unnumbered + same + [(2, None, "user", "x")])
+    assert sorted(got, key=str) == [(1, 0), (1, 1), (1, 2), (2, 0), (None, 0), (None, 1), (None, 2)]
+    for conv, rows in ((None, unnumbered), (1, sorted(same, key=lambda r: (r[1], r[2], r[3])))):
+        parts = [got[conv, p]["chat"] for p in range(3)]
+        assert [part.count("<|im_start|>") for part in parts] == [1024, 1024, len(rows) - 2048]
+        assert "".join(parts) == "".join(f"<|im_start|>{role}\n{text}<|im_end|>\n" for _, _, role, text in rows)
+
+
 def test_empty(spark):
     assert chats(spark, []) == {}

@@ -7,8 +7,9 @@ whose whole hash is a proper prefix of another is dropped by an anti-join; of eq
 conversations the smallest id stays. What is left is rendered.
 
 Prefixes are rolled inside stretches of turn numbers and carried over their
-borders, and long conversations are rendered in as many parts, so a conversation
-with a large share of all turns is many groups.
+borders. What is rendered is cut by the order of rows, which are counted in even
+slices and carried over likewise, so a conversation with a large share of all turns
+is many groups, also if its turns share a number or have none.
 
 Cases: turns are ordered by number, those without one last, and within a number by
 role and text; rows repeated whole count once; a null role is ``unknown``, a null
@@ -20,8 +21,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from txnwatch.session import materialize
 
-#: Turn numbers in a stretch.
+#: Turn numbers in a stretch, and turns in a part.
 STRETCH = 1024
+#: Characters of a text by which even slices are cut.
+SLICED_BY = 64
 #: Place of turns that have no number.
 UNNUMBERED = 1 << 62
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
@@ -74,17 +77,34 @@ def rendered(role: Column, text: Column) -> Column:
     return F.concat(F.lit(OPEN), role, F.lit("\n"), safe, F.lit(CLOSE), F.lit("\n"))
 
 
+def with_parts(turns: DataFrame) -> DataFrame:
+    """Distinct placed turns with their part: in the order of a conversation, the first ``STRETCH`` turns have part 0, and so on.
+
+    Both steps must see the same cut into slices, so the slices are written out.
+    """
+    sliced = turns.repartitionByRange("conv_id", "place", F.substring("role", 1, SLICED_BY), F.substring("text", 1, SLICED_BY))
+    sliced = materialize(sliced.withColumn("slice", F.spark_partition_id()), "turn-slices")
+    earlier = Window.partitionBy("conv_id").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    before = sliced.groupBy("conv_id", "slice").agg(F.count("*").alias("n")).select(
+        F.col("conv_id").alias("_before"), F.col("slice").alias("_slice"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("n"))
+    inside = Window.partitionBy("conv_id", "slice").orderBy("place", "role", "text")
+    counted = sliced.withColumn("number", F.row_number().over(inside))
+    joined = counted.join(before, F.col("conv_id").eqNullSafe(F.col("_before")) & (F.col("slice") == F.col("_slice")))
+    return joined.withColumn("part", F.floor((F.col("n") + F.col("number") - 1) / STRETCH)).drop("_before", "_slice", "n", "number", "slice")
+
+
 def format_chats(turns: DataFrame) -> DataFrame:
     """Maximal conversations in the chat template: conv_id, part, n_turns, n_copies, chat.
 
-    A part holds the turns of one stretch of numbers, counted from 0; nearly all conversations have one.
+    A part holds ``STRETCH`` turns, the last one what is left; nearly all conversations have one. Where turns are
+    numbered 0, 1, 2 and so on, as in the tables, a part is a stretch of numbers, which is how the SQL cuts them.
     """
     chosen = maximal_conversations(turns).withColumnRenamed("conv_id", "_conv")
     rows = placed_turns(turns).distinct().join(chosen, F.col("conv_id").eqNullSafe(F.col("_conv")))
     ordered = F.array_sort(F.collect_list(F.struct("place", "role", "text")))
-    parts = rows.groupBy("conv_id", "stretch", "n_turns", "n_copies").agg(ordered.alias("turns"))
+    parts = with_parts(rows).groupBy("conv_id", "part", "n_turns", "n_copies").agg(ordered.alias("turns"))
     chat = F.array_join(F.transform("turns", lambda turn: rendered(turn["role"], turn["text"])), "")
-    return parts.select("conv_id", F.col("stretch").alias("part"), "n_turns", "n_copies", chat.alias("chat"))
+    return parts.select("conv_id", "part", "n_turns", "n_copies", chat.alias("chat"))
 
 
 ORACLE_SQL = f"""
