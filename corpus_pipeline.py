@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from txnwatch.llm import convolution, exact, jaccard, packing, queries, subword
+from txnwatch.llm import convolution, exact, packing, queries, simhash, subword
 from txnwatch.llm.common import few_rows_at_a_time, fresh
 from txnwatch.llm.labelled import remainder
 from txnwatch.llm.tokens import tokenizer_path
@@ -41,8 +41,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts linked by a Jaccard similarity of 0.8 or more over five-word shingles, the document with the smallest id."""
-    return jaccard.one_of_each(docs)
+    """Of texts whose fingerprints link them (three-word shingles, two bits), the document with the smallest id."""
+    return simhash.one_of_each(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
