@@ -14,7 +14,7 @@ from txnwatch.plans.catalog import FIXED_FOREST
 from txnwatch.schemas import FOREST_NODE, TRANSACTION
 from txnwatch.sources import streams, tables
 from txnwatch.streaming import pipeline, stateful
-from txnwatch.streaming.sinks import ScoringSink, first_of_each, suppress_known
+from txnwatch.streaming.sinks import ScoringSink, first_of_each, follow_alerts, suppress_known
 
 NOW = datetime(2024, 2, 1, tzinfo=timezone.utc)
 
@@ -114,8 +114,9 @@ def test_message_stream_end_to_end(spark, model, tmp_path):
     assert {r["key"] for r in spark.read.json(out).collect()} == flagged
     (refused,) = spark.read.parquet(f"{root}/rejects").collect()
     assert refused["raw_value"] == "{bad" and "missing_transaction_id" in refused["reject_reasons"]
-    followed = pipeline.drain_to_files(tables.follow_stored_alerts(spark, root), spark, "followed")
-    assert {r["transaction_id"] for r in followed.collect()} == flagged
+    followed = []
+    follow_alerts(spark, root, lambda rows, _: followed.extend(rows.collect()), str(tmp_path / "followed")).awaitTermination()
+    assert {r["transaction_id"] for r in followed} == flagged and len(followed) == len(flagged)
 
     (source / "three.json").write_text(json.dumps({"value": json.dumps(tx(40))}))
     go()

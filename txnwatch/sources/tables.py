@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from txnwatch.functions.scalar import json_message
 from txnwatch.schemas import ALERT, ALERT_MESSAGE_FIELDS, METRICS, PROVENANCE, SCORED, TRANSACTION
+from txnwatch.streaming.commits import ATTEMPT, COMMIT, visible_attempts
 
 
 def read_transactions(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
@@ -13,31 +14,45 @@ def read_transactions(spark: SparkSession, path: str, fmt: str = "json") -> Data
 
 
 def stored_schema(table: T.StructType) -> T.StructType:
-    return T.StructType(table.fields + PROVENANCE.fields)
+    return T.StructType(table.fields + PROVENANCE.fields + [T.StructField("attempt", T.StringType())])
 
 
 def create_tables(spark: SparkSession, root: str) -> None:
     """Make both stored tables if absent; an existing one must have the columns and types of its schema."""
     for name, schema in (("transactions", SCORED), ("alerts", ALERT)):
         empty = spark.createDataFrame([], schema)
-        empty.write.mode("ignore").parquet(f"{root}/{name}/stream=none/batch_id=-1/event_date=1970-01-01")
+        empty.write.mode("ignore").parquet(f"{root}/{name}/stream=none/batch_id=-1/attempt=none/event_date=1970-01-01")
         found = {field.name: field.dataType for field in spark.read.parquet(f"{root}/{name}").schema}
         wrong = [field.name for field in schema if found.get(field.name) != field.dataType]
         if wrong:
             raise ValueError(f"stored table {root}/{name} differs in {', '.join(wrong)}")
+    spark.createDataFrame([], COMMIT).coalesce(1).write.mode("ignore").parquet(f"{root}/commits/none/t0-000000000000-000000000000-1-0-none")
+
+
+def read_attempts(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """All rows of a stored table with their attempt, also of batches that have not been committed."""
+    schema = {"transactions": SCORED, "alerts": ALERT}[table]
+    return spark.read.schema(stored_schema(schema)).parquet(f"{root}/{table}")
+
+
+def _committed(spark: SparkSession, root: str, table: str) -> DataFrame:
+    return read_attempts(spark, root, table).join(visible_attempts(spark, root), ATTEMPT, "left_semi").select(
+        *[name for name in stored_schema({"transactions": SCORED, "alerts": ALERT}[table]).names if name != "attempt"])
 
 
 def read_stored_transactions(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(stored_schema(SCORED)).parquet(f"{root}/transactions")
+    """Scored transactions of committed batches."""
+    return _committed(spark, root, "transactions")
 
 
 def read_stored_alerts(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(stored_schema(ALERT)).parquet(f"{root}/alerts")
+    """Alerts of committed batches."""
+    return _committed(spark, root, "alerts")
 
 
-def follow_stored_alerts(spark: SparkSession, root: str) -> DataFrame:
-    """The alerts table as a stream of newly stored alerts."""
-    return spark.readStream.schema(stored_schema(ALERT)).parquet(f"{root}/alerts")
+def follow_commits(spark: SparkSession, root: str) -> DataFrame:
+    """The markers of batches as a stream, in order of their commits."""
+    return spark.readStream.schema(COMMIT).parquet(f"{root}/commits/*/t0-*")
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -1,9 +1,11 @@
 """Idempotent tables and messages written from micro-batches."""
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from txnwatch.functions.scalar import to_event_time, to_money
 from txnwatch.operators import quality
@@ -11,7 +13,8 @@ from txnwatch.operators.lookups import BROADCAST_ROWS
 from txnwatch.operators.scoring import CurrentModel, Model, flag, score_batch
 from txnwatch.schemas import ALERT, ALERT_THRESHOLD, SCORED
 from txnwatch.sources.streams import ENVELOPE_ORDER
-from txnwatch.sources.tables import create_tables, read_stored_alerts, read_stored_transactions, to_message
+from txnwatch.sources.tables import create_tables, follow_commits, read_attempts, to_message
+from txnwatch.streaming.commits import ATTEMPT, LISTED, KeyIndex, commit, committed_time, keys_of, last_committed
 
 KEY = "transaction_id"
 ROWS_PER_FILE = 1_000_000
@@ -33,10 +36,9 @@ def first_of_each(batch: DataFrame, key: str = KEY) -> DataFrame:
 
 
 def suppress_known(rows: DataFrame, stored: DataFrame, n_rows: int, key: str = KEY) -> DataFrame:
-    """Rows whose key is not stored yet.
+    """Rows whose key is not in a stored table yet, which is scanned for its keys.
 
-    History is only scanned for its keys and never shuffled when the batch is
-    small, as a rate-limited batch is; a larger batch is joined by shuffle.
+    Never shuffles the table when the batch is small. The live sink asks its key index instead.
     """
     known = stored.select(key)
     if n_rows <= BROADCAST_ROWS:
@@ -44,11 +46,6 @@ def suppress_known(rows: DataFrame, stored: DataFrame, n_rows: int, key: str = K
     return rows.join(known, key, "left_anti")
 
 
-def from_other_batches(stored: DataFrame, stream: str, batch_id: int) -> DataFrame:
-    """Everything stored except by this very batch, which a replay overwrites."""
-    return stored.filter((F.col("stream") != stream) | (F.col("batch_id") != batch_id))
-
-
 def as_stored_transactions(scored: DataFrame, processed_at: datetime) -> DataFrame:
     return scored.select(
         KEY, "user_id",
@@ -74,10 +71,13 @@ def as_alert_messages(flagged: DataFrame) -> DataFrame:
 class ScoringSink:
     """``foreachBatch`` function: score, store, then publish.
 
-    Every batch owns one directory per table, which a replay of the batch
-    replaces whole. Keys stored by any other batch are left out, so the first
-    write of a transaction stands. Messages go out after both tables, so they
-    never announce a row that is not stored, and may repeat after a replay.
+    A batch writes both tables under an attempt of its own, then its keys to the
+    key indexes, then one marker that makes all of it visible (``commits``). A
+    replay writes a new attempt, whose marker takes the place of the first one's.
+    Keys committed by any other batch are left out, so the first write of a
+    transaction stands; they are looked up in the indexes, and the tables are not
+    read. Messages go out after the marker, so they never announce a row that is
+    not stored, and may repeat after a replay.
     """
 
     def __init__(
@@ -91,37 +91,34 @@ class ScoringSink:
     ):
         self._model, self._root, self._stream = model, root, stream
         self._threshold, self._publish, self._clock = threshold, publish, clock
-        self._tables_made = False
+        self._last: int | None = None
         self.last_metrics: dict = {}
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
         spark = batch.sparkSession
-        if not self._tables_made:
+        if self._last is None:
             create_tables(spark, self._root)
-            self._tables_made = True
+            self._last = last_committed(spark, self._root, self._stream)
         model = self._model.get() if isinstance(self._model, CurrentModel) else self._model
 
         # Rejects are scored along (their score means nothing) so that one cached
-        # pass over the batch serves every table below.
+        # pass over the batch serves every table below, and the metrics.
         checked = quality.check(first_of_each(batch), quality.stream_rules()).persist()
-        few = checked.count() <= BROADCAST_ROWS
-        scored = flag(score_batch(checked, model, few), self._threshold).persist()
+        n_all = checked.count()
+        is_valid = F.size("reject_reasons") == 0
+        seen = Observation()
+        scored = flag(score_batch(checked, model, n_all <= BROADCAST_ROWS), self._threshold).observe(
+            seen,
+            F.count_if(is_valid).alias("n_rows"),
+            F.count_if(~is_valid).alias("n_rejected"),
+            F.count_if(is_valid & F.col("is_flagged")).alias("n_flagged"),
+            F.min(F.when(is_valid, F.col("score"))).alias("min_score"),
+        ).persist()
         accepted = quality.valid(scored)
         try:
-            is_valid = F.size("reject_reasons") == 0
-            metrics = scored.agg(
-                F.count_if(is_valid).alias("n_rows"),
-                F.count_if(~is_valid).alias("n_rejected"),
-                F.count_if(is_valid & F.col("is_flagged")).alias("n_flagged"),
-                F.min(F.when(is_valid, F.col("score"))).alias("min_score"),
-            ).first().asDict()
-            if metrics["n_rejected"]:
-                rejected = quality.rejects(scored).drop("score", "is_flagged")
-                rejected.write.mode("overwrite").parquet(self._path("rejects", batch_id))
-            if metrics["n_rows"]:
-                self._store(spark, accepted, metrics, batch_id)
+            metrics = self._store(spark, scored, accepted, n_all, seen, batch_id)
             if self._publish and metrics["n_flagged"]:
                 self._publish(as_alert_messages(accepted.filter("is_flagged")), batch_id)
             self.last_metrics = {"batch_id": batch_id, **metrics}
@@ -129,25 +126,57 @@ class ScoringSink:
             scored.unpersist()
             checked.unpersist()
 
-    def _store(self, spark: SparkSession, scored: DataFrame, metrics: dict, batch_id: int) -> None:
-        transactions = read_stored_transactions(spark, self._root)
-        alerts = read_stored_alerts(spark, self._root)
-        rows = as_stored_transactions(scored, self._batch_time(transactions, batch_id))
-        for name, new, stored in (("transactions", rows, transactions), ("alerts", as_alerts(rows), alerts)):
-            others = from_other_batches(stored, self._stream, batch_id)
-            self._overwrite_by_date(suppress_known(new, others, metrics["n_rows"]), name, batch_id, metrics["n_rows"])
-
-    def _batch_time(self, transactions: DataFrame, batch_id: int) -> datetime:
-        """One time for the whole batch; a replay keeps the time of the first run."""
-        own = transactions.filter((F.col("stream") == self._stream) & (F.col("batch_id") == batch_id))
-        micros = own.agg(F.min(F.unix_micros("processed_at"))).first()[0]
-        return self._clock() if micros is None else datetime.fromtimestamp(micros / 1e6, timezone.utc)
-
-    def _path(self, table: str, batch_id: int) -> str:
-        return f"{self._root}/{table}/stream={self._stream}/batch_id={batch_id}"
-
-    def _overwrite_by_date(self, df: DataFrame, table: str, batch_id: int, n_rows: int) -> None:
-        """One file per date, or several for a date that may hold many rows."""
+    def _store(self, spark: SparkSession, scored: DataFrame, accepted: DataFrame, n_all: int, seen: Observation, batch_id: int) -> dict:
+        attempt = uuid.uuid4().hex
+        processed_at, is_replay = self._batch_time(spark, batch_id)
+        rows = as_stored_transactions(accepted, processed_at)
+        listed = keys_of(accepted, KEY) if n_all <= LISTED else None
+        self._write(spark, rows, "transactions", batch_id, attempt, n_all, listed)
+        metrics = seen.get  # the write has passed over the whole batch
+        if metrics["n_flagged"]:
+            self._write(spark, as_alerts(rows), "alerts", batch_id, attempt, metrics["n_flagged"], None)
+        if metrics["n_rejected"]:
+            rejected = quality.rejects(scored).drop("score", "is_flagged")
+            rejected.write.mode("overwrite").parquet(f"{self._root}/rejects/stream={self._stream}/batch_id={batch_id}")
+        if metrics["n_rows"]:
+            commit(spark, self._root, self._stream, batch_id, attempt, processed_at, metrics, is_replay)
+            self._last = max(self._last, batch_id)
+        return metrics
+
+    def _batch_time(self, spark: SparkSession, batch_id: int) -> tuple[datetime, bool]:
+        """One time for the whole batch, and whether it is a replay, which keeps the time of the first run."""
+        micros = committed_time(spark, self._root, self._stream, batch_id) if batch_id <= self._last else None
+        return (self._clock(), False) if micros is None else (datetime.fromtimestamp(micros / 1e6, timezone.utc), True)
+
+    def _write(self, spark: SparkSession, rows: DataFrame, table: str, batch_id: int, attempt: str, n_rows: int, listed: list | None) -> None:
+        """Rows with new keys to a table, one file per date or several for a date that may hold many, and their keys to its index."""
+        index = KeyIndex(spark, self._root, table, KEY)
+        known = index.known(rows, n_rows, self._stream, batch_id, listed)
+        new = rows.join(F.broadcast(known) if n_rows <= BROADCAST_ROWS else known, KEY, "left_anti")
         part = F.pmod(F.xxhash64(KEY), F.lit(n_rows // ROWS_PER_FILE + 1))
-        dated = df.withColumn("event_date", F.to_date("event_time")).repartition("event_date", part)
-        dated.write.partitionBy("event_date").mode("overwrite").parquet(self._path(table, batch_id))
+        dated = new.withColumn("event_date", F.to_date("event_time")).repartition("event_date", part)
+        path = f"{self._root}/{table}/stream={self._stream}/batch_id={batch_id}/attempt={attempt}"
+        dated.write.partitionBy("event_date").parquet(path)
+        owner = (self._stream, batch_id, attempt)
+        keys = spark.read.schema(f"{KEY} string").option("recursiveFileLookup", "true").parquet(path)
+        index.add(self._stream, keys.select(KEY, *[F.lit(value).alias(name) for name, value in zip(ATTEMPT, owner)]), n_rows)
+
+
+def follow_alerts(
+    spark: SparkSession, root: str, handle: Callable[[DataFrame, int], None], checkpoint: str, trigger: str | None = None,
+) -> StreamingQuery:
+    """Hand on the alerts of every batch once, as batches are committed; a replay of a batch is not handed on again.
+
+    ``trigger=None`` hands on what there is and stops. Markers are followed, not files, so alerts of a batch that has
+    not ended are never seen.
+    """
+    create_tables(spark, root)
+
+    def hand_on(commits: DataFrame, batch_id: int) -> None:
+        fresh = commits.filter("NOT is_replay AND n_flagged > 0").select(*ATTEMPT)
+        if not fresh.isEmpty():
+            handle(read_attempts(commits.sparkSession, root, "alerts").join(fresh, ATTEMPT, "left_semi").drop("attempt"), batch_id)
+
+    timing = {"processingTime": trigger} if trigger else {"availableNow": True}
+    writer = follow_commits(spark, root).writeStream.foreachBatch(hand_on)
+    return writer.option("checkpointLocation", checkpoint).trigger(**timing).start()
