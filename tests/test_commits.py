@@ -98,6 +98,9 @@ def test_the_files_that_a_batch_opens_do_not_grow_with_the_history(spark, tmp_pa
     assert max(opened) <= 3 * 3 * tiers and opened[20] <= opened[19] + 3
     kept = {run.tier: run for run in index._runs("s").live()}
     assert sorted(run.tier for run in index._runs("s").live()) == [0, 1, 2] and (kept[2].first, kept[2].last, kept[2].rows, kept[2].buckets) == (0, 15, 320, 8)
+    odd = rows_of(spark, ["it's", "a\\b", "k\n1", "", "\\'"])
+    index.add("s", odd, 5)
+    assert {r[KEY] for r in index.entries(odd, 5).collect()} == {"it's", "a\\b", "k\n1", "", "\\'"}
     large = index.entries(rows_of(spark, [f"k{i}" for i in range(0, 600)]), 600)
     assert large.count() == known, "a batch too large to list is joined with the whole index"
 

@@ -9,7 +9,7 @@ stays visible as it was until its new marker is there.
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from txnwatch.operators.lookups import BROADCAST_ROWS
 from txnwatch.streaming.runs import Runs, delete, names_in
@@ -84,7 +84,7 @@ class KeyIndex:
         for stream in names_in(self.spark, self.folder):
             runs = self._runs(stream)
             if n_rows <= LISTED:
-                part = runs.read([key_hash for _, key_hash in listed]).filter(F.col(self.key).isin([key for key, _ in listed]))
+                part = runs.read([key_hash for _, key_hash in listed]).filter(among(self.key, [key for key, _ in listed]))
             else:
                 keys = rows.select(self.key)
                 part = runs.read().join(F.broadcast(keys) if n_rows <= BROADCAST_ROWS else keys, self.key, "left_semi")
@@ -96,6 +96,19 @@ class KeyIndex:
         others = self.entries(rows, n_rows, listed).filter((F.col("stream") != stream) | (F.col("batch_id") != batch_id))
         return others.join(visible_attempts(self.spark, self.root), ATTEMPT, "left_semi").select(self.key).distinct()
 
+    def new(self, rows: DataFrame, n_rows: int, stream: str, batch_id: int, listed: list | None = None) -> DataFrame:
+        """``rows`` whose keys no other batch has committed. The entries of a small batch are few and looked at here: mostly there are none."""
+        if n_rows > LISTED:
+            known = self.known(rows, n_rows, stream, batch_id)
+            return rows.join(F.broadcast(known) if n_rows <= BROADCAST_ROWS else known, self.key, "left_anti")
+        found = [entry for entry in self.entries(rows, n_rows, listed).collect() if (entry["stream"], entry["batch_id"]) != (stream, batch_id)]
+        if not found:
+            return rows
+        seen = visible_attempts(self.spark, self.root).filter(among("attempt", sorted({entry["attempt"] for entry in found})))
+        seen = {tuple(row) for row in seen.select(*ATTEMPT).collect()}
+        known = sorted({entry[self.key] for entry in found if tuple(entry[name] for name in ATTEMPT) in seen})
+        return rows.filter(~among(self.key, known)) if known else rows
+
     def rebuild(self, stored: DataFrame) -> None:
         """The index anew from all visible rows (with their attempt), as one run per stream; runs there were are deleted after it."""
         for stream in [row[0] for row in stored.select("stream").distinct().collect()]:
@@ -106,6 +119,12 @@ class KeyIndex:
                 delete(self.spark, run.path)
 
 
+def among(name: str, values: list[str]) -> Column:
+    """Whether a column is one of so many texts, in one expression."""
+    quoted = ",".join("'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'" for value in values)
+    return F.expr(f"`{name}` IN ({quoted})") if values else F.lit(False)
+
+
 def keys_of(rows: DataFrame, key: str) -> list[tuple[str, int]]:
     """Keys and their hashes, of a batch of at most ``LISTED`` rows."""
     return [tuple(row) for row in rows.select(key, F.xxhash64(key)).collect()]

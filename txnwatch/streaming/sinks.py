@@ -134,7 +134,7 @@ class ScoringSink:
         self._write(spark, rows, "transactions", batch_id, attempt, n_all, listed)
         metrics = seen.get  # the write has passed over the whole batch
         if metrics["n_flagged"]:
-            self._write(spark, as_alerts(rows), "alerts", batch_id, attempt, metrics["n_flagged"], None)
+            self._write(spark, as_alerts(rows), "alerts", batch_id, attempt, metrics["n_flagged"], listed)
         if metrics["n_rejected"]:
             rejected = quality.rejects(scored).drop("score", "is_flagged")
             rejected.write.mode("overwrite").parquet(f"{self._root}/rejects/stream={self._stream}/batch_id={batch_id}")
@@ -151,8 +151,7 @@ class ScoringSink:
     def _write(self, spark: SparkSession, rows: DataFrame, table: str, batch_id: int, attempt: str, n_rows: int, listed: list | None) -> None:
         """Rows with new keys to a table, one file per date or several for a date that may hold many, and their keys to its index."""
         index = KeyIndex(spark, self._root, table, KEY)
-        known = index.known(rows, n_rows, self._stream, batch_id, listed)
-        new = rows.join(F.broadcast(known) if n_rows <= BROADCAST_ROWS else known, KEY, "left_anti")
+        new = index.new(rows, n_rows, self._stream, batch_id, listed)
         part = F.pmod(F.xxhash64(KEY), F.lit(n_rows // ROWS_PER_FILE + 1))
         dated = new.withColumn("event_date", F.to_date("event_time")).repartition("event_date", part)
         path = f"{self._root}/{table}/stream={self._stream}/batch_id={batch_id}/attempt={attempt}"
