@@ -1,6 +1,8 @@
 """Bounded samples of labelled documents, and the rows that learning must not see."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from txnwatch.llm.common import fresh
 
 
 def remainder(doc_id: str | Column, modulus: int) -> Column:
@@ -15,11 +17,26 @@ def label_counts(labels: DataFrame, label: str, allowed: Column) -> tuple[DataFr
     return clean, {row["label"]: row["n"] for row in clean.groupBy("label").agg(F.count("*").alias("n")).collect()}
 
 
+#: What is fitted to: of one text at most so many characters, of all texts with one label together at most so many. Scores read whole texts.
+TEXT_CHARS, LABEL_CHARS = 1 << 17, 1 << 25
+#: Tasks that the sample is dealt to.
+PARTS = 16
+
+
 def sample(docs: DataFrame, labels: DataFrame, per_label: tuple[int, int]) -> DataFrame:
-    """Texts of at most so many documents of label 0 and of label 1, chosen by a hash of the id.
+    """Texts of at most so many rows of label 0 and of label 1, chosen by a hash of the id, so that their number and size are bounded.
 
-    The chosen ids, bounded by ``per_label``, are broadcast to the scan of the texts.
+    The chosen ids, bounded by ``per_label``, are broadcast to the scan of the texts; rows are counted again after that,
+    as an id may have many, and every task hands on no more than are asked for.
     """
-    order = F.xxhash64("doc_id")
-    chosen = [labels.filter(F.col("label") == label).orderBy(order, "doc_id").limit(per_label[label]) for label in (0, 1)]
-    return docs.join(F.broadcast(chosen[0].unionAll(chosen[1])), "doc_id")
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    chosen = [labels.filter(F.col("label") == label).orderBy(*order).limit(per_label[label]) for label in (0, 1)]
+    rows = docs.withColumn("text", F.substring("text", 1, TEXT_CHARS)).join(F.broadcast(chosen[0].unionAll(chosen[1])), "doc_id")
+    by_label = Window.partitionBy("label").orderBy(*order, F.xxhash64("text"))
+    number, upto = fresh(rows, "_number", "_upto")
+    rows = rows.withColumn(number, F.row_number().over(by_label))
+    rows = rows.filter(F.col(number) <= per_label[0]) if per_label[0] == per_label[1] else rows.filter(
+        F.col(number) <= max(per_label)).filter(F.col(number) <= F.when(F.col("label") == 1, per_label[1]).otherwise(per_label[0]))
+    rows = rows.withColumn(upto, F.sum(F.length(F.coalesce("text", F.lit("")))).over(by_label.rowsBetween(Window.unboundedPreceding, -1)))
+    rows = rows.filter(F.coalesce(upto, F.lit(0)) < LABEL_CHARS)
+    return rows.drop(number, upto).repartition(PARTS, "doc_id", F.xxhash64("text"))

@@ -5,6 +5,7 @@ hash of any run by one subtraction and one multiplication, so no Python object i
 made per word.
 """
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,13 +25,21 @@ def _power(base: int, n: int) -> np.ndarray:
     return held[:n]
 
 
+_SPACE = re.compile(rb"[\x00-\x20]")
+
+
 def stretches(data: bytes) -> Iterator[tuple[np.ndarray, int]]:
-    """Parts of ``data`` that end at white space, each with the few bytes that follow it, and the length without them."""
+    """Parts of ``data``, each with the few bytes that follow it, and the length without them.
+
+    A part ends at white space where there is some within another ``STRETCH`` bytes; a longer word is several.
+    """
     start = 0
     while start < len(data):
         end = min(len(data), start + STRETCH)
-        while end < len(data) and data[end] > 32:
-            end += 1
+        if end < len(data):
+            most = min(len(data), end + STRETCH)
+            space = _SPACE.search(data, end, most)
+            end = space.start() if space else most
         yield np.frombuffer(data, np.uint8, min(len(data), end + 8) - start, start), end - start
         start = end
 
