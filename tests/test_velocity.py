@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from txnwatch.operators import velocity as speed
+from txnwatch.operators import timelines
 from txnwatch.operators.chunks import own_rows, with_halo
 
 START = datetime(2024, 1, 1)
@@ -32,8 +33,18 @@ def frame(spark, rows):
     return spark.createDataFrame(rows, SCHEMA)
 
 
-@pytest.mark.parametrize("chunk", [3600, 86_400, 40 * 86_400])
-def test_gap_equals_brute_force(frame, rows, chunk):
+@pytest.fixture(params=[1, 7])
+def slices(request, spark):
+    """The same with one slice and with many."""
+    before = {name: spark.conf.get(name) for name in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", str(request.param))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield request.param
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def test_gap_equals_brute_force(frame, rows, slices):
     expected, last = {}, {}
     for t, user, at, country, _ in sorted(rows, key=lambda r: (r[1], r[2], r[0])):
         before = last.get(user)
@@ -41,22 +52,51 @@ def test_gap_equals_brute_force(frame, rows, chunk):
         changed = before is not None and before[1] != country
         expected[t] = (gap, before[1] if before else None, changed, changed and gap < 6 * 3600)
         last[user] = (at, country)
-    got = speed.gap_and_travel(frame, chunk_seconds=chunk).collect()
+    got = speed.gap_and_travel(frame).collect()
     assert {r["transaction_id"]: tuple(r)[-4:] for r in got} == expected and len(got) == len(rows)
 
 
-@pytest.mark.parametrize("chunk", [1800, 86_400])
-def test_velocity_equals_brute_force(frame, rows, chunk):
-    span = timedelta(seconds=1800)
+@pytest.mark.parametrize("seconds", [60, 1800, 90_000])
+def test_velocity_equals_brute_force(frame, rows, slices, seconds):
+    """The longest reach spans several slices of the hot user."""
+    span = timedelta(seconds=seconds)
     by_user = {}
     for t, user, at, *_ in rows:
         by_user.setdefault(user, []).append(at)
     expected = {t: sum(at - span <= other <= at for other in by_user[user]) for t, user, at, *_ in rows}
-    got = speed.velocity(frame, limit=4, seconds=1800, chunk_seconds=chunk).collect()
+    got = speed.velocity(frame, limit=4, seconds=seconds).collect()
     assert {r["transaction_id"]: r["n_recent"] for r in got} == expected and len(got) == len(rows)
     assert all(r["too_fast"] == (r["n_recent"] > 4) for r in got)
 
 
+def test_small_arrow_batches_and_missing_users(spark, rows, slices):
+    some = [(t, None if user == "u3" else user, at, None if t.endswith("7") else country, 1.0) for t, user, at, country, _ in rows[:700]]
+    some += [(f"tie{i}", "u5", START, "US", 1.0) for i in range(9)]
+    df = spark.createDataFrame(some, SCHEMA)
+    whole = [sorted(map(tuple, f(df).collect()), key=str) for f in (speed.gap_and_travel, lambda d: speed.velocity(d, seconds=7200))]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        assert [sorted(map(tuple, f(df).collect()), key=str) for f in (speed.gap_and_travel, lambda d: speed.velocity(d, seconds=7200))] == whole
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    span = timedelta(seconds=7200)
+    expected = {t: sum(u == user and at - span <= other <= at for _, u, other, *_ in some) for t, user, at, *_ in some}
+    assert {row[0]: row[-2] for row in whole[1]} == expected
+    assert speed.velocity(df.limit(0)).count() == speed.gap_and_travel(df.limit(0)).count() == 0
+
+
+def test_one_user_spreads_over_all_tasks(spark, slices):
+    """Rows a millisecond apart, all within one chunk of any clock: slices are even in rows."""
+    busy = spark.range(70_000).select(
+        F.col("id").cast("string").alias("transaction_id"), F.lit("u").alias("user_id"),
+        F.timestamp_millis(F.lit(1_700_000_000_000) + F.col("id")).alias("event_time"), F.lit("US").alias("country"))
+    stored = timelines.sliced(busy, ["user_id", "transaction_id", "event_time"], "event_time", timelines.count_back(1000), "_n long, _open boolean", "busy")
+    sizes = [row["n"] for row in timelines.per_slice(stored)]
+    assert len(sizes) == slices and max(sizes) <= 2 * 70_000 / slices
+    counted = speed.velocity(busy, seconds=30)
+    assert counted.agg(F.min("n_recent"), F.max("n_recent"), F.sum("n_recent")).first() == (1, 30_001, 30_001 * 70_000 - 30_000 * 30_001 // 2)
+
+
 def test_halo_keeps_every_row_once(frame):
     spread = with_halo(frame, F.unix_micros("event_time"), 3_600_000_000, 60_000_000)
     assert own_rows(spread).count() == frame.count() <= spread.count()
@@ -64,12 +104,6 @@ def test_halo_keeps_every_row_once(frame):
         with_halo(frame, F.unix_micros("event_time"), 10, 11)
 
 
-def test_hot_user_is_many_groups(frame):
-    """No (user, chunk) group may hold more than a sliver of the hot user's rows."""
-    chunks = frame.filter("user_id = 'hot'").groupBy(F.floor(F.unix_micros("event_time") / 3_600_000_000)).count()
-    assert chunks.agg(F.max("count")).first()[0] < 30
-
-
 def test_windows_and_sessions_in_batch(spark):
     times = [0, 5, 10, 400, 410]
     df = spark.createDataFrame([(str(s), "u", START + timedelta(seconds=s), "US", 2.0) for s in times], SCHEMA)

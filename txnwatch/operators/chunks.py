@@ -1,5 +1,7 @@
 """Cutting long timelines so that no key or clock is handled by one task."""
 
+from math import gcd
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
@@ -25,3 +27,17 @@ def trailing(at: Column, reach: int, *keys: str):
 
 def own_rows(df: DataFrame) -> DataFrame:
     return df.filter("_own").drop("_chunk", "_own")
+
+
+def in_windows(df: DataFrame, time: str, seconds: int, slide_seconds: int, *keys: str, **counts: Column) -> DataFrame:
+    """``counts`` per sliding window (``slot``) and keys; table or stream with a watermark.
+
+    Every row is counted in one pane, the longest stretch of which both the slide and the window are made up; only the
+    panes' counts are repeated for the windows they lie in.
+    """
+    pane = f"{gcd(seconds, slide_seconds)} seconds"
+    panes = df.groupBy(F.window(time, pane).alias("pane"), *keys).agg(*[count.alias(name) for name, count in counts.items()])
+    if pane == f"{seconds} seconds":
+        return panes.withColumnRenamed("pane", "slot")
+    slot = F.window("pane", f"{seconds} seconds", f"{slide_seconds} seconds").alias("slot")
+    return panes.groupBy(slot, *keys).agg(*[F.sum(name).alias(name) for name in counts])

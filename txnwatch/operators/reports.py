@@ -3,12 +3,13 @@
 from datetime import datetime
 from functools import reduce
 
+from pandas import Timedelta
 from pyspark.sql import Column, DataFrame, functions as F
 
 from txnwatch.functions.scalar import (
     currency_text, percent_text, ratio, severity_band, short_id, type_label,
 )
-from txnwatch.operators.chunks import own_rows, trailing, with_halo
+from txnwatch.operators.chunks import in_windows, own_rows, trailing, with_halo
 from txnwatch.operators.quality import check_page, check_window
 from txnwatch.schemas import (
     ALERT, ANOMALY_TYPES, FEED_SIZE, RATE_SAMPLES, RATE_STEP_SECONDS, RATE_WINDOW_SECONDS,
@@ -191,17 +192,14 @@ def windowed_rates(
 ) -> DataFrame:
     """Rows, flagged rows and rate per sliding window of one scored table or stream.
 
-    Every row falls into window / slide windows, so the slide is coarser here
-    than the step of the table form.
+    Rows are counted once per slide; the counts are handed to window / slide windows.
     """
-    return (
-        scored.withWatermark(time, watermark)
-        .groupBy(F.window(time, window, slide).alias("slot"))
-        .agg(F.count("*").alias("total_transactions"), F.count_if("is_flagged").alias("total_alerts"))
-        .select(
-            F.col("slot.start").alias("window_start"), F.col("slot.end").alias("window_end"),
-            "total_transactions", "total_alerts", anomaly_rate().alias("anomaly_rate"),
-        )
+    lengths = [int(Timedelta(length).total_seconds()) for length in (window, slide)]
+    return in_windows(
+        scored.withWatermark(time, watermark), time, *lengths, total_transactions=F.count("*"), total_alerts=F.count_if("is_flagged"),
+    ).select(
+        F.col("slot.start").alias("window_start"), F.col("slot.end").alias("window_end"),
+        "total_transactions", "total_alerts", anomaly_rate().alias("anomaly_rate"),
     )
 
 

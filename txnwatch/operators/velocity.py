@@ -2,11 +2,14 @@
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from txnwatch.operators.chunks import own_rows, trailing, with_halo
+from txnwatch.operators import timelines
+from txnwatch.operators.chunks import in_windows
 from txnwatch.schemas import VELOCITY_LIMIT, VELOCITY_SECONDS
 
 HOUR = 3600
 MICROS = 1_000_000
+#: Spark's own switch: sessions are merged within a task before rows move.
+MERGE_BEFORE_SHUFFLE = "spark.sql.sessionWindow.merge.sessions.in.local.partition"
 
 
 def gap_and_travel(
@@ -14,44 +17,30 @@ def gap_and_travel(
     time: str = "event_time",
     key: str = "transaction_id",
     min_gap_seconds: int = 6 * HOUR,
-    chunk_seconds: int = 24 * HOUR,
 ) -> DataFrame:
     """Seconds since the user's previous transaction and whether the country changed.
 
-    A change in less than ``min_gap_seconds`` is impossible travel. A user's
-    timeline is cut into chunks so that one busy user is many groups: rows look
-    back within their chunk, and the first row of a chunk takes the last row of
-    the user's previous chunk, found on a table with one row per user and chunk.
-
-    Only the four columns needed are shuffled and returned; with the same columns
-    on both sides of the join, both read one and the same shuffle. The join is
-    null-safe to keep it so (a plain one would filter one side first).
+    A change in less than ``min_gap_seconds`` is impossible travel. Timelines are
+    cut into even slices of rows (``timelines``): rows look back within their
+    slice, and the first row of a slice takes the last one of the slice before,
+    if that is the same user's. One shuffle of the four columns that are needed.
     """
-    at = F.unix_micros(F.col(time))
-    rows = df.select(key, "user_id", time, "country").withColumn("_chunk", F.floor(at / F.lit(chunk_seconds * MICROS)))
-    within = Window.partitionBy("user_id", "_chunk").orderBy(time, key)
-
-    by_chunk = Window.partitionBy("user_id").orderBy("_chunk")
-    lasts = rows.withColumn("_next", F.lead(F.lit(1)).over(within)).filter("_next IS NULL")
-    carried = lasts.select(
-        F.col("user_id").alias("_user"),
-        F.col("_chunk").alias("_at_chunk"),
-        F.lag(time).over(by_chunk).alias("_carried_time"),
-        F.lag("country").over(by_chunk).alias("_carried_country"),
-    )
-    same_chunk = F.col("user_id").eqNullSafe(F.col("_user")) & F.col("_chunk").eqNullSafe(F.col("_at_chunk"))
-    looked_back = rows.withColumns({"_time": F.lag(time).over(within), "_country": F.lag("country").over(within)})
-    linked = looked_back.join(carried, same_chunk, "left")
-
-    has_own = F.col("_time").isNotNull()
-    before_time = F.when(has_own, F.col("_time")).otherwise(F.col("_carried_time"))
-    before_country = F.when(has_own, F.col("_country")).otherwise(F.col("_carried_country"))
-    gap = (at - F.unix_micros(before_time)) / F.lit(float(MICROS))
-    changed = F.coalesce(before_country != F.col("country"), F.lit(False))
+    stored = timelines.sliced(
+        df, ["user_id", key, time, "country"], time, timelines.look_back([timelines.AT, "country"]),
+        f"_before_{timelines.AT} long, _before_country string, _has_before boolean", "timelines")
+    carried = timelines.carry_over(stored, [timelines.AT, "country"])
+    linked = stored.join(F.broadcast(carried), timelines.SLICE, "left")
+    is_first = F.col(timelines.PLACE) == 0
+
+    def before(column: str):
+        return F.when(is_first, F.col(f"_carried_{column}")).when(F.col("_has_before"), F.col(f"_before_{column}"))
+
+    gap = (F.col(timelines.AT) - before(timelines.AT)) / F.lit(float(MICROS))
+    changed = F.coalesce(before("country") != F.col("country"), F.lit(False))
     return linked.select(
         key, "user_id", time, "country",
         gap.alias("seconds_since_previous"),
-        before_country.alias("previous_country"),
+        before("country").alias("previous_country"),
         changed.alias("country_changed"),
         (changed & F.coalesce(gap < min_gap_seconds, F.lit(False))).alias("impossible_travel"),
     )
@@ -62,13 +51,19 @@ def velocity(
     time: str = "event_time",
     limit: int = VELOCITY_LIMIT,
     seconds: int = VELOCITY_SECONDS,
-    chunk_seconds: int = HOUR,
 ) -> DataFrame:
-    """Each row with its user's count over the trailing ``seconds``, and whether it is too many."""
-    at = F.unix_micros(F.col(time))
-    spread = with_halo(df, at, chunk_seconds * MICROS, seconds * MICROS)
-    counted = spread.withColumn("n_recent", F.count("*").over(trailing(at, seconds * MICROS, "user_id")))
-    return own_rows(counted).withColumn("too_fast", F.col("n_recent") > limit)
+    """Each row with its user's count over the trailing ``seconds``, and whether it is too many.
+
+    A count is the difference of two places in the user's order, that of the row's
+    time and that of its time less ``seconds``, within even slices of rows; what
+    falls into an earlier slice is looked up there, and no row is repeated.
+    """
+    columns = ["user_id", *[name for name in df.columns if name != "user_id"]]
+    reach = seconds * MICROS
+    stored = timelines.sliced(df, columns, time, timelines.count_back(reach), "_n long, _open boolean", "timelines")
+    slices = timelines.per_slice(stored)
+    counted = timelines.counts_across(stored, slices, reach) if len(slices) > 1 else stored
+    return counted.select(*df.columns, F.col("_n").alias("n_recent"), (F.col("_n") > limit).alias("too_fast"))
 
 
 def windowed_velocity(
@@ -81,17 +76,13 @@ def windowed_velocity(
 ) -> DataFrame:
     """Sliding counts per user above ``limit``; table or stream.
 
-    On a stream, events later than the watermark no longer reach the counts.
-    Counting is combined before the shuffle, so a hot user moves one row per
-    window and task.
+    Rows are counted once, per slide; the counts of a user are then handed to
+    the windows they belong to, on a stream as a second stateful step. Events
+    later than the watermark no longer reach the counts.
     """
-    return (
-        df.withWatermark(time, watermark)
-        .groupBy(F.window(time, f"{seconds} seconds", f"{slide_seconds} seconds").alias("slot"), "user_id")
-        .agg(F.count("*").alias("n"))
-        .filter(F.col("n") > limit)
-        .select(F.col("slot.start").alias("window_start"), F.col("slot.end").alias("window_end"), "user_id", "n")
-    )
+    counted = in_windows(df.withWatermark(time, watermark), time, seconds, slide_seconds, "user_id", n=F.count("*"))
+    return counted.filter(F.col("n") > limit).select(
+        F.col("slot.start").alias("window_start"), F.col("slot.end").alias("window_end"), "user_id", "n")
 
 
 _ACTIVITY = ("n", "total_amount", "first_country", "last_country")
@@ -115,10 +106,13 @@ def sessions(
 ) -> DataFrame:
     """Bursts of activity per user, ended by more than ``gap`` of silence; table or stream.
 
-    A table is first cut into chunks of time, so that a user with much of the
-    data is many groups. The bursts found in them are few per user (``gap``
-    apart, or one per chunk) and are then joined up across chunk borders.
+    Every task merges the rows it has into bursts before they are shuffled, so
+    what moves is bursts. A table is cut into chunks of time as well, so that a
+    user with much of the data is many groups. The bursts found in them are few
+    per user (``gap`` apart, or one per chunk) and are then joined up across
+    chunk borders.
     """
+    df.sparkSession.conf.set(MERGE_BEFORE_SHUFFLE, "true")
     if df.isStreaming:
         found = _bursts(df.withWatermark(time, watermark), time, gap)
     else:

@@ -859,7 +859,7 @@ def user_gap_travel(spark, sf_dir):
 SELECT transaction_id, user_id, count(*) OVER w AS n_recent, count(*) OVER w > 2 AS too_fast FROM timed
 WINDOW w AS (PARTITION BY user_id ORDER BY event_time RANGE BETWEEN INTERVAL 3600 SECOND PRECEDING AND CURRENT ROW)""")
 def user_velocity(spark, sf_dir):
-    rows = speed.velocity(timed(spark, sf_dir), limit=2, seconds=3600, chunk_seconds=6 * 3600)
+    rows = speed.velocity(timed(spark, sf_dir), limit=2, seconds=3600)
     return rows.select("transaction_id", "user_id", "n_recent", "too_fast")
 
 
