@@ -172,6 +172,29 @@ def test_late_row_is_not_measured_against_a_later_one(spark, tmp_path):
     assert got == {"b": (None, None), "a": (None, None), "c": (3600.0, "US")}
 
 
+def test_a_quiet_user_is_forgotten_and_a_backfill_ends(spark, tmp_path):
+    source, checkpoint = tmp_path / "in", str(tmp_path / "checkpoint")
+    days = [("a", "01-01"), ("b", "01-01"), ("b", "01-20"), ("b", "02-25"), ("b", "02-26"), ("a", "02-27")]
+    for number, (user, day) in enumerate(days):
+        write_events(source, f"{number}.json", [(str(number), user, f"2024-{day}T10:00:00Z", "US" if number < 5 else "JP", 1.0)])
+    moves = stateful.geo_velocity(event_stream(spark, source), watermark="1 day", forget_after="30 days")
+
+    def go():
+        writer = moves.writeStream.format("parquet").option("path", str(tmp_path / "out")).outputMode("append")
+        pipeline._start(writer, checkpoint, None, None).awaitTermination()
+        return {row["transaction_id"]: row["seconds_since_previous"] for row in spark.read.parquet(str(tmp_path / "out")).collect()}
+
+    late = source / "5.json"
+    held = late.read_text()
+    late.unlink()
+    gaps = go()
+    assert gaps["0"] is None and gaps["2"] == 19 * 86_400.0 and gaps["4"] == 86_400.0
+    state = spark.read.format("statestore").option("stateVarName", "last").load(checkpoint)
+    assert [row["key"]["user_id"] for row in state.select("key").collect()] == ["b"], "a has been quiet for over 30 days"
+    late.write_text(held)
+    assert go()["5"] is None, "who comes back after that starts anew"
+
+
 def test_once_per_key_and_newest_message(spark, tmp_path):
     source = tmp_path / "in"
     for number in range(2):

@@ -66,6 +66,17 @@ def test_bounds(call):
         call()
 
 
+def test_types_from_text():
+    assert inject.checked_types(" amount_spike, ,geo_jump,") == ["amount_spike", "geo_jump"]
+    assert inject.checked_types("") == inject.checked_types(" , ") == [] and inject.checked_types(ANOMALY_TYPES) == list(ANOMALY_TYPES)
+
+
+@pytest.mark.parametrize("text", ["typo", "amount_spike,typo", "amount_spike geo_jump"])
+def test_unknown_types_are_refused(text):
+    with pytest.raises(ValueError, match="no anomaly type"):
+        inject.checked_types(text)
+
+
 def plain(spark, n=400):
     return spark.range(n).select(
         F.col("id").cast("string").alias("transaction_id"), F.lit("u").alias("user_id"), F.lit(5.0).alias("amount"),

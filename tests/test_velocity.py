@@ -1,4 +1,5 @@
 from datetime import datetime, timedelta
+from decimal import Decimal
 
 import numpy as np
 import pytest
@@ -120,3 +121,41 @@ def test_silence_of_exactly_the_gap_does_not_end_a_session(spark, chunk):
     df = spark.createDataFrame([(str(s), "u", START + timedelta(seconds=s), "US", 1.0) for s in times], SCHEMA)
     got = speed.sessions(df, gap="60 seconds", chunk_seconds=chunk).orderBy("session_start").collect()
     assert [r["n"] for r in got] == [3, 2, 1]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sessions_equal_brute_force_and_move_as_bursts(spark, rows, tmp_path):
+    """Sums of money are exact; what a task hands on is near the bursts, not the rows."""
+    some = [(t, None if user == "u3" else user, at, None if i % 5 == 0 else country, Decimal(i % 997) / 100) for i, (t, user, at, country, _) in enumerate(rows)]
+    df = spark.createDataFrame(some, SCHEMA.replace("amount double", "amount decimal(12,2)"))
+    expected, last = [], {}
+    for _, user, at, country, amount in sorted(some, key=lambda r: (r[1] or "", r[2])):
+        if user not in last or at - last[user][2] > timedelta(minutes=30):
+            last[user] = [user, at, at, 0, Decimal(0), set()]
+            expected.append(last[user])
+        own = last[user]
+        own[2], own[3], own[4] = at, own[3] + 1, own[4] + amount
+        own[5] |= {country} - {None}
+    want = sorted([(u, a, b + timedelta(minutes=30), n, total, len(places) > 1 if places else None) for u, a, b, n, total, places in expected], key=str)
+    for chunk in (600, 86_400):
+        got = speed.sessions(df.repartition(3), gap="30 minutes", chunk_seconds=chunk)
+        assert sorted(map(tuple, got.collect()), key=str) == want
+    busy = spark.range(0, 20_000, 1, 2).select(
+        F.lit("u").alias("user_id"), F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id")).alias("event_time"), F.lit("US").alias("country"), F.lit(1.0).alias("amount"))
+    assert speed._where_they_lie(busy, "event_time", 60_000_000).count() <= 4
+    assert "MapInArrow" in plan_of(speed.sessions(busy)).rsplit("Exchange hashpartitioning", 1)[1]
+
+
+def test_windows_repeat_counts_and_no_rows(spark, frame):
+    from txnwatch.operators.reports import windowed_rates
+
+    for windows in (speed.windowed_velocity(frame, limit=0, seconds=60, slide_seconds=25),
+                    windowed_rates(frame.withColumn("is_flagged", F.col("country") == "JP"), window="1 hour", slide="15 minutes")):
+        below_the_first_shuffle = plan_of(windows).rsplit("Exchange hashpartitioning", 1)[1]
+        assert "Expand" not in below_the_first_shuffle and "Expand" in plan_of(windows)
+    plain = frame.groupBy(F.window("event_time", "60 seconds", "25 seconds").alias("slot"), "user_id").agg(F.count("*").alias("n"))
+    panes = speed.windowed_velocity(frame, limit=0, seconds=60, slide_seconds=25)
+    assert sorted(map(tuple, panes.collect())) == sorted(map(tuple, plain.select("slot.start", "slot.end", "user_id", "n").collect()))

@@ -1,6 +1,13 @@
 """Per-user behaviour over time, for tables and (where marked) for streams."""
 
-from pyspark.sql import DataFrame, Window, functions as F
+from collections.abc import Iterable, Iterator
+from decimal import Decimal
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pandas import Timedelta
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from txnwatch.operators import timelines
 from txnwatch.operators.chunks import in_windows
@@ -88,8 +95,8 @@ def windowed_velocity(
 _ACTIVITY = ("n", "total_amount", "first_country", "last_country")
 
 
-def _bursts(df: DataFrame, time: str, gap: str, *groups: str) -> DataFrame:
-    return df.groupBy(F.session_window(time, gap).alias("slot"), "user_id", *groups).agg(
+def _bursts(df: DataFrame, time: str, gap: str) -> DataFrame:
+    return df.groupBy(F.session_window(time, gap).alias("slot"), "user_id").agg(
         F.count("*").alias("n"),
         F.sum("amount").alias("total_amount"),
         F.min("country").alias("first_country"),
@@ -97,6 +104,56 @@ def _bursts(df: DataFrame, time: str, gap: str, *groups: str) -> DataFrame:
     ).select("user_id", F.col("slot.start").alias("session_start"), F.col("slot.end").alias("session_end"), *_ACTIVITY)
 
 
+def _where_they_lie(df: DataFrame, time: str, gap: int) -> DataFrame:
+    """Bursts within every few thousand rows of a task: user_id, start and last (microseconds), n, total, lowest and highest country.
+
+    What moves after this is bursts. Money is summed in its smallest unit, so that no order of merging changes a sum.
+    """
+    kind = df.schema["amount"].dataType
+    exact = isinstance(kind, T.DecimalType) and kind.precision <= 18
+    amount = (F.col("amount") * F.lit(10**kind.scale)).cast("long") if exact else F.col("amount").cast("double")
+    rows = df.filter(F.col(time).isNotNull()).select(
+        F.col("user_id").cast("string").alias("user_id"), F.unix_micros(F.col(time)).alias("at"), amount.alias("amount"), F.col("country").cast("string").alias("country"))
+
+    def merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            at = batch.column("at").to_numpy()
+            user = np.asarray(pc.fill_null(pc.dictionary_encode(batch.column("user_id")).indices, -1), np.int64)
+            order = np.lexsort((at, user))
+            at, user = at[order], user[order]
+            starts = np.flatnonzero(np.concatenate([[True], (user[1:] != user[:-1]) | (at[1:] - at[:-1] > gap)]))
+            lasts = np.concatenate([starts[1:], [len(at)]]) - 1
+            money = batch.column("amount").take(pa.array(order))
+            known = np.add.reduceat(np.asarray(money.is_valid(), np.int64), starts)
+            total = np.add.reduceat(np.asarray(pc.fill_null(money, 0)), starts)
+            coded = pc.dictionary_encode(batch.column("country"))
+            ranks = np.argsort(np.argsort(np.array(coded.dictionary.to_pylist(), object))) if len(coded.dictionary) else np.empty(0, np.int64)
+            names = coded.dictionary.take(pa.array(np.argsort(ranks)))
+            place = np.concatenate([ranks, [-1]])[np.asarray(pc.fill_null(coded.indices, -1), np.int64)][order]
+            low = np.minimum.reduceat(np.where(place < 0, len(ranks), place), starts)
+            high = np.maximum.reduceat(place, starts)
+            yield pa.RecordBatch.from_arrays([
+                batch.column("user_id").take(pa.array(order[starts])), pa.array(at[starts]), pa.array(at[lasts]), pa.array(lasts - starts + 1),
+                pa.array(total, mask=known == 0), names.take(pa.array(low, mask=low >= len(ranks))), names.take(pa.array(high, mask=high < 0)),
+            ], ["user_id", "start", "last", "n", "total", "first_country", "last_country"])
+
+    found = rows.mapInArrow(merge, f"user_id string, start long, last long, n long, total {'long' if exact else 'double'}, first_country string, last_country string")
+    return found
+
+
+def _merged(parts: DataFrame, gap: int, *groups: str) -> DataFrame:
+    """Bursts that touch as one, per user and ``groups``; columns stay as they are."""
+    ordered = Window.partitionBy("user_id", *groups).orderBy("start", "last")
+    reached = F.max("last").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    starts = F.coalesce(F.col("start") > reached + gap, F.lit(True)).cast("int")
+    numbered = parts.withColumn("_starts", starts).withColumn("_number", F.sum("_starts").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return numbered.groupBy("user_id", *groups, "_number").agg(
+        F.min("start").alias("start"), F.max("last").alias("last"), F.sum("n").alias("n"), F.sum("total").alias("total"),
+        F.min("first_country").alias("first_country"), F.max("last_country").alias("last_country")).drop("_number")
+
+
 def sessions(
     df: DataFrame,
     time: str = "event_time",
@@ -106,29 +163,27 @@ def sessions(
 ) -> DataFrame:
     """Bursts of activity per user, ended by more than ``gap`` of silence; table or stream.
 
-    Every task merges the rows it has into bursts before they are shuffled, so
-    what moves is bursts. A table is cut into chunks of time as well, so that a
-    user with much of the data is many groups. The bursts found in them are few
-    per user (``gap`` apart, or one per chunk) and are then joined up across
-    chunk borders.
+    Rows of a table are merged to bursts where they lie, so what is shuffled is
+    bursts. These are merged within chunks of time, so that a user with much of
+    the data is many groups, and what is left, few rows per user (``gap`` apart,
+    or one per chunk), across chunk borders. A stream merges rows within its
+    tasks as well before they move.
     """
-    df.sparkSession.conf.set(MERGE_BEFORE_SHUFFLE, "true")
     if df.isStreaming:
+        df.sparkSession.conf.set(MERGE_BEFORE_SHUFFLE, "true")
         found = _bursts(df.withWatermark(time, watermark), time, gap)
     else:
-        chunk = F.floor(F.unix_micros(F.col(time)) / F.lit(chunk_seconds * MICROS))
-        parts = _bursts(df.withColumn("_chunk", chunk), time, gap, "_chunk")
-        ordered = Window.partitionBy("user_id").orderBy("session_start")
-        starts = F.coalesce(F.col("session_start") > F.lag("session_end").over(ordered), F.lit(True))
-        numbered = parts.withColumn("_starts", starts.cast("int")).withColumn("_number", F.sum("_starts").over(ordered))
-        found = numbered.groupBy("user_id", "_number").agg(
-            F.min("session_start").alias("session_start"),
-            F.max("session_end").alias("session_end"),
-            F.sum("n").alias("n"),
-            F.sum("total_amount").alias("total_amount"),
-            F.min("first_country").alias("first_country"),
-            F.max("last_country").alias("last_country"),
-        )
+        silence = int(Timedelta(gap).total_seconds() * MICROS)
+        parts = _where_they_lie(df, time, silence)
+        chunk = F.floor(F.col("start") / F.lit(chunk_seconds * MICROS))
+        whole = _merged(_merged(parts.withColumn("_chunk", chunk), silence, "_chunk"), silence)
+        kind = df.schema["amount"].dataType
+        total = F.col("total")
+        if dict(parts.dtypes)["total"] == "bigint":
+            total = (total.cast("decimal(38,0)") * F.lit(Decimal(1).scaleb(-kind.scale))).cast(f"decimal({min(38, kind.precision + 10)},{kind.scale})")
+        found = whole.select(
+            F.col("user_id").cast(df.schema["user_id"].dataType).alias("user_id"), F.timestamp_micros("start").alias("session_start"),
+            F.timestamp_micros(F.col("last") + silence).alias("session_end"), "n", total.alias("total_amount"), "first_country", "last_country")
     return found.select(
         "user_id", "session_start", "session_end", "n", "total_amount",
         (F.col("first_country") != F.col("last_country")).alias("spans_countries"),

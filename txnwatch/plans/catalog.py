@@ -528,6 +528,13 @@ def alert_messages(spark, sf_dir):
     return as_alert_messages(rows.withColumn("score", F.round("score", 2)))
 
 
+@query("WITH " + STORED + ' SELECT transaction_id AS "key", score FROM alerts')
+def alert_message_scores(spark, sf_dir):
+    """The score as the messages carry it, with all its digits."""
+    sent = as_alert_messages(amount_scored(spark, sf_dir).filter("is_flagged"))
+    return sent.select("key", F.get_json_object("value", "$.score").cast("double").alias("score"))
+
+
 ALERT_PAGE = f"""SELECT transaction_id, user_id, CAST(CAST(amount AS DECIMAL(12, 2)) AS DOUBLE) AS amount, merchant_category,
        {_iso('event_time')} AS event_time, country, score, anomaly_type, {_iso('event_time')} AS alerted_at FROM """
 
@@ -765,6 +772,20 @@ def metrics_document(spark, sf_dir):
         "confusion_matrix", "per_type_recall", "evaluated_at")
 
 
+@query("WITH " + STORED + METRICS_DOCUMENT[:METRICS_DOCUMENT.rindex("SELECT CAST(0.0")].rstrip() + """,
+document AS (""" + METRICS_DOCUMENT[METRICS_DOCUMENT.rindex("SELECT CAST(0.0"):] + """)
+SELECT 1440 AS window_minutes, threshold, n_holdout, n_anomalies_true, n_anomalies_pred, anomaly_rate_true, "precision", recall, f1, auprc,
+       tn, fp, fn, tp, amount_spike, geo_jump, odd_hour_burst FROM document""")
+def stats_report_metrics(spark, sf_dir):
+    """The report with the newest of two metrics documents in it."""
+    rows = stored(spark, sf_dir)
+    counted = profiled(spark, sf_dir)
+    both = [training.metrics_document(counted, threshold, FIXED_TIME + timedelta(hours=hours)) for threshold, hours in ((-0.1, 0), (0.0, 1))]
+    report = reports.stats_report(rows, as_alerts(rows), AS_OF, DAY_MINUTES, both[0].unionAll(both[1]))
+    return report.select("window_minutes", "model_metrics.*").select("*", "confusion_matrix.*", "per_type_recall.*").drop(
+        "confusion_matrix", "per_type_recall", "evaluated_at")
+
+
 @query("WITH " + STORED + """
 SELECT is_anomaly, count(*) AS n_rows, min(score) AS min_score, round(avg(score), 6) AS mean_score, max(score) AS max_score,
        round(count(*) FILTER (WHERE score < 0) * 1.0 / count(*), 6) AS share_below_0,
@@ -1111,6 +1132,36 @@ def train_summary(spark, sf_dir):
     return with_iso(summary.withColumn("features", F.array_join("features", ",")), "trained_at")
 
 
+@query("WITH " + LABELLED + f"""
+SELECT count(*) AS n_records, count(*) FILTER (WHERE is_anomaly) AS n_anomalies_in_training, '0.025' AS contamination, CAST(100 AS BIGINT) AS n_estimators,
+       TRUE AS flags_as_calibrated, '{",".join(FEATURES)}' AS features, '2024-02-01T00:00:00Z' AS trained_at FROM labelled""")
+def trained_summary(spark, sf_dir):
+    """The summary that the training job writes beside a forest it has grown."""
+    root = scratch_path(spark, "models")
+    model = training.train(labelled(spark, sf_dir), root, contamination=0.025, trained_at=FIXED_TIME)
+    written = spark.read.json(f"{root}/training_summary/version={model.version}")
+    return written.select(
+        "n_records", "n_anomalies_in_training", "contamination", "n_estimators",
+        F.col("flagged_rate_training").between(0.02, 0.03).alias("flags_as_calibrated"), F.array_join("features", ",").alias("features"),
+        F.date_format(F.to_timestamp("trained_at"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("trained_at"))
+
+
+@query("WITH " + LABELLED + """
+SELECT count(*) AS n_holdout, count(*) FILTER (WHERE is_anomaly) AS n_anomalies_true,
+       round(count(*) FILTER (WHERE is_anomaly) * 1.0 / count(*), 6) AS anomaly_rate_true, count(*) AS in_matrix,
+       count(*) FILTER (WHERE is_anomaly) AS true_in_matrix, TRUE AS beats_chance, TRUE AS in_bounds FROM labelled""")
+def evaluate_forest(spark, sf_dir):
+    """The evaluation job on a forest that was grown: what must hold of its report for any forest, and that it finds more than chance."""
+    rows, model, _ = trained(spark, sf_dir)
+    report = training.evaluate(rows, model, 0.0, evaluated_at=FIXED_TIME)
+    cells = [F.col(f"confusion_matrix.{name}") for name in ("tn", "fp", "fn", "tp")]
+    return report.select(
+        "n_holdout", "n_anomalies_true", F.round(F.col("n_anomalies_true") / F.col("n_holdout"), 6).alias("anomaly_rate_true"),
+        (cells[0] + cells[1] + cells[2] + cells[3]).alias("in_matrix"), (cells[2] + cells[3]).alias("true_in_matrix"),
+        (F.col("auprc") > 3 * F.col("anomaly_rate_true")).alias("beats_chance"),
+        (F.col("precision").between(0, 1) & F.col("recall").between(0, 1) & F.col("f1").between(0, 1)).alias("in_bounds"))
+
+
 FOREST_STORED = FOREST_SCORED + """,
 fixed AS (SELECT * REPLACE (round(score, 9) AS score) FROM forest)"""
 
@@ -1161,3 +1212,15 @@ def score_requests(spark, sf_dir):
     model = fixed_model(spark, labelled(spark, sf_dir))
     answers, _ = serving.score_requests(_requests(spark, sf_dir), model, 0.05, AS_OF)
     return answers.drop("features")
+
+
+@query("WITH " + REQUESTS + """
+SELECT request_id, TRUE AS score_in_range, TRUE AS flag_follows_score, CAST(0.05 AS DOUBLE) AS threshold
+FROM r WHERE h NOT IN (0, 1, 2) AND amount > 0 AND NOT (kind = 'purchase' AND h = 23)""")
+def score_requests_forest(spark, sf_dir):
+    """Requests scored by a forest that was grown."""
+    _, model, _ = trained(spark, sf_dir)
+    answers, _ = serving.score_requests(_requests(spark, sf_dir), model, 0.05, AS_OF)
+    return answers.select(
+        "request_id", F.col("score").between(-1, 1).alias("score_in_range"),
+        (F.col("is_anomaly") == (F.col("score") < 0.05)).alias("flag_follows_score"), "threshold")

@@ -6,6 +6,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+#: State of streams lives beside the heap and on disk.
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def get_session(app: str = "txnwatch", master: str | None = None, **conf) -> SparkSession:
@@ -17,8 +20,7 @@ def get_session(app: str = "txnwatch", master: str | None = None, **conf) -> Spa
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        # state of streams lives beside the heap and on disk
-        "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        STATE_STORE: ROCKS_DB,
         **conf,
     }
     for key, value in settings.items():

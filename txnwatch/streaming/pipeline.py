@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from txnwatch.operators.scoring import CurrentModel, Model
 from txnwatch.schemas import ALERT_THRESHOLD
-from txnwatch.session import scratch_path
+from txnwatch.session import ROCKS_DB, STATE_STORE, scratch_path
 from txnwatch.sources.streams import decode, keep_text_of_unreadable
 from txnwatch.streaming.sinks import ScoringSink
 
@@ -15,6 +15,8 @@ TRIGGER = "5 seconds"
 
 
 def _start(writer, checkpoint: str, name: str | None, trigger: str | None) -> StreamingQuery:
+    if session := SparkSession.getActiveSession():
+        session.conf.set(STATE_STORE, ROCKS_DB)  # also in a session that a caller has made
     if name:
         writer = writer.queryName(name)
     timing = {"processingTime": trigger} if trigger else {"availableNow": True}
