@@ -38,7 +38,9 @@ from txnwatch.llm.common import few_rows_at_a_time, slices_by_size
 from txnwatch.session import materialize
 
 #: Positions in a row of a relation, and rows in a block.
-STRETCH, BLOCK = 2048, 512
+STRETCH, BLOCK = 512, 1024
+#: Bytes of texts that are cut into words at a time.
+TEXTS = 1 << 21
 #: The largest table of frequent groups that is sent to the tasks, in rows and bytes of words.
 SMALL, SMALL_BYTES = 1_000_000, 1 << 25
 #: Stands where a piece ends. It separates pieces, so it is no word.
@@ -62,7 +64,7 @@ def stretches(docs: DataFrame, longest: int) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId() << 33
         block = (task + number // BLOCK for number in count())
-        for batch in slices_by_size(batches):
+        for batch in slices_by_size(batches, size=TEXTS):
             rows = []
             for lang in pc.unique(batch.column(0)):
                 words = words_in_pieces(batch.filter(pc.equal(batch.column(0), lang)).column(1)).to_pylist()
@@ -203,14 +205,15 @@ def _first_relation(texts: DataFrame, frequent: DataFrame, kind: str, small: int
 
     distinct = texts.select("block", "lang", F.explode(F.array_distinct(F.split("words", " "))).alias("word")).distinct()
     known = distinct.join(frequent.select("lang", "word", "id"), ["lang", "word"])
+    known = known.select(F.col("block").alias("_block"), F.col("lang").alias("_lang"), F.col("word").alias("_word"), F.col("id").alias("_id"))
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        held = {(lang, word): i for lang, word, i in zip(*(right[name].to_pylist() for name in ("lang", "word", "id")))}
+        held = {(lang, word): i for lang, word, i in zip(*(right[name].to_pylist() for name in ("_lang", "_word", "_id")))}
         ids_of = lambda lang, words: np.array([held.get((lang, word), -1) for word in words.to_pylist()], np.int64)
         parts = [part for batch in left.to_batches() for part in _numbered_words(batch, ids_of, kind)]
         return pa.Table.from_batches(parts, _RELATION)
 
-    return texts.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(meet, RELATION)
+    return texts.groupBy("block").cogroup(known.groupBy("_block")).applyInArrow(meet, RELATION)
 
 
 _RELATION = pa.schema([("block", pa.int64()), ("own", pa.int32()), ("words", pa.binary()), ("groups", pa.binary())])
@@ -229,13 +232,14 @@ def _next_relation(relation: DataFrame, frequent: DataFrame, n_frequent: int, le
         return few_rows_at_a_time(relation).mapInArrow(run, RELATION)
 
     known = phrase_counts(relation, length, n_words, kinds, by_block=True).distinct().join(frequent.select("key", "id"), "key")
+    known = known.select(F.col("block").alias("_block"), F.col("key").alias("_key"), F.col("id").alias("_id"))
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        keys, ids = right["key"].to_numpy(), right["id"].to_numpy()
+        keys, ids = right["_key"].to_numpy(), right["_id"].to_numpy()
         order = np.argsort(keys)
         return pa.Table.from_batches([_longer(batch, length, longest, n_words, kinds, keys[order], ids[order], kind) for batch in left.to_batches()], _RELATION)
 
-    return relation.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(meet, RELATION)
+    return relation.groupBy("block").cogroup(known.groupBy("_block")).applyInArrow(meet, RELATION)
 
 
 def frequent_phrases(docs: DataFrame, min_count: int = 100, longest: int = 5, small: int = SMALL) -> tuple[DataFrame, DataFrame]:
