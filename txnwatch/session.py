@@ -55,13 +55,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts lineage so that a lost executor costs a re-read, not a recompute, and
-    gives the optimizer a true size for choosing join strategies.
+    gives the optimizer a true size for choosing join strategies. ``compression``
+    is a codec of Parquet in place of the session's.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
