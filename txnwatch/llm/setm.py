@@ -39,6 +39,8 @@ from txnwatch.session import materialize
 
 #: Positions in a row of a relation, and rows in a block.
 STRETCH, BLOCK = 512, 1024
+#: Parquet codec of the relations, which are the larger part of what is stored.
+CODEC = "zstd"
 #: Bytes of texts that are cut into words at a time.
 TEXTS = 1 << 21
 #: The largest table of frequent groups that is sent to the tasks, in rows and bytes of words.
@@ -244,14 +246,17 @@ def _next_relation(relation: DataFrame, frequent: DataFrame, n_frequent: int, le
 
 def frequent_phrases(docs: DataFrame, min_count: int = 100, longest: int = 5, small: int = SMALL) -> tuple[DataFrame, DataFrame]:
     """Phrases of 1 to ``longest`` words that occur ``min_count`` times in a language (lang, words, a), and words in all per language (lang, n)."""
-    texts = materialize(stretches(docs, longest), "stretches")
-    counts = materialize(word_counts(texts).groupBy("lang", "word").agg(F.sum("n").alias("a")), "word-counts")
+    texts = materialize(stretches(docs, longest), "stretches", CODEC)
+    counts = word_counts(texts).groupBy("lang", "word").agg(F.sum("n").alias("a"))
+    # words that are not frequent only count towards their language's total, so they are stored as one row
+    kept = F.when(F.col("a") >= min_count, F.col("word")).alias("word")
+    counts = materialize(counts.groupBy("lang", kept).agg(F.sum("a").alias("a")), "word-counts")
     totals = counts.groupBy("lang").agg(F.sum("a").alias("n"))
-    frequent = numbered(counts.filter(F.col("a") >= min_count))
+    frequent = numbered(counts.filter(F.col("word").isNotNull()))
     words = frequent.select("id", "lang", "a", F.array("word").alias("words"))
     n_words = max(1, frequent.count())
     kinds = _kind(n_words), _kind(n_words)
-    relation = materialize(_first_relation(texts, frequent, kinds[0], small), "relation-1")
+    relation = materialize(_first_relation(texts, frequent, kinds[0], small), "relation-1", CODEC)
     levels = [words]
     for length in range(2, longest + 1):
         counts = phrase_counts(relation, length, n_words, kinds).groupBy("key").agg(F.sum("n").alias("a"))
@@ -265,7 +270,7 @@ def frequent_phrases(docs: DataFrame, min_count: int = 100, longest: int = 5, sm
         level = parts.join(left, "_left").join(right, "_right").select("id", "lang", "a", F.concat("_first", "_last").alias("words"))
         levels.append(materialize(level, "phrases"))
         if length < longest:
-            relation = materialize(_next_relation(relation, frequent, n_frequent, length, longest, n_words, kinds, small), f"relation-{length}")
+            relation = materialize(_next_relation(relation, frequent, n_frequent, length, longest, n_words, kinds, small), f"relation-{length}", CODEC)
             kinds = kinds[0], _kind(n_frequent)
     return reduce(DataFrame.unionAll, [level.select("lang", "words", "a") for level in levels]), totals
 
