@@ -30,14 +30,14 @@ class FeatureState:
         return spark.createDataFrame([values], FEATURE_STATS)
 
 
-def category_moments(df: DataFrame) -> DataFrame:
-    """Row count and log-amount moments per category (a NULL category included).
+def category_moments(df: DataFrame, *groups: str) -> DataFrame:
+    """Row count and log-amount moments per category (a NULL category included), and per ``groups`` if given.
 
     One pass over the data serves both the amount statistics and the category
     frequencies; everything after it works on one row per category.
     """
     log_amount = F.log1p(F.col("amount").cast("double"))
-    return df.groupBy("merchant_category").agg(
+    return df.groupBy(*groups, "merchant_category").agg(
         F.count("*").alias("n"),
         F.count(log_amount).alias("n_amount"),
         F.avg(log_amount).alias("mean"),
@@ -45,6 +45,21 @@ def category_moments(df: DataFrame) -> DataFrame:
     )
 
 
+def merged_moments(parts: DataFrame, *groups: str) -> DataFrame:
+    """Moments of several parts of the data as those of the whole: one row per category, and per ``groups`` if given."""
+    weight = F.col("n_amount")
+    sums = parts.groupBy(*groups, "merchant_category").agg(
+        F.sum("n").alias("n"),
+        F.sum(weight).alias("n_amount"),
+        F.sum(weight * F.col("mean")).alias("_total"),
+        F.sum(weight * (F.col("variance") + F.col("mean") * F.col("mean"))).alias("_squares"),
+    )
+    mean = F.try_divide(F.col("_total"), weight)
+    variance = F.greatest(F.try_divide(F.col("_squares"), weight) - mean * mean, F.lit(0.0))
+    return sums.select(
+        *groups, "merchant_category", "n", "n_amount", mean.alias("mean"), F.when(weight > 0, variance).alias("variance"))
+
+
 def overall_statistics(moments: DataFrame) -> DataFrame:
     """One row: amount mean and floored sample deviation, and category totals.
 
@@ -73,6 +88,7 @@ def overall_statistics(moments: DataFrame) -> DataFrame:
         F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
         "n_categories",
         "n_categorised",
+        F.coalesce("weight", F.lit(0)).alias("weight"),
     )
 
 
@@ -83,6 +99,22 @@ def merchant_frequency(moments: DataFrame, n_categorised: int) -> DataFrame:
     )
 
 
+def normal_country_counts(df: DataFrame, *groups: str) -> DataFrame:
+    """Rows not labelled anomalous per user and country, and per ``groups`` if given; none if either column is absent."""
+    if not {"user_id", "country"} <= set(df.columns):
+        df = df.withColumns({"user_id": F.lit(None).cast("string"), "country": F.lit(None).cast("string")})
+    normal = F.lit(True)
+    if "is_anomaly" in df.columns:
+        normal = ~F.coalesce("is_anomaly", F.lit(False))
+    known = df.filter(normal & F.col("user_id").isNotNull() & F.col("country").isNotNull())
+    return known.groupBy(*groups, "user_id", "country").agg(F.count("*").alias("n"))
+
+
+def merged_counts(parts: DataFrame, *groups: str) -> DataFrame:
+    """Counts per user and country of several parts of the data as those of the whole."""
+    return parts.groupBy(*groups, "user_id", "country").agg(F.sum("n").alias("n"))
+
+
 def home_countries(df: DataFrame) -> DataFrame:
     """Most frequent country per user over rows not labelled anomalous.
 
@@ -90,14 +122,10 @@ def home_countries(df: DataFrame) -> DataFrame:
     rows without user or country are ignored. Counting by (user, country) first
     is combined map-side, so a user with a third of all rows moves a few rows.
     """
-    normal = F.lit(True)
-    if "is_anomaly" in df.columns:
-        normal = ~F.coalesce("is_anomaly", F.lit(False))
-    counts = (
-        df.filter(normal & F.col("user_id").isNotNull() & F.col("country").isNotNull())
-        .groupBy("user_id", "country")
-        .agg(F.count("*").alias("n"))
-    )
+    return most_frequent_country(normal_country_counts(df))
+
+
+def most_frequent_country(counts: DataFrame) -> DataFrame:
     return counts.groupBy("user_id").agg(
         F.min_by("country", F.struct(-F.col("n"), F.col("country"))).alias("home_country"),
         F.sum("n").alias("n"),
@@ -109,17 +137,18 @@ def fit_features(df: DataFrame) -> FeatureState:
 
     Both results are written out, so that applying the state never repeats them.
     """
-    moments = materialize(category_moments(df), "category-moments")
+    return state_from(category_moments(df), normal_country_counts(df))[0]
+
+
+def state_from(moments: DataFrame, countries: DataFrame) -> tuple[FeatureState, int]:
+    """The state from moments per category and counts per (user, country), and how many amounts it rests on."""
+    moments = materialize(moments, "category-moments")
     overall = overall_statistics(moments).first()
     n_rows = overall["n_rows"]
     frequency = merchant_frequency(moments, overall["n_categorised"])
-    if {"user_id", "country"} <= set(df.columns):
-        homes = home_countries(df)
-    else:
-        homes = df.sparkSession.createDataFrame([], "user_id string, home_country string, n long")
-    homes = materialize(homes, "user-home")
+    homes = materialize(most_frequent_country(countries), "user-home")
     n_users = homes.count()
-    return FeatureState(
+    state = FeatureState(
         amount_mean=overall["amount_mean"],
         amount_std=overall["amount_std"],
         merchant_freq_fallback=overall["merchant_freq_fallback"],
@@ -131,6 +160,7 @@ def fit_features(df: DataFrame) -> FeatureState:
         merchant_freq=frequency.select("merchant_category", "freq"),
         user_home=homes.select("user_id", "home_country"),
     )
+    return state, overall["weight"]
 
 
 def transform(df: DataFrame, state: FeatureState, few_rows: bool = False) -> DataFrame:

@@ -18,6 +18,7 @@ from txnwatch.operators.features import (
 from txnwatch.operators.inject import assigned_home, inject_anomalies, injection_rate, label_counts
 from txnwatch.operators.ordering import quantile
 from txnwatch.operators.scoring import Model, add_raw_score, flag, load_model, save_model, score_batch
+from txnwatch.operators.statistics import DailyStatistics
 from txnwatch.plans import serving, training
 from txnwatch.schemas import (
     CONTAMINATION, FAR_COUNTRIES, FEATURES, FOREST_NODE, HOME_COUNTRIES, ODD_HOURS, REQUEST, SPIKE_RANGE, TRANSACTION,
@@ -1196,6 +1197,60 @@ def retrain_recent(spark, sf_dir):
     return _tree_facts(model.nodes).select("*", F.lit(model.version).alias("version"), F.lit(model.state.n_rows).cast("long").alias("n_recent"))
 
 
+#: Within a day, so that statistics from there on need some raw rows.
+CUT = datetime(2024, 1, 10, 12, 30, tzinfo=timezone.utc)
+
+
+def kept_statistics(spark: SparkSession, rows: DataFrame) -> DailyStatistics:
+    """Daily statistics of all rows: one half, a merge, the other half, and both once more."""
+    statistics = DailyStatistics(spark, scratch_path(spark, "statistics"))
+    halves = [rows.filter(F.pmod(F.xxhash64("transaction_id"), F.lit(2)) == half) for half in (0, 1)]
+    statistics.add(halves[0], "first")
+    statistics.compact()
+    for half, name in ((1, "second"), (0, "first"), (1, "second")):
+        statistics.add(halves[half], name)
+    return statistics
+
+
+SINCE_CUT = LABELLED + f""",
+recent AS (SELECT * FROM labelled WHERE "timestamp" >= '{CUT:%Y-%m-%dT%H:%M:%SZ}')"""
+
+
+@query("WITH " + SINCE_CUT + """
+SELECT round(avg(ln(1 + amount)), 6) AS amount_mean, round(greatest(coalesce(stddev_samp(ln(1 + amount)), 0), 1e-6), 6) AS amount_std,
+       (SELECT round(min(n) * 1.0 / sum(n), 6) FROM
+          (SELECT count(*) AS n FROM recent WHERE merchant_category IS NOT NULL GROUP BY merchant_category)) AS merchant_freq_fallback,
+       count(*) AS n_rows, count(DISTINCT merchant_category) AS n_categories FROM recent""")
+def kept_feature_stats(spark, sf_dir):
+    """Feature statistics of recent rows, from what is kept of each day."""
+    rows = timed(spark, sf_dir)
+    state, _ = kept_statistics(spark, rows).state_since(rows, CUT)
+    return state.stats(spark).select(
+        *[F.round(name, 6).alias(name) for name in ("amount_mean", "amount_std", "merchant_freq_fallback")],
+        *[F.col(name).cast("long").alias(name) for name in ("n_rows", "n_categories")])
+
+
+@query("WITH " + SINCE_CUT + """,
+counts AS (SELECT user_id, country, count(*) AS c FROM recent
+           WHERE NOT is_anomaly AND user_id IS NOT NULL AND country IS NOT NULL GROUP BY 1, 2)
+SELECT user_id, home_country FROM (""" + HOMES + ")")
+def kept_home_countries(spark, sf_dir):
+    """Home countries over recent rows, from what is kept of each day."""
+    rows = timed(spark, sf_dir)
+    return kept_statistics(spark, rows).state_since(rows, CUT)[0].user_home
+
+
+@query("WITH " + TX + f"""
+SELECT {TREE_FACTS}, CAST(1 AS INTEGER) AS version, count(*) AS n_recent FROM tx WHERE tx.at > TIMESTAMP '2024-01-15 00:00:00'""")
+def retrain_from_kept(spark, sf_dir):
+    """A model refitted on recent rows whose statistics were kept; training refuses statistics that rest on other rows."""
+    rows = timed(spark, sf_dir)
+    root = scratch_path(spark, "models")
+    training.retrain(rows, root, since=AS_OF, statistics=kept_statistics(spark, rows))
+    model = load_model(spark, root)
+    return _tree_facts(model.nodes).select("*", F.lit(model.version).alias("version"), F.lit(model.state.n_rows).cast("long").alias("n_recent"))
+
+
 _SCORED_PART = FOREST_SCORED.index("featured AS")
 
 
