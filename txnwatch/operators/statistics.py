@@ -24,7 +24,7 @@ from txnwatch.operators.features import (
     FeatureState, category_moments, merged_counts, merged_moments, normal_country_counts, state_from,
 )
 from txnwatch.operators.ordering import value_at
-from txnwatch.session import require_utc
+from txnwatch.session import materialize, require_utc
 from txnwatch.streaming.runs import Runs
 
 MARKER = "name string, attempt string, version long, is_merged boolean"
@@ -70,8 +70,10 @@ class DailyStatistics:
         for table, rows in (("moments", moments), ("countries", countries)):
             schema, key = TABLES[table]
             columns = [part.split()[0] for part in schema.split(", ")]
-            # in order of days, so that a scan from some day on skips the files before it
-            rows.select(*columns).repartitionByRange("day", key).sortWithinPartitions("day", key).write.parquet(f"{self.root}/{attempt}/{table}")
+            # Written first, as a range shuffle looks at its input twice; in order of days, so that a scan from some
+            # day on skips the files before it.
+            rows = materialize(rows.select(*columns), f"daily-{table}")
+            rows.repartitionByRange("day", key).sortWithinPartitions("day", key).write.parquet(f"{self.root}/{attempt}/{table}")
         if names is not None:
             names.write.parquet(f"{self.root}/{attempt}/names")
         self._log.add(self.spark.createDataFrame([(name, attempt, self._log.next_number(), merged)], MARKER), 1)
