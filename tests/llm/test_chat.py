@@ -1,5 +1,7 @@
 """Collapse of growing logs and the template."""
 
+from pyspark.sql import functions as F
+
 from txnwatch.llm import chat
 
 SCHEMA = "conv_id long, turn long, role string, text string, place long"
@@ -54,5 +56,21 @@ def test_turns_without_a_number_or_with_the_same_one_are_split(spark):
         assert "".join(parts) == "".join(f"<|im_start|>{role}\n{text}<|im_end|>\n" for _, _, role, text in rows)
 
 
+def test_one_conversation_numbered_by_time_spreads_over_all_tasks(spark):
+    long = spark.range(100_000).select(F.lit(7).cast("long").alias("conv_id"), (F.col("id") * 137 + 1_700_000_000_000).alias("turn"), F.lit("user").alias("role"), F.concat(F.lit("t"), "id").alias("text"))
+    shorter = long.filter("turn < 1700000000000 + 137 * 60000").withColumn("conv_id", F.lit(8).cast("long"))
+    turns = long.unionAll(shorter)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # or slices of few bytes are put together
+    try:
+        sizes = [r["count"] for r in chat.with_slices(chat.placed_turns(turns), "place").groupBy("conv_id", "slice").count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) >= 8 and max(sizes) < 2 * 160_000 / 8
+    kept = chat.maximal_conversations(turns).collect()
+    assert [tuple(r) for r in kept] == [(7, 100_000, 1)]
+    ends = chat.prefix_hashes(turns).groupBy("conv_id").agg(F.max("n"), F.count_distinct("n"), F.max("n_turns")).collect()
+    assert sorted(map(tuple, ends)) == [(7, 100_000, 100_000, 100_000), (8, 60_000, 60_000, 60_000)]
+
+
 def test_empty(spark):
     assert chats(spark, []) == {}

@@ -6,10 +6,10 @@ prefix that ends there (two 64-bit hashes, and the number of turns). A conversat
 whose whole hash is a proper prefix of another is dropped by an anti-join; of equal
 conversations the smallest id stays. What is left is rendered.
 
-Prefixes are rolled inside stretches of turn numbers and carried over their
-borders. What is rendered is cut by the order of rows, which are counted in even
-slices and carried over likewise, so a conversation with a large share of all turns
-is many groups, also if its turns share a number or have none.
+Turns are cut into even slices of one order over all conversations. Prefixes are
+rolled, and turns counted, inside a slice and carried over its borders, so a
+conversation with a large share of all turns is many groups, however its turns are
+numbered, also if they share a number or have none.
 
 Cases: turns are ordered by number, those without one last, and within a number by
 role and text; rows repeated whole count once; a null role is ``unknown``, a null
@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from txnwatch.session import materialize
 
-#: Turn numbers in a stretch, and turns in a part.
+#: Turns in a part.
 STRETCH = 1024
 #: Characters of a text by which even slices are cut.
 SLICED_BY = 64
@@ -35,28 +35,33 @@ def placed_turns(turns: DataFrame) -> DataFrame:
         F.col("conv_id"), F.coalesce(F.col("turn").cast("long"), F.lit(UNNUMBERED)).alias("place"),
         F.coalesce(F.col("role").cast("string"), F.lit("unknown")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-    ).withColumn("stretch", F.floor(F.col("place") / STRETCH))
+    )
+
+
+def with_slices(rows: DataFrame, *order) -> DataFrame:
+    """Rows in even slices of one order over all conversations. Written out, as all who carry sums over must see the same cut."""
+    return materialize(rows.repartitionByRange("conv_id", *order).withColumn("slice", F.spark_partition_id()), "turn-slices")
 
 
 def prefix_hashes(turns: DataFrame) -> DataFrame:
     """Per conversation and place: hashes and turns up to there (a, b, n) and turns in all (n_turns)."""
     rows = placed_turns(turns).select(
-        "conv_id", "stretch", "place", F.xxhash64("place", "role", "text").alias("a"),
+        "conv_id", "place", F.xxhash64("place", "role", "text").alias("a"),
         F.xxhash64(F.lit("second"), "text", "role", "place").alias("b")).distinct()
-    places = rows.groupBy("conv_id", "stretch", "place").agg(
-        F.bit_xor("a").alias("a"), F.bit_xor("b").alias("b"), F.count("*").alias("n"))
-    stretches = places.groupBy("conv_id", "stretch").agg(
+    places = with_slices(rows.groupBy("conv_id", "place").agg(
+        F.bit_xor("a").alias("a"), F.bit_xor("b").alias("b"), F.count("*").alias("n")), "place")
+    slices = places.groupBy("conv_id", "slice").agg(
         F.bit_xor("a").alias("a"), F.bit_xor("b").alias("b"), F.sum("n").alias("n"))
     whole = Window.partitionBy("conv_id")
-    earlier = whole.orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
-    carried = stretches.select(
-        F.col("conv_id").alias("_conv"), F.col("stretch").alias("_stretch"),
+    earlier = whole.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    carried = slices.select(
+        F.col("conv_id").alias("_conv"), F.col("slice").alias("_slice"),
         *[F.coalesce(function(name).over(earlier), F.lit(0)).alias(f"_{name}") for name, function in (("a", F.bit_xor), ("b", F.bit_xor), ("n", F.sum))],
         F.sum("n").over(whole).alias("n_turns"))
-    inside = Window.partitionBy("conv_id", "stretch").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = Window.partitionBy("conv_id", "slice").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rolled = places.select(
-        "conv_id", "stretch", F.bit_xor("a").over(inside).alias("a"), F.bit_xor("b").over(inside).alias("b"), F.sum("n").over(inside).alias("n"))
-    joined = rolled.join(carried, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("stretch") == F.col("_stretch")))
+        "conv_id", "slice", F.bit_xor("a").over(inside).alias("a"), F.bit_xor("b").over(inside).alias("b"), F.sum("n").over(inside).alias("n"))
+    joined = rolled.join(carried, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("slice") == F.col("_slice")))
     return joined.select(
         "conv_id", F.col("a").bitwiseXOR(F.col("_a")).alias("a"), F.col("b").bitwiseXOR(F.col("_b")).alias("b"),
         (F.col("n") + F.col("_n")).alias("n"), "n_turns")
@@ -78,12 +83,8 @@ def rendered(role: Column, text: Column) -> Column:
 
 
 def with_parts(turns: DataFrame) -> DataFrame:
-    """Distinct placed turns with their part: in the order of a conversation, the first ``STRETCH`` turns have part 0, and so on.
-
-    Both steps must see the same cut into slices, so the slices are written out.
-    """
-    sliced = turns.repartitionByRange("conv_id", "place", F.substring("role", 1, SLICED_BY), F.substring("text", 1, SLICED_BY))
-    sliced = materialize(sliced.withColumn("slice", F.spark_partition_id()), "turn-slices")
+    """Distinct placed turns with their part: in the order of a conversation, the first ``STRETCH`` turns have part 0, and so on."""
+    sliced = with_slices(turns, "place", F.substring("role", 1, SLICED_BY), F.substring("text", 1, SLICED_BY))
     earlier = Window.partitionBy("conv_id").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     before = sliced.groupBy("conv_id", "slice").agg(F.count("*").alias("n")).select(
         F.col("conv_id").alias("_before"), F.col("slice").alias("_slice"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("n"))
@@ -96,8 +97,7 @@ def with_parts(turns: DataFrame) -> DataFrame:
 def format_chats(turns: DataFrame) -> DataFrame:
     """Maximal conversations in the chat template: conv_id, part, n_turns, n_copies, chat.
 
-    A part holds ``STRETCH`` turns, the last one what is left; nearly all conversations have one. Where turns are
-    numbered 0, 1, 2 and so on, as in the tables, a part is a stretch of numbers, which is how the SQL cuts them.
+    A part holds ``STRETCH`` turns, the last one what is left; nearly all conversations have one.
     """
     chosen = maximal_conversations(turns).withColumnRenamed("conv_id", "_conv")
     rows = placed_turns(turns).distinct().join(chosen, F.col("conv_id").eqNullSafe(F.col("_conv")))
@@ -111,7 +111,8 @@ ORACLE_SQL = f"""
 WITH turns AS (
   SELECT DISTINCT conv_id, coalesce(turn, {UNNUMBERED}) AS place, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations
 ), shown AS (
-  SELECT *, '{OPEN}' || role || chr(10) || replace(text, '<|im_', '<| im_') || '{CLOSE}' || chr(10) AS line FROM turns
+  SELECT *, (row_number() OVER (PARTITION BY conv_id ORDER BY place, role, text) - 1) // {STRETCH} AS part,
+         '{OPEN}' || role || chr(10) || replace(text, '<|im_', '<| im_') || '{CLOSE}' || chr(10) AS line FROM turns
 ), upto AS (
   SELECT conv_id, place, string_agg(place || '/' || line, '' ORDER BY place, role, text) OVER w AS prefix,
          count(*) OVER w AS n, count(*) OVER (PARTITION BY conv_id) AS n_turns
@@ -121,6 +122,6 @@ WITH turns AS (
 ), kept AS (
   SELECT * FROM whole WHERE NOT EXISTS (SELECT 1 FROM upto WHERE upto.prefix = whole.prefix AND upto.n < upto.n_turns)
 )
-SELECT kept.conv_id, place // {STRETCH} AS part, n_turns, n_copies, string_agg(line, '' ORDER BY place, role, text) AS chat
+SELECT kept.conv_id, part, n_turns, n_copies, string_agg(line, '' ORDER BY place, role, text) AS chat
 FROM kept JOIN shown ON shown.conv_id IS NOT DISTINCT FROM kept.conv_id GROUP BY ALL
 """
