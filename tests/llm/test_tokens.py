@@ -154,13 +154,14 @@ def test_pieces_equal_the_library(spark, texts):
         data = (text or "").encode()
         assert b"".join(data[a:b] for a, b in zip(spans[i]["begins"], spans[i]["ends"])) == data
         assert digests[i]["covered_bytes"] == len(data)
+        flat = np.array([*zip(spans[i]["begins"], spans[i]["ends"])], "<u4")
+        assert digests[i]["spans_sha256"] == hashlib.sha256(flat.tobytes()).hexdigest()
 
 
 def test_spans_agree_with_the_library():
     coder = pieces.PieceEncoder(tokenizer_path("piece_bpe_32k.model"))
     text = "Hello  world été ½\n\tx  "
-    (ids, widths), = coder.encode_batch(pa.array([text]))
-    begins, ends = coder.spans(text, widths)
+    (ids, begins, ends), = coder.encode_batch(pa.array([text]))
     for piece, a, b in zip(coder.model.encode(text, out_type="proto").pieces, begins, ends):
         assert piece.id == ids[0] and piece.surface == text.encode()[a:b].decode()
         ids = ids[1:]
@@ -178,6 +179,61 @@ def test_normaliser_walks_a_compiled_map():
         assert len(align) == len(normal) + 1 and (np.diff(align) >= 0).all() and (not len(align) or align[-1] <= len(text.encode()))
 
 
+def _message(number, data):
+    size, out = len(data), bytearray([number << 3 | 2])
+    while size > 127:
+        out.append(size & 127 | 128)
+        size >>= 7
+    return bytes([*out, size]) + data
+
+
+@pytest.fixture(scope="module")
+def other_models(tmp_path_factory):
+    """The given vocabulary with a character map and squeezed blanks; with symbols that are left alone; without byte pieces."""
+    import sentencepiece
+
+    with open(tokenizer_path("piece_bpe_32k.model"), "rb") as file:
+        model = file.read()
+    mapped = model + sentencepiece.SentencePieceNormalizer(rule_name="nmt_nfkc").serialized_model_proto()
+    named = lambda name, kind: _message(1, _message(1, name.encode()) + b"\x15\0\0\0\0\x18" + bytes([kind]))
+    symbols = mapped + named("ﬁ①", pieces.USER_DEFINED) + named("[a  b]", pieces.USER_DEFINED)
+    unknown = b"".join(
+        _message(1, value.replace(b"\x18\x06", b"\x18\x05") if number == 1 else value) if number == 1 else _message(number, value)
+        for number, value in pieces.fields(mapped)) + _message(2, b"\x98\x02\0")
+    folder, paths = tmp_path_factory.mktemp("models"), {}
+    for name, data in (("mapped", mapped), ("symbols", symbols), ("unknown", unknown)):
+        paths[name] = str(folder / f"{name}.model")
+        with open(paths[name], "wb") as file:
+            file.write(data)
+    return paths
+
+
+MAPPED = ["ﬁ½ Å  ｶﾞ  ①②  …", "á x", "Ǻ \u3000 x", "  tail  ", "日本語 😀😀 z", "\x00b\n\nc", "ﬁ①②  [a  b] x[a  b]", "\u200b", "x▁y ▁▁ z"]
+
+
+@pytest.mark.parametrize("name", ["mapped", "symbols", "unknown"])
+def test_models_with_a_character_map(spark, texts, other_models, name):
+    path = other_models[name]
+    coder, rows = pieces.PieceEncoder(path), list(enumerate([*MAPPED, *texts]))
+    assert len(coder.normalize.units) and not coder.by_word and len(coder.normalize.kept) == 2 * (name == "symbols")
+    digests = {r["doc_id"]: r for r in pieces.piece_digests(docs_of(spark, rows), path).collect()}
+    spans = {r["doc_id"]: r for r in pieces.encode_pieces(docs_of(spark, rows), path).collect()}
+    n_unknown = 0
+    for i, text in rows:
+        ids = coder.model.encode(text or "")
+        n_unknown += ids.count(coder.model.unk_id())
+        assert spans[i]["ids"] == ids, text
+        assert digests[i]["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert digests[i]["decoded_sha256"] == hashlib.sha256((coder.model.decode(ids) if ids else "").encode()).hexdigest()
+        begins, ends = spans[i]["begins"], spans[i]["ends"]
+        assert begins == sorted(begins) and all(a <= b <= len((text or "").encode()) for a, b in zip(begins, ends))
+        known = coder.model.encode(text or "", out_type="proto").pieces
+        for piece, begin, end in zip(known, begins, ends, strict=True):
+            if not coder.model.is_byte(piece.id):
+                assert piece.surface.encode() == text.encode()[begin:end], text
+    assert (n_unknown > 0) == (name == "unknown")
+
+
 def test_empty_tables(spark):
     docs = docs_of(spark, [])
     files = tokenfile.write_token_files(docs, tokenfile.token_file_folder(spark), tokenizer_path("word_bpe_49k.json"), 1)

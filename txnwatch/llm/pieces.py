@@ -2,15 +2,18 @@
 
 Normalisation walks the model's compiled character map for the longest prefix at
 each place and records, for every byte it puts out, the byte of the source that it
-stands for. Pieces are laid over the normalised bytes and so projected to byte
-spans of the original text.
+stands for. The library merges pieces of these normalised bytes; its own normaliser is
+switched off. Pieces are laid over the normalised bytes and so projected to byte spans
+of the original text.
 
 Where the map is empty and no piece of the model has a blank after its beginning,
-no merge reaches over the start of a word; the library then encodes each distinct
-word of a batch once and the ids are put together. Any other model gets whole texts.
+no merge reaches over the start of a word; each distinct word of a batch is then
+encoded once and the ids are put together. Any other model gets whole texts.
 
-Cases: null and empty texts give no ids and decode to an empty text; repeated rows
-are encoded each; an empty table gives no rows. Only ``doc_id`` and ``text`` are read.
+Cases: null and empty texts give no ids and decode to an empty text; an unknown piece
+spans what it stands for; very long texts are encoded whole, with 4 bytes of alignment
+for each of theirs; repeated rows are encoded each; an empty table gives no rows. Only
+``doc_id`` and ``text`` are read.
 """
 
 import hashlib
@@ -22,10 +25,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from txnwatch.llm.common import map_batches, texts_of
+from txnwatch.llm.common import map_batches
 
 #: The character that stands for a blank in pieces; a fixed value of the format.
 BLANK = "▁"
+#: Kind of piece that the normaliser leaves alone; a fixed value of the format.
+USER_DEFINED = 4
+#: Appended to a model, these fields override its normaliser: no map (2), no prefix (3), blanks kept (4) and not escaped (5).
+NO_NORMALIZER = bytes([3 << 3 | 2, 8, 2 << 3 | 2, 0, 3 << 3, 0, 4 << 3, 0, 5 << 3, 0])
 
 
 def _varint(data: bytes, at: int) -> tuple[int, int]:
@@ -54,10 +61,16 @@ def fields(data: bytes):
 
 
 class Normalizer:
-    """The normaliser that a model carries: character map, dummy prefix, blanks."""
+    """The normaliser that a model carries: character map, symbols that stay as they are, dummy prefix, blanks."""
 
     def __init__(self, model: bytes):
-        spec = dict(fields(dict(fields(model)).get(3, b"")))
+        spec, self.kept = {}, []
+        for number, value in fields(model):
+            if number == 3:  # what comes later overrides what came before
+                spec.update(fields(value))
+            elif number == 1 and (piece := dict(fields(value))).get(3) == USER_DEFINED:
+                self.kept.append(piece[1])
+        self.kept.sort(key=len, reverse=True)
         self.prefix, self.squeeze, self.escape = (bool(spec.get(n, 1)) for n in (3, 4, 5))
         charsmap = spec.get(2, b"")
         self.units, self.replacements = np.zeros(0, np.uint32), b""
@@ -69,10 +82,13 @@ class Normalizer:
     @property
     def identity(self) -> bool:
         """Whether nothing but the prefix and the blanks change."""
-        return not len(self.units) and not self.squeeze and self.prefix and self.escape
+        return not len(self.units) and not self.kept and not self.squeeze and self.prefix and self.escape
 
     def longest_prefix(self, data: bytes, at: int) -> tuple[bytes, int]:
         """What the longest mapped prefix of ``data[at:]`` becomes, and its bytes; without one, the next character as it is."""
+        for symbol in self.kept:
+            if data.startswith(symbol, at):
+                return symbol, len(symbol)
         found = None
         if len(self.units):
             node = self._offset(self.units[0])
@@ -100,10 +116,10 @@ class Normalizer:
         data = text.encode()
         if self.identity:
             if not data:
-                return b"", np.zeros(1, np.int64)
-            source = np.frombuffer(data, np.uint8)
-            align = np.repeat(np.arange(len(data)), np.where(source == 32, 3, 1))
-            return (" " + text).replace(" ", BLANK).encode(), np.concatenate([[0, 0, 0], align, [len(data)]])
+                return b"", np.zeros(1, np.int32)
+            blank = np.frombuffer(data, np.uint8) == 32
+            align = np.repeat(np.arange(len(data) + 1, dtype=np.int32), np.append(1 + 2 * blank.view(np.int8), 1))
+            return (b" " + data).replace(b" ", BLANK.encode()), np.concatenate([np.zeros(3, np.int32), align])
         out, align, at = bytearray(), [], 0
         steps = []
         while at < len(data):
@@ -135,7 +151,7 @@ class Normalizer:
         while tail and out.endswith(tail):
             end = align[len(out) - len(tail)]
             del out[-len(tail):], align[-len(tail):]
-        return bytes(out), np.array([*align, end], np.int64)
+        return bytes(out), np.array([*align, end], np.int32)
 
 
 class PieceEncoder:
@@ -147,6 +163,7 @@ class PieceEncoder:
         with open(path, "rb") as file:
             model = file.read()
         self.model = sentencepiece.SentencePieceProcessor(model_proto=model)
+        self.merges = sentencepiece.SentencePieceProcessor(model_proto=model + NO_NORMALIZER)
         self.normalize = Normalizer(model)
         names = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
         self.widths = np.array([1 if self.model.is_byte(i) else len(name.encode()) for i, name in enumerate(names)], np.uint16)
@@ -154,49 +171,59 @@ class PieceEncoder:
         self.by_word = self.normalize.identity and not inner and any(self.model.is_byte(i) for i in range(len(names)))
         self.decimals = [str(i) for i in range(len(names))]
 
-    def encode_batch(self, texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Ids of every text (null as empty) and the bytes that each takes in the normalised text.
+    def encode_batch(self, texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Ids of every text (null as empty), and where each begins and ends in the bytes of the text.
 
-        Words are cut and told apart in Arrow, so the library encodes each distinct
-        word of the batch once and the rest is array work.
+        Normalised texts are cut into words, told apart in Arrow, so the library
+        merges each distinct word of the batch once and the rest is array work.
         """
-        texts = pc.fill_null(texts, "")
-        if not self.by_word or not len(texts):
-            return [self._row(self.model.encode(text)) for text in texts.to_pylist()]
-        cut = pc.split_pattern(pc.replace_substring(texts, BLANK, " "), " ")
+        walked = [self.normalize(text or "") for text in texts.to_pylist()]
+        normal = [text for text, _ in walked]
+        found = self._by_word(normal) if self.by_word and normal else [self._whole(text) for text in normal]
+        return [(ids, *self._spans(align, widths)) for (ids, widths), (_, align) in zip(found, walked)]
+
+    def _by_word(self, normal: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+        # what stands before the first blank is empty, as every normalised text begins with one
+        cut = pc.split_pattern(pa.array(normal, pa.string()), BLANK)
         first = np.asarray(cut.offsets, np.int64)
         coded = pc.dictionary_encode(cut.values)
         index, words = np.array(coded.indices, np.int64), coded.dictionary.to_pylist()
-        careful = np.add.reduceat(np.array([not word for word in words])[index], first[:-1]).tolist()
-        found = self.model.encode(words, num_threads=1)
+        n_empty = np.add.reduceat(np.array([not word for word in words])[index], first[:-1]).tolist()
+        found = self.merges.encode([word and BLANK + word for word in words], num_threads=1)
         ends = np.cumsum([0, *map(len, found)])
         ids = np.fromiter(chain.from_iterable(found), np.int64, ends[-1])
         lengths = np.diff(ends)[index]
         places = np.concatenate([[0], np.cumsum(lengths)])
         ids = ids[np.repeat(ends[index] - places[:-1], lengths) + np.arange(places[-1])]
         widths, cuts = self.widths[ids], places[first].tolist()
-        # empty texts, several blanks in a row and blanks at an end go to the library whole
+        # several blanks in a row, and blanks at an end, may share a piece: such texts are merged whole
         return [
-            self._row(self.model.encode(texts[i].as_py())) if special else (ids[cuts[i]: cuts[i + 1]], widths[cuts[i]: cuts[i + 1]])
-            for i, special in enumerate(careful)
+            self._whole(normal[i]) if empty > 1 else (ids[cuts[i]: cuts[i + 1]], widths[cuts[i]: cuts[i + 1]])
+            for i, empty in enumerate(n_empty)
         ]
 
-    def _row(self, ids: list[int]) -> tuple[np.ndarray, np.ndarray]:
-        ids = np.array(ids, np.int64)
-        return ids, self.widths[ids]
+    def _whole(self, normal: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a normalised text, and the bytes that each takes in it."""
+        text = normal.decode()
+        ids = np.array(self.merges.encode(text), np.int64)
+        widths = self.widths[ids]
+        if (ids == self.model.unk_id()).any():  # as long as what it stands for
+            known = self.merges.encode(text, out_type="proto").pieces
+            widths = np.array([len(piece.surface.encode()) for piece in known], np.int64)
+        return ids, widths
 
-    def decimal(self, ids: list[int]) -> str:
-        """Decimal ids joined by commas."""
-        return ",".join(map(self.decimals.__getitem__, ids))
-
-    def spans(self, text: str, widths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    @staticmethod
+    def _spans(align: np.ndarray, widths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First byte and byte after the last, in the original text, of each piece."""
-        normal, align = self.normalize(text)
         ends = np.cumsum(widths, dtype=np.int64)
-        if len(ends) and ends[-1] != len(normal):  # an unknown piece is as long as what it stands for
+        if (ends[-1] if len(ends) else 0) != len(align) - 1:
             raise ValueError("pieces do not cover the normalised text")
         return align[ends - widths], align[ends]
 
+    def decimal(self, ids: list[int]) -> str:
+        """Decimal ids joined by commas."""
+        return ",".join(map(self.decimals.__getitem__, ids))
+
 
 @lru_cache(maxsize=2)
 def piece_encoder(path: str) -> PieceEncoder:
@@ -208,14 +235,11 @@ def encode_pieces(docs: DataFrame, model: str) -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         encoder = piece_encoder(model)
-        texts = texts_of(batch)
         found = encoder.encode_batch(batch.column(1))
-        spans = [encoder.spans(text, widths) for text, (_, widths) in zip(texts, found)]
         ints = pa.list_(pa.int32())
         return pa.RecordBatch.from_arrays([
-            batch.column(0), pa.array([ids for ids, _ in found], ints),
-            pa.array([begin for begin, _ in spans], ints), pa.array([end for _, end in spans], ints),
-            pa.array([encoder.model.decode(ids.tolist()) if len(ids) else "" for ids, _ in found], pa.string()),
+            batch.column(0), *(pa.array([row[i].astype(np.int32) for row in found], ints) for i in range(3)),
+            pa.array([encoder.model.decode(row[0].tolist()) if len(row[0]) else "" for row in found], pa.string()),
         ], ["doc_id", "ids", "begins", "ends", "decoded"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -225,23 +249,25 @@ def encode_pieces(docs: DataFrame, model: str) -> DataFrame:
 def piece_digests(docs: DataFrame, model: str) -> DataFrame:
     """The same work, with digests in place of the long columns.
 
-    covered_bytes adds up the spans, which together are the whole text.
+    ``spans_sha256`` is of the first byte and the byte after the last of every piece, in turn, as little-endian
+    unsigned 32-bit integers; ``covered_bytes`` adds the spans up, which together are the whole text unless the
+    normaliser drops some of it.
     """
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         encoder = piece_encoder(model)
         rows = []
-        for text, (ids, widths) in zip(texts_of(batch), encoder.encode_batch(batch.column(1))):
-            begins, ends = encoder.spans(text, widths)
+        for ids, begins, ends in encoder.encode_batch(batch.column(1)):
+            spans = np.stack([begins, ends], axis=1).astype("<u4").tobytes()
             ids = ids.tolist()
             decoded = encoder.model.decode(ids) if ids else ""
-            rows.append((
-                len(ids), hashlib.sha256(encoder.decimal(ids).encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest(), int((ends - begins).sum())))
-        kinds = (pa.int64(), pa.string(), pa.string(), pa.int64())
-        columns = zip(*rows) if rows else [()] * 4
+            texts = (encoder.decimal(ids).encode(), decoded.encode(), spans)
+            rows.append((len(ids), *(hashlib.sha256(text).hexdigest() for text in texts), int((ends - begins).sum())))
+        kinds = (pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64())
+        columns = zip(*rows) if rows else [()] * 5
         return pa.RecordBatch.from_arrays(
             [batch.column(0), *(pa.array(column, kind) for column, kind in zip(columns, kinds))],
-            ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "covered_bytes"])
+            ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "spans_sha256", "covered_bytes"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return map_batches(rows, run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, covered_bytes long", by_size=True)
+    return map_batches(rows, run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, spans_sha256 string, covered_bytes long", by_size=True)
