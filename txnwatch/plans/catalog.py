@@ -319,15 +319,15 @@ def hashed_injection(spark, sf_dir):
     before = events_as_transactions(spark, sf_dir).withColumns({
         "amount_before": F.col("amount"), "country_before": F.col("country"), "timestamp_before": F.col("timestamp")})
     after, kind, same = inject_anomalies(before), F.col("anomaly_type"), lambda c: F.col(c).eqNullSafe(F.col(f"{c}_before"))
-    low, high = SPIKE_RANGE
-    multiple = F.col("amount") / F.col("amount_before")
-    cent = F.lit(0.01) / F.col("amount_before")
+    # amounts of zero have no multiple, those below zero turn the bounds round
+    bounds = [F.col("amount_before") * factor for factor in SPIKE_RANGE]
+    in_range = F.col("amount").between(F.least(*bounds) - 0.01, F.greatest(*bounds) + 0.01)
     first, last = ODD_HOURS
     return after.agg(
         F.count("*").alias("n_rows"),
         (F.abs(F.avg(kind.isNotNull().cast("double")) - CONTAMINATION) < 0.02).alias("rate_is_near"),
         F.count_if(kind.isNull() & ~(same("amount") & same("country") & same("timestamp"))).alias("unlabelled_changes"),
-        F.count_if((kind == "amount_spike") & ~multiple.between(F.lit(low) - cent, F.lit(high) + cent)).alias("spikes_out_of_range"),
+        F.count_if((kind == "amount_spike") & ~in_range).alias("spikes_out_of_range"),
         F.count_if((kind == "geo_jump") & ~F.col("country").isin(*FAR_COUNTRIES)).alias("jumps_not_far"),
         F.count_if((kind == "odd_hour_burst") & ~fn.hour_of().between(first, last)).alias("bursts_at_other_hours"),
         F.count_distinct(kind).alias("n_types"),
