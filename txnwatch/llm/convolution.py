@@ -3,8 +3,8 @@
 Words are embedded as the sum of hashed vectors of the word and of its beginnings;
 filters of several widths run over the words, each keeps its largest response in the
 whole text, and a logistic output weighs these. Embedding, filters and output are
-trained in numpy on a bounded sample. Filters are linear in the words, so scoring
-looks up one row per hash. The threshold is set for each language on rows kept from
+trained in numpy on all labelled rows, in shards whose changes are averaged. Filters
+are linear in the words, so scoring looks up one row per hash. The threshold is set for each language on rows kept from
 training; the language is told from the bytes of the text, and the score is moved so
 that the threshold lies at one half.
 
@@ -14,20 +14,20 @@ labels); repeated rows get the same score; an empty table gives no rows. Labels,
 language, source and id columns are never inputs of a score.
 """
 
+import copy
 import math
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from txnwatch.llm.common import map_batches, texts_of
-from txnwatch.llm.labelled import label_counts, remainder, sample
+from txnwatch.llm.common import map_batches, slices, texts_of
+from txnwatch.llm.labelled import BLOCK, best_cuts, in_shards, label_counts, mixed, remainder, summed, sums_of
 from txnwatch.llm.subword import predictions
 from txnwatch.llm.words import Runs, runs_where, stretches
 
-#: Labelled documents of label 0 and of label 1 that are learned from, at most.
-PER_LABEL = (3000, 1500)
 BUCKETS, DIMENSION, FILTERS, WIDTHS = 1 << 16, 12, 6, (1, 2, 3)
 #: Bytes of a word's beginnings that have vectors of their own.
 BEGINNINGS = (4, 5, 6, 7, 8)
@@ -36,6 +36,10 @@ VIEWS = 1 + len(BEGINNINGS)
 SMOOTHING = 4
 #: Steps of training at least.
 STEPS = 12_000
+#: Rounds over all rows where there are several shards, in each of which every shard is learned from once.
+ROUNDS, SEED = 2, 5
+#: Languages with fewer than one row in so many count as none, so there are never more than that.
+COMMON = 1000
 #: Buckets of byte triples by which languages are told apart; of each label, one in so many rows sets thresholds.
 LANGUAGE_BUCKETS, KEPT = 1 << 10, 5
 
@@ -105,21 +109,47 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(moved, -30, 30)))
 
 
-def train(examples: list[tuple[np.ndarray, int]], epochs: int, rate: float = 0.02, seed: int = 5) -> ToxicityModel:
-    """Stochastic gradient descent over (word buckets, label). Only the words under a filter's largest response learn.
+def start(odds: np.ndarray, rng: np.random.Generator) -> list[np.ndarray]:
+    """Vectors of buckets, filters, biases, output and constant before training.
 
     The first dimension of the embedding begins as the log odds of the label in
     documents that hold the bucket, and all filters begin by looking at it.
     """
-    rng = np.random.default_rng(seed)
     n_taps = sum(WIDTHS)
     vectors = (rng.standard_normal((BUCKETS, DIMENSION)) * 0.05).astype(np.float32)
-    vectors[:, 0] = log_odds(examples)
+    vectors[:, 0] = odds
     filters = (rng.standard_normal((DIMENSION, n_taps, FILTERS)) * 0.2).astype(np.float32)
     filters[0] = 0.5 / np.repeat(WIDTHS, WIDTHS)[:, None]
-    bias, output, constant = np.full((len(WIDTHS), FILTERS), -1, np.float32), np.full((len(WIDTHS), FILTERS), 0.3, np.float32), -1.0
+    bias, output = np.full((len(WIDTHS), FILTERS), -1, np.float32), np.full((len(WIDTHS), FILTERS), 0.3, np.float32)
     output *= rng.uniform(0.5, 1.5, output.shape).astype(np.float32)
-    steps, done = epochs * len(examples), 0
+    return [vectors, filters, bias, output, np.array([-1.0])]
+
+
+def responses(words: np.ndarray, vectors: np.ndarray, filters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The largest response of each filter in a whole text, and at which word; so many words at a time that memory stays bounded."""
+    best, where = np.full((len(WIDTHS), FILTERS), -np.inf, np.float32), np.zeros((len(WIDTHS), FILTERS), np.int64)
+    for begin in range(0, len(words), 1 << 15):
+        taps = np.tensordot(vectors[words[begin: begin + (1 << 15) + max(WIDTHS) - 1]].sum(axis=1), filters, 1)
+        tap0 = 0
+        for i, width in enumerate(WIDTHS):
+            n = len(taps) - width + 1
+            if n > 0:
+                response = sum(taps[tap: tap + n, tap0 + tap] for tap in range(width))
+                at = response.argmax(axis=0)
+                value = response[at, np.arange(FILTERS)]
+                where[i] = np.where(value > best[i], begin + at, where[i])
+                best[i] = np.maximum(best[i], value)
+            tap0 += width
+    return best, where
+
+
+def descend(weights: list[np.ndarray], examples: list[tuple[np.ndarray, int]], rng: np.random.Generator, epochs: int, first: int, last: int, rate: float = 0.02) -> None:
+    """Stochastic gradient descent over (word buckets, label), in place: ``epochs`` from the ``first`` on, of ``last`` in all.
+
+    Only the words under a filter's largest response learn.
+    """
+    vectors, filters, bias, output, constant = weights
+    steps, done = last * len(examples), first * len(examples)
     for _ in range(epochs):
         for at in rng.permutation(len(examples)):
             words, label = examples[at]
@@ -127,47 +157,31 @@ def train(examples: list[tuple[np.ndarray, int]], epochs: int, rate: float = 0.0
             done += 1
             if not len(words):
                 continue
-            embedded = vectors[words].sum(axis=1)
-            taps = np.tensordot(embedded, filters, 1)
-            best, where, tap0 = np.zeros_like(bias), np.zeros(bias.shape, np.int64), 0
-            for i, width in enumerate(WIDTHS):
-                n = len(words) - width + 1
-                if n > 0:
-                    response = sum(taps[tap: tap + n, tap0 + tap] for tap in range(width))
-                    where[i] = response.argmax(axis=0)
-                    best[i] = np.maximum(0, response.max(axis=0) + bias[i])
-                tap0 += width
-            error = 1 / (1 + math.exp(-max(-30, min(30, float((best * output).sum()) + constant)))) - label
+            largest, where = responses(words, vectors, filters)
+            best = np.maximum(0, largest + bias)
+            error = 1 / (1 + math.exp(-max(-30, min(30, float((best * output).sum()) + float(constant[0]))))) - label
             back = np.where(best > 0, error * output, 0)
             output -= pace * error * best
             constant -= pace * error
             bias -= pace * back
-            tap0 = 0
-            for i, width in enumerate(WIDTHS):
-                live = np.flatnonzero(back[i])
-                for tap in range(width):
-                    if len(live):
-                        under = words[where[i, live] + tap]
-                        slope = back[i, live]
-                        moved = filters[:, tap0 + tap, live] * slope
-                        filters[:, tap0 + tap, live] -= pace * embedded[where[i, live] + tap].T * slope
-                        np.subtract.at(vectors, under.ravel(), np.repeat(pace * moved.T, VIEWS, axis=0))
-                tap0 += width
-    return ToxicityModel(np.tensordot(vectors, filters, 1).astype(np.float32), bias, output.ravel(), float(constant))
-
-
-def log_odds(examples: list[tuple[np.ndarray, int]]) -> np.ndarray:
-    """Per bucket, the smoothed log odds of label 1 among the documents that hold it, against all documents."""
-    held, totals = np.zeros((2, BUCKETS)), np.zeros(2)
-    for words, label in examples:
-        held[label, np.unique(words)] += 1
-        totals[label] += 1
+            taps = [(i, tap, live) for i, width in enumerate(WIDTHS) if len(live := np.flatnonzero(back[i])) for tap in range(width)]
+            under = [words[where[i, live] + tap] for i, tap, live in taps]
+            embedded = [vectors[rows].sum(axis=1) for rows in under]
+            for (i, tap, live), rows, values in zip(taps, under, embedded):
+                slope, at_tap = back[i, live], sum(WIDTHS[:i]) + tap
+                moved = filters[:, at_tap, live] * slope
+                filters[:, at_tap, live] -= pace * values.T * slope
+                np.subtract.at(vectors, rows.ravel(), np.repeat(pace * moved.T, VIEWS, axis=0))
+
+
+def log_odds(held: np.ndarray, totals: np.ndarray) -> np.ndarray:
+    """Per bucket, the smoothed log odds of label 1 among the documents that hold it, against all documents; both are counted by label."""
     share = totals / totals.sum()
     return np.log((held[1] + SMOOTHING * share[1]) / (held[0] + SMOOTHING * share[0])) - np.log(share[1] / share[0])
 
 
 def best_threshold(logits: np.ndarray, labels: np.ndarray, weight: float) -> float:
-    """Middle of the cut with the fewest errors, label 1 counting ``weight``; the widest such gap."""
+    """Middle of the cut with the fewest errors, label 1 counting ``weight``; the widest such gap. What ``best_cuts`` finds for tables."""
     order = np.argsort(logits)
     logits, labels = logits[order], labels[order]
     missed = np.concatenate([[0], np.cumsum(labels * weight)])
@@ -180,49 +194,80 @@ def best_threshold(logits: np.ndarray, labels: np.ndarray, weight: float) -> flo
     return float(edges[cut] + gaps[cut] / 2)
 
 
-def learn(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, per_label: tuple[int, int] = PER_LABEL) -> ToxicityModel:
-    """A model of ``label`` from labels that ``allowed`` lets through; words of the sample are hashed on the executors."""
-    clean, counts = label_counts(labels, label, allowed)
-
-    def hashed(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = texts_of(batch)
-        return pa.RecordBatch.from_arrays([
-            batch.column(0), pa.array([word_buckets(text).ravel() for text in texts], pa.list_(pa.int32())),
-            pa.array([language_vector(text).astype(np.float32) for text in texts], pa.list_(pa.float32())), batch.column(2), batch.column(3),
-        ], ["doc_id", "words", "triples", "lang", "label"])
+def learn(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, per_label: tuple[int, int] | None = None) -> ToxicityModel:
+    """A model of ``label`` from all labels that ``allowed``, a condition on the id, lets through; ``per_label`` asks for a sample of so many rows of either.
 
+    One row in ``KEPT`` sets thresholds, the others are learned from.
+    """
+    clean, counts = label_counts(labels, label, allowed)
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
-    chosen = sample(docs.select("doc_id", "text", F.coalesce(lang, F.lit("")).alias("lang")), clean, per_label)
-    rows = map_batches(
-        chosen.select("doc_id", "text", "lang", "label"), hashed,
-        "doc_id long, words array<int>, triples array<float>, lang string, label int").toArrow()
-    order = np.argsort(rows["doc_id"].to_numpy(), kind="stable")
-    words, triples = rows["words"].combine_chunks(), rows["triples"].combine_chunks()
-    langs, marks = np.array(rows["lang"].to_pylist(), object)[order], rows["label"].to_numpy()[order]
-    examples = [(words[i].values.to_numpy().reshape(-1, VIEWS), mark) for i, mark in zip(order.tolist(), marks.tolist())]
-    if len(set(marks.tolist())) < 2:
+    docs = docs.filter(allowed).select("doc_id", "text", F.coalesce(lang, F.lit("")).alias("lang"))
+    table, n_shards, kinds = in_shards(docs, clean, per_label)
+    n_rows = sum(kinds.values())
+    if len(kinds) < 2:
         prior = math.log((counts.get(1, 0) + 1) / (counts.get(0, 0) + 1)) if counts else 0.0
         return ToxicityModel(np.zeros((BUCKETS, sum(WIDTHS), FILTERS), np.float32), np.zeros((len(WIDTHS), FILTERS), np.float32), np.zeros(len(WIDTHS) * FILTERS, np.float32), prior)
-    kept = np.arange(len(examples)) % KEPT == 0
-    fitted = [example for example, out in zip(examples, kept) if not out]
-    model = train(fitted, max(4, -(-STEPS // max(1, len(fitted)))))
-
-    names = sorted(set(langs.tolist()))
-    vectors = np.stack([triples[i].values.to_numpy() for i in order.tolist()])
-    model.centres = np.stack([vectors[langs == name].mean(axis=0) for name in names])
+    common = table.groupBy("lang").agg(F.count("*").alias("n")).filter(F.col("n") * COMMON >= n_rows)
+    names = sorted({row["lang"] for row in common.collect()} | {""})
+    table = table.withColumn("lang", F.when(F.col("lang").isin(names), F.col("lang")).otherwise(""))
+    fitted = F.col("place") % KEPT != 0
+
+    found = summed(table.select(fitted.alias("fitted"), "label", "text", "lang"), _profile)
+    held = np.concatenate([found.get(f"held {at}", np.zeros((2, BLOCK))).reshape(2, -1) for at in range(0, BUCKETS, BLOCK)], axis=1)
+    rng = np.random.default_rng(SEED)
+    weights = start(log_odds(held, found["labels"]), rng)
+    n_fitted = int(found["labels"].sum())
+    alone = max(4, -(-STEPS // n_fitted))
+    rounds = 1 if n_shards == 1 else ROUNDS
+    for number in range(rounds):
+        def step(weights_: list[np.ndarray], examples: list, shard: int, number: int = number) -> None:
+            if n_shards == 1:
+                descend(weights_, examples, copy.deepcopy(rng), alone, 0, alone)
+            else:
+                descend(weights_, examples, np.random.default_rng([SEED, number, shard]), 1, number, rounds)
+
+        weights = mixed(table.filter(fitted), weights, word_buckets, step)
+    vectors, filters, bias, output, constant = weights
+    model = ToxicityModel(np.tensordot(vectors, filters, 1).astype(np.float32), bias, output.ravel(), float(constant[0]))
+
+    names = [name for name in names if f"lang {name}" in found]
+    model.centres = np.stack([found[f"lang {name}"][1:] / found[f"lang {name}"][0] for name in names])
     model.centres /= np.maximum(1e-9, np.linalg.norm(model.centres, axis=1, keepdims=True))
-    told = np.argmax(vectors @ model.centres.T, axis=1)
-    logits = np.array([float(model.pooled(words_) @ model.output) + model.constant for words_, _ in examples])
-    # the sample has as many of either label as there are; errors count as often as they would in all rows
-    weight = (counts[1] / (marks == 1).sum()) / (counts[0] / (marks == 0).sum())
+    # rows of a label may be more or fewer than its documents; errors count as often as they would in these
+    weight = (counts[1] / kinds[1]) / (counts[0] / kinds[0])
+    cuts = best_cuts(_told(table.filter(~fitted), model), weight, 8)
+    model.thresholds = np.array([cuts.get(i, cuts.get(-1, 0.0)) for i in range(len(names))])
+    return model
 
-    def threshold(rows_: np.ndarray, otherwise: float) -> float:
-        enough = len(rows_) and min((marks[rows_] == 1).sum(), (marks[rows_] == 0).sum()) >= 8
-        return best_threshold(logits[rows_], marks[rows_], weight) if enough else otherwise
 
-    overall = threshold(np.flatnonzero(kept), 0.0)
-    model.thresholds = np.array([threshold(np.flatnonzero(kept & (told == i)), overall) for i in range(len(names))])
-    return model
+def _profile(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums over (fitted, label, text, lang): fitted documents by label, and those that hold each bucket; of all, rows and triples by language."""
+    labels, held, langs = np.zeros(2), np.zeros((2, BUCKETS)), {}
+    for batch in slices(batches):
+        for fitted, label, text, lang in zip(*[column.to_pylist() for column in batch.columns]):
+            if lang not in langs:
+                langs[lang] = np.zeros(1 + LANGUAGE_BUCKETS)
+            langs[lang] += np.concatenate([[1], language_vector(text or "")])
+            if fitted:
+                labels[label] += 1
+                held[label, np.unique(word_buckets(text or ""))] += 1
+    yield sums_of({"labels": labels, **{f"lang {lang}": sums for lang, sums in langs.items()}})
+    for at in range(0, BUCKETS, BLOCK):
+        yield sums_of({f"held {at}": held[:, at: at + BLOCK]})
+
+
+def _told(rows: DataFrame, model: ToxicityModel) -> DataFrame:
+    """label, logit and, as ``group``, the language that the text is told to be in; and each row once more in group -1."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def tell(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts, read = texts_of(batch), shared.value
+        return pa.RecordBatch.from_arrays([
+            batch.column(0), pa.array([read.logit(text) for text in texts], pa.float64()), pa.array([read.language(text) for text in texts], pa.int32()),
+        ], ["label", "logit", "told"])
+
+    told = map_batches(rows.select("label", "text"), tell, "label int, logit double, told int")
+    return told.select("label", "logit", F.explode(F.array("told", F.lit(-1))).alias("group"))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, held_out: tuple[int, int] = (5, 0)) -> DataFrame:
