@@ -104,3 +104,23 @@ def test_statistics_of_other_rows_are_refused(spark, rows, tmp_path):
         training.retrain(rows, f"{tmp_path}/models", n_trees=2, statistics=statistics)
     with pytest.raises(ValueError, match="positive"):
         training.retrain(rows, f"{tmp_path}/models", last_n=0, statistics=statistics)
+
+
+def test_an_addition_reads_its_rows_once(spark, tmp_path):
+    """Both statistics come from one scan of what is added, and of the day that is cut."""
+    read = spark.sparkContext.accumulator(0)
+
+    def passing(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    at = F.timestamp_seconds(F.lit(1_705_276_800) + F.col("id") * 60)
+    rows = spark.range(300).select(
+        F.col("id").cast("double").alias("amount"), F.lit("atm").alias("merchant_category"), F.lit("u").alias("user_id"),
+        F.lit("US").alias("country"), (F.col("id") % 9 == 0).alias("is_anomaly"), at.alias("event_time"))
+    counted = rows.mapInArrow(passing, rows.schema)
+    statistics = DailyStatistics(spark, f"{tmp_path}/kept")
+    assert statistics.add(counted, "all") and read.value == 300
+    state, n_amounts = statistics.state_since(counted, datetime(2024, 1, 15, 1, tzinfo=timezone.utc))
+    assert (state.n_rows, n_amounts, read.value) == (240, 240, 600)

@@ -2,7 +2,7 @@
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from txnwatch.functions.scalar import hour_angle, hour_of, indicator, zscore
 from txnwatch.operators.lookups import hot_keys, lookup
@@ -30,19 +30,18 @@ class FeatureState:
         return spark.createDataFrame([values], FEATURE_STATS)
 
 
+def _log_moments() -> list[Column]:
+    log_amount = F.log1p(F.col("amount").cast("double"))
+    return [F.count("*").alias("n"), F.count(log_amount).alias("n_amount"), F.avg(log_amount).alias("mean"), F.var_pop(log_amount).alias("variance")]
+
+
 def category_moments(df: DataFrame, *groups: str) -> DataFrame:
     """Row count and log-amount moments per category (a NULL category included), and per ``groups`` if given.
 
     One pass over the data serves both the amount statistics and the category
     frequencies; everything after it works on one row per category.
     """
-    log_amount = F.log1p(F.col("amount").cast("double"))
-    return df.groupBy(*groups, "merchant_category").agg(
-        F.count("*").alias("n"),
-        F.count(log_amount).alias("n_amount"),
-        F.avg(log_amount).alias("mean"),
-        F.var_pop(log_amount).alias("variance"),
-    )
+    return df.groupBy(*groups, "merchant_category").agg(*_log_moments())
 
 
 def merged_moments(parts: DataFrame, *groups: str) -> DataFrame:
@@ -99,15 +98,33 @@ def merchant_frequency(moments: DataFrame, n_categorised: int) -> DataFrame:
     )
 
 
-def normal_country_counts(df: DataFrame, *groups: str) -> DataFrame:
-    """Rows not labelled anomalous per user and country, and per ``groups`` if given; none if either column is absent."""
+def _with_places(df: DataFrame) -> tuple[DataFrame, Column]:
+    """``df`` with user and country, and whether a row has both and is not labelled anomalous; none does if either column is absent."""
     if not {"user_id", "country"} <= set(df.columns):
         df = df.withColumns({"user_id": F.lit(None).cast("string"), "country": F.lit(None).cast("string")})
     normal = F.lit(True)
     if "is_anomaly" in df.columns:
         normal = ~F.coalesce("is_anomaly", F.lit(False))
-    known = df.filter(normal & F.col("user_id").isNotNull() & F.col("country").isNotNull())
-    return known.groupBy(*groups, "user_id", "country").agg(F.count("*").alias("n"))
+    return df, normal & F.col("user_id").isNotNull() & F.col("country").isNotNull()
+
+
+def normal_country_counts(df: DataFrame, *groups: str) -> DataFrame:
+    """Rows not labelled anomalous per user and country, and per ``groups`` if given; none if either column is absent."""
+    df, counts = _with_places(df)
+    return df.filter(counts).groupBy(*groups, "user_id", "country").agg(F.count("*").alias("n"))
+
+
+def moments_and_counts(df: DataFrame, *groups: str) -> tuple[DataFrame, DataFrame]:
+    """:func:`category_moments` and :func:`normal_country_counts` of one scan, whose groups are stored."""
+    df, counts = _with_places(df)
+    moments = [*groups, "merchant_category"]
+    rows = df.select(*moments, "amount", "user_id", "country", counts.alias("_counts"))
+    both = rows.groupingSets([[F.col(name) for name in moments], [F.col(name) for name in (*groups, "user_id", "country")]], *moments, "user_id", "country")
+    parts = materialize(both.agg(
+        *_log_moments(), F.count_if("_counts").alias("_n_normal"), (F.grouping("merchant_category") == 0).alias("_is_moments")), "moments-and-counts")
+    countries = parts.filter(~F.col("_is_moments") & (F.col("_n_normal") > 0))
+    return (parts.filter("_is_moments").select(*moments, "n", "n_amount", "mean", "variance"),
+            countries.select(*groups, "user_id", "country", F.col("_n_normal").alias("n")))
 
 
 def merged_counts(parts: DataFrame, *groups: str) -> DataFrame:

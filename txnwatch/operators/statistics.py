@@ -21,7 +21,7 @@ from datetime import date, datetime, time, timedelta, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from txnwatch.operators.features import (
-    FeatureState, category_moments, merged_counts, merged_moments, normal_country_counts, state_from,
+    FeatureState, merged_counts, merged_moments, moments_and_counts, state_from,
 )
 from txnwatch.operators.ordering import value_at
 from txnwatch.session import materialize, require_utc
@@ -51,7 +51,7 @@ class DailyStatistics:
         if merged and self.spark.read.schema("name string").parquet(f"{self.root}/{merged}/names").filter(F.col("name") == name).take(1):
             return False
         timed = rows.filter(F.col("event_time").isNotNull()).withColumn("day", day_of())
-        self._write(name, category_moments(timed, "day"), normal_country_counts(timed, "day"), merged=False)
+        self._write(name, *moments_and_counts(timed, "day"), merged=False)
         return True
 
     def compact(self) -> int:
@@ -70,9 +70,9 @@ class DailyStatistics:
         for table, rows in (("moments", moments), ("countries", countries)):
             schema, key = TABLES[table]
             columns = [part.split()[0] for part in schema.split(", ")]
-            # Written first, as a range shuffle looks at its input twice; in order of days, so that a scan from some
-            # day on skips the files before it.
-            rows = materialize(rows.select(*columns), f"daily-{table}")
+            # In order of days, so that a scan from some day on skips the files before it. A range shuffle looks at its
+            # input twice; that of an addition is stored already.
+            rows = materialize(rows.select(*columns), f"daily-{table}") if merged else rows.select(*columns)
             rows.repartitionByRange("day", key).sortWithinPartitions("day", key).write.parquet(f"{self.root}/{attempt}/{table}")
         if names is not None:
             names.write.parquet(f"{self.root}/{attempt}/names")
@@ -119,6 +119,6 @@ class DailyStatistics:
             if is_cut:
                 cut = rows.filter((F.col("event_time") >= F.lit(first)) & (F.col("event_time") < F.lit(midnight + timedelta(days=1))))
                 cut = cut.withColumn("day", F.lit(day))
-                moments = moments.unionByName(category_moments(cut, "day"))
-                countries = countries.unionByName(normal_country_counts(cut, "day"))
+                cut_moments, cut_countries = moments_and_counts(cut, "day")
+                moments, countries = moments.unionByName(cut_moments), countries.unionByName(cut_countries)
         return state_from(merged_moments(moments), merged_counts(countries))
