@@ -226,7 +226,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, per_l
             else:
                 descend(weights_, examples, np.random.default_rng([SEED, number, shard]), 1, number, rounds)
 
-        weights = mixed(table.filter(fitted), weights, word_buckets, step)
+        weights = mixed(table.filter(fitted), weights, word_buckets, step, np.float64 if n_shards == 1 else np.float32)
     vectors, filters, bias, output, constant = weights
     model = ToxicityModel(np.tensordot(vectors, filters, 1).astype(np.float32), bias, output.ravel(), float(constant[0]))
 
