@@ -31,6 +31,20 @@ def test_whole_texts_are_learned_from(spark):
     assert held[:, spam].tolist() == [0, 3] and held[:, ham].tolist() == [3, 0] and kinds == {0: 3, 1: 3} and n_shards == 1
 
 
+@pytest.mark.parametrize("module,read", [(subword, lambda model: -model.bias), (convolution, lambda model: model.constant + 1)])
+def test_every_row_is_passed_as_often_whatever_the_shards(spark, module, read, monkeypatch):
+    """Each shard adds the passes it is asked for to the bias, so the average of the shards is how often rows are learned from."""
+    def count_passes(weights, examples, rng, epochs, first, last):
+        weights[2 if len(weights) == 3 else 4][0] += epochs
+
+    monkeypatch.setattr(convolution, "STEPS", 2000)
+    monkeypatch.setattr(module, "descend", count_passes)
+    rows = spark.range(400).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), "id").alias("text"), (F.col("id") % 2).cast("int").alias("label"))
+    alone = read(module.learn(rows.drop("label"), rows, "label", F.lit(True)))
+    monkeypatch.setattr(labelled, "SHARD_ROWS", 50)
+    assert alone >= 4 and read(module.learn(rows.drop("label"), rows, "label", F.lit(True))) == pytest.approx(alone)
+
+
 @pytest.mark.parametrize("run,label", [(subword.quality, "quality"), (convolution.toxicity, "toxic")])
 def test_averaged_shards_tell_held_out_rows(spark, monkeypatch, run, label):
     monkeypatch.setattr(labelled, "SHARD_ROWS", 700)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from txnwatch.llm.common import map_batches, slices, texts_of
-from txnwatch.llm.labelled import BLOCK, best_cuts, in_shards, label_counts, mixed, remainder, summed, sums_of
+from txnwatch.llm.labelled import BLOCK, best_cuts, in_shards, label_counts, mixed, remainder, sample, summed, sums_of
 from txnwatch.llm.subword import predictions
 from txnwatch.llm.words import Runs, runs_where, stretches
 
@@ -36,8 +36,8 @@ VIEWS = 1 + len(BEGINNINGS)
 SMOOTHING = 4
 #: Steps of training at least.
 STEPS = 12_000
-#: Rounds over all rows where there are several shards, in each of which every shard is learned from once.
-ROUNDS, SEED = 2, 5
+#: Passes over every row at least, however many shards there are; changes of several shards are averaged so often.
+PASSES, SEED = 4, 5
 #: Languages with fewer than one row in so many count as none, so there are never more than that.
 COMMON = 1000
 #: Buckets of byte triples by which languages are told apart; of each label, one in so many rows sets thresholds.
@@ -202,7 +202,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, per_l
     clean, counts = label_counts(labels, label, allowed)
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
     docs = docs.filter(allowed).select("doc_id", "text", F.coalesce(lang, F.lit("")).alias("lang"))
-    table, n_shards, kinds = in_shards(docs, clean, per_label)
+    table, n_shards, kinds = in_shards(sample(docs, clean, per_label).drop("label") if per_label else docs, clean)
     n_rows = sum(kinds.values())
     if len(kinds) < 2:
         prior = math.log((counts.get(1, 0) + 1) / (counts.get(0, 0) + 1)) if counts else 0.0
@@ -217,14 +217,15 @@ def learn(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, per_l
     rng = np.random.default_rng(SEED)
     weights = start(log_odds(held, found["labels"]), rng)
     n_fitted = int(found["labels"].sum())
-    alone = max(4, -(-STEPS // n_fitted))
-    rounds = 1 if n_shards == 1 else ROUNDS
+    passes = max(PASSES, -(-STEPS // n_fitted))
+    rounds = 1 if n_shards == 1 else PASSES
     for number in range(rounds):
         def step(weights_: list[np.ndarray], examples: list, shard: int, number: int = number) -> None:
             if n_shards == 1:
-                descend(weights_, examples, copy.deepcopy(rng), alone, 0, alone)
+                descend(weights_, examples, copy.deepcopy(rng), passes, 0, passes)
             else:
-                descend(weights_, examples, np.random.default_rng([SEED, number, shard]), 1, number, rounds)
+                done, upto = number * passes // rounds, (number + 1) * passes // rounds
+                descend(weights_, examples, np.random.default_rng([SEED, number, shard]), upto - done, done, passes)
 
         weights = mixed(table.filter(fitted), weights, word_buckets, step, np.float64 if n_shards == 1 else np.float32)
     vectors, filters, bias, output, constant = weights
