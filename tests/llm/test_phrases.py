@@ -62,6 +62,22 @@ def test_phrases_equal_plain_counting(spark, monkeypatch, small, seed):
     assert sorted(map(tuple, got.collect()), key=str) == want and len({row[0] for row in want}) >= 4
 
 
+def test_counts_in_ranges_and_ranks_in_parts(spark, monkeypatch):
+    """Tasks hand on a row a range, however many groups it holds, and a language is ranked from the first of its parts."""
+    texts = made(3, 200)
+    for name, value in (("COUNTED", 200), ("COUNTED_BYTES", 1000), ("RANGE", 64), ("RANKED", 3)):
+        monkeypatch.setattr(setm, name, value)  # many counts of a task, sums on the way
+    found = setm.collocations(rows(spark, texts).repartition(5), 4, LONGEST, 7)
+    assert sorted(map(tuple, found.collect()), key=str) == plain(texts, 4, 7)
+
+
+def test_groups_that_occur_often_are_counted_in_arrays(spark):
+    relation = spark.createDataFrame([(0, 4, setm.np.array(words, "<i4").tobytes(), None) for words in ([0, 1, 0, 1], [1, 0, 1, -1], [2, 2, 2, 2])] * 3, setm.RELATION)
+    counts = setm.phrase_counts(relation.repartition(2), 2, 3, 3, ("<i4", "<i4"), 6, 4)
+    assert sorted(map(tuple, counts.collect())) == [(1, 9), (3, 6), (8, 9)]
+    assert counts._jdf.queryExecution().executedPlan().toString().count("HashAggregate") == 0
+
+
 def test_a_long_text_without_an_end_is_many_rows(spark):
     texts = [(" ".join(f"w{i % 7}" for i in range(20_000)), "en"), ("word" * 300_000, "en")]
     docs = rows(spark, texts)

@@ -10,8 +10,9 @@ A row of a stored relation is a stretch of ``STRETCH`` positions in order, with
 words that follow it, so a merge-join is one pass over two sorted runs and moves
 nothing. The end of a piece takes a position of its own that no phrase crosses; texts
 of any length are many rows. Only groups with their counts are shuffled, counted per
-task before that. Frequent groups have dense numbers, so a longer phrase is one number
-made of its first part's and its last word's.
+task before that, and in ranges: a row holds all groups of a task that lie in one
+range of numbers, so what is sorted and added up is arrays. Frequent groups have dense
+numbers, so a longer phrase is one number made of its first part's and its last word's.
 
 A table of frequent groups of at most ``SMALL`` rows and ``SMALL_BYTES`` is sent to the
 tasks for the semi-join. A larger one is joined with the distinct groups of each block
@@ -43,21 +44,26 @@ STRETCH, BLOCK = 512, 1024
 CODEC = "zstd"
 #: Bytes of texts that are cut into words at a time.
 TEXTS = 1 << 21
+#: Positions whose phrases are counted before they are sent, bytes of words likewise, and groups that are added up in a range, about.
+COUNTED, COUNTED_BYTES, RANGE = 1 << 22, 1 << 25, 1 << 21
 #: The largest table of frequent groups that is sent to the tasks, in rows and bytes of words.
-SMALL, SMALL_BYTES = 1_000_000, 1 << 25
+SMALL, SMALL_BYTES = 1 << 22, 1 << 25
+#: Parts in which a language's phrases are ranked before the best of each are ranked together.
+RANKED = 32
 #: Stands where a piece ends. It separates pieces, so it is no word.
 END = "."
-_ENDS = "[.,;:!?\\n-\\r]"
+#: Capitals become small, tabs blanks, and what ends a piece ``END``.
+_BYTES = bytes.maketrans(f"{string.ascii_uppercase}\t,;:!?\n\v\f\r".encode(), f"{string.ascii_lowercase} {END * 9}".encode())
 
 RELATION = "block long, own int, words binary, groups binary"
 
 
-def words_in_pieces(texts: pa.Array) -> pa.Array:
+def words_in_pieces(texts: pa.Array) -> list[bytes]:
     """Words of all texts in order, ``END`` after each piece."""
-    texts = pc.replace_substring(pc.ascii_lower(pc.fill_null(texts, "")), "\t", " ")
-    texts = pc.binary_join_element_wise(pc.replace_substring_regex(texts, _ENDS, f" {END} "), END, " ")
-    words = pc.split_pattern(pc.cast(texts, pa.large_string()), " ").flatten()
-    return words.filter(pc.not_equal(words, ""))
+    end = END.encode()
+    pieces = b"".join(text + end for text in pc.cast(pc.fill_null(texts, ""), pa.large_binary()).to_pylist()).translate(_BYTES)
+    # blanks are all the white space that is left
+    return pieces.replace(end, b" %s " % end).split()
 
 
 def stretches(docs: DataFrame, longest: int) -> DataFrame:
@@ -69,10 +75,10 @@ def stretches(docs: DataFrame, longest: int) -> DataFrame:
         for batch in slices_by_size(batches, size=TEXTS):
             rows = []
             for lang in pc.unique(batch.column(0)):
-                words = words_in_pieces(batch.filter(pc.equal(batch.column(0), lang)).column(1)).to_pylist()
+                words = words_in_pieces(batch.filter(pc.equal(batch.column(0), lang)).column(1))
                 for start in range(0, len(words), STRETCH):
                     own = min(STRETCH, len(words) - start)
-                    rows.append((next(block), lang.as_py(), own, " ".join(words[start: start + own + longest - 1])))
+                    rows.append((next(block), lang.as_py(), own, b" ".join(words[start: start + own + longest - 1])))
             yield pa.RecordBatch.from_pylist([dict(zip(("block", "lang", "own", "words"), row)) for row in rows], _STRETCHES)
 
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
@@ -96,15 +102,25 @@ def _per_lang(batch: pa.RecordBatch) -> Iterator[tuple[str, np.ndarray, pa.Dicti
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
-    """lang, word, n: counted per few stretches, to be summed."""
+    """lang, word, n: counted per some ``COUNTED_BYTES``, to be summed."""
+
+    def total(held: list[pa.Table]) -> list[pa.RecordBatch]:
+        found = pa.concat_tables(held).group_by(["lang", "word"], use_threads=False).aggregate([("n", "sum")])
+        return pa.table({"lang": found["lang"], "word": found["word"], "n": found["n_sum"]}).to_batches(1 << 16)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
         for batch in batches:
             for lang, _, words, _, mine in _per_lang(batch):
                 n = np.bincount(np.asarray(words.indices, np.int64)[mine], minlength=len(words.dictionary))
                 seen = pa.array((n > 0) & np.asarray(pc.not_equal(words.dictionary, END)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * pc.sum(seen).as_py() if pc.any(seen).as_py() else [], pa.string()), words.dictionary.filter(seen).cast(pa.string()), pa.array(n).filter(seen)], ["lang", "word", "n"])
+                known = words.dictionary.filter(seen).cast(pa.string())
+                held.append(pa.table({"lang": pa.repeat(pa.scalar(lang, pa.string()), len(known)), "word": known, "n": pa.array(n).filter(seen)}))
+            if sum(table.nbytes for table in held) > COUNTED_BYTES:
+                yield from total(held)
+                held = []
+        if held:
+            yield from total(held)
 
     return few_rows_at_a_time(texts).mapInArrow(run, "lang string, word string, n long")
 
@@ -155,18 +171,71 @@ def _joined(batch: pa.RecordBatch, length: int, n_words: int, kinds: tuple[str,
     return groups[live] * n_words + words[place[live] + length - 1], live, words, first, starts
 
 
-def phrase_counts(relation: DataFrame, length: int, n_words: int, kinds: tuple[str, str], by_block: bool = False) -> DataFrame:
-    """key, n of phrases of ``length`` words, counted per few stretches; by block, key and block alone."""
+def _added(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ``keys``, ascending, and the sum of each one's ``n``."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[:len(keys)])
+    return keys[first], np.add.reduceat(n[order], first) if len(first) else n
+
+
+def phrase_counts(relation: DataFrame, length: int, n_left: int, n_words: int, kinds: tuple[str, str], min_count: int, ranges: int) -> DataFrame:
+    """key, a of phrases of ``length`` words that occur ``min_count`` times, of ``n_left`` first parts; counted in ``ranges`` of keys, a row a task and range."""
+    width = -(-n_left * n_words // ranges)
+    kind = _kind(width)
+
+    def rows(held: list[np.ndarray]) -> pa.RecordBatch:
+        keys, n = np.unique(np.concatenate(held), return_counts=True)
+        part = keys // width
+        first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])[:len(part)])
+        cuts = np.append(first, len(keys))
+        return pa.RecordBatch.from_arrays([pa.array(part[first]), _packed(keys - part * width, cuts, kind), _packed(n, cuts, "<i4")], ["part", "keys", "n"])
+
+    def count_(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
+        for batch in batches:
+            held.append(_joined(batch, length, n_words, kinds)[0])
+            if sum(map(len, held)) >= COUNTED:
+                yield rows(held)
+                held = []
+        if held:
+            yield rows(held)
+
+    def often(part: int, held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        keys, a = _added(*map(np.concatenate, zip(*held)))
+        return pa.RecordBatch.from_arrays([pa.array(keys[a >= min_count] + part * width), pa.array(a[a >= min_count])], ["key", "a"])
+
+    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, size = None, [], 0
+        for batch in batches:
+            for part, keys, n in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                if held and part != now:
+                    yield often(now, held)
+                    held, size = [], 0
+                now = part
+                held.append((np.frombuffer(keys.as_buffer(), kind).astype(np.int64), np.frombuffer(n.as_buffer(), "<i4").astype(np.int64)))
+                size += len(held[-1][0])
+                if size > 2 * RANGE and size > 2 * len(held[0][0]):
+                    held = [_added(*map(np.concatenate, zip(*held)))]
+                    size = len(held[0][0])
+        if held:
+            yield often(now, held)
+
+    sent = few_rows_at_a_time(relation).mapInArrow(count_, "part long, keys binary, n binary")
+    return sent.repartition(ranges, "part").sortWithinPartitions("part").mapInArrow(add, "key long, a long")
+
+
+def phrase_blocks(relation: DataFrame, length: int, n_words: int, kinds: tuple[str, str]) -> DataFrame:
+    """key, block of phrases of ``length`` words, distinct per few stretches."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cuts = [len(list(rows)) for _, rows in groupby(batch.column("block").to_pylist())] if by_block else [batch.num_rows]
+            cuts = [len(list(rows)) for _, rows in groupby(batch.column("block").to_pylist())]
             for start, rows in zip(np.cumsum([0, *cuts]).tolist(), cuts):
-                keys, n = np.unique(_joined(batch.slice(start, rows), length, n_words, kinds)[0], return_counts=True)
-                block = np.full(len(keys), batch.column("block")[start].as_py() if rows else 0)
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(block if by_block else n)], ["key", "block" if by_block else "n"])
+                keys = np.unique(_joined(batch.slice(start, rows), length, n_words, kinds)[0])
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(len(keys), batch.column("block")[start].as_py()))], ["key", "block"])
 
-    return few_rows_at_a_time(relation).mapInArrow(run, "key long, block long" if by_block else "key long, n long")
+    return few_rows_at_a_time(relation).mapInArrow(run, "key long, block long")
 
 
 def _longer(batch: pa.RecordBatch, length: int, longest: int, n_words: int, kinds: tuple[str, str], keys: np.ndarray, ids: np.ndarray, kind: str) -> pa.RecordBatch:
@@ -192,12 +261,11 @@ def _first_relation(texts: DataFrame, frequent: DataFrame, kind: str, small: int
     if size[0] <= small and size[1] <= SMALL_BYTES:
         table = frequent.select("lang", "word", "id").toArrow()
         sent = texts.sparkSession.sparkContext.broadcast({lang.as_py(): (
-            (own := table.filter(pc.equal(table["lang"], lang)).combine_chunks())["word"].to_pylist(), own["id"].to_numpy()) for lang in pc.unique(table["lang"])})
+            pa.array((own := table.filter(pc.equal(table["lang"], lang)))["word"].to_pylist(), pa.large_string()), np.append(own["id"].to_numpy(), -1)) for lang in pc.unique(table["lang"])})
 
         def ids_of(lang: str, words: pa.Array) -> np.ndarray:
-            known, ids = sent.value.get(lang, ([], np.empty(0, np.int64)))
-            at = np.asarray(pc.fill_null(pc.index_in(words, pa.array(known, pa.large_string())), -1))
-            return np.concatenate([ids, [-1]])[at]
+            known, ids = sent.value.get(lang, (pa.array([], pa.large_string()), np.array([-1])))
+            return ids[np.asarray(pc.fill_null(pc.index_in(words, known), -1))]
 
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -224,8 +292,9 @@ _RELATION = pa.schema([("block", pa.int64()), ("own", pa.int32()), ("words", pa.
 def _next_relation(relation: DataFrame, frequent: DataFrame, n_frequent: int, length: int, longest: int, n_words: int, kinds: tuple[str, str], small: int) -> DataFrame:
     kind = _kind(n_frequent)
     if n_frequent <= small:
-        table = frequent.select("key", "id").orderBy("key").toArrow()
-        sent = relation.sparkSession.sparkContext.broadcast((table["key"].to_numpy(), table["id"].to_numpy()))
+        table = frequent.select("key", "id").toArrow()
+        order = np.argsort(table["key"].to_numpy())
+        sent = relation.sparkSession.sparkContext.broadcast((table["key"].to_numpy()[order], table["id"].to_numpy()[order].astype(kind)))
 
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -233,7 +302,7 @@ def _next_relation(relation: DataFrame, frequent: DataFrame, n_frequent: int, le
 
         return few_rows_at_a_time(relation).mapInArrow(run, RELATION)
 
-    known = phrase_counts(relation, length, n_words, kinds, by_block=True).distinct().join(frequent.select("key", "id"), "key")
+    known = phrase_blocks(relation, length, n_words, kinds).distinct().join(frequent.select("key", "id"), "key")
     known = known.select(F.col("block").alias("_block"), F.col("key").alias("_key"), F.col("id").alias("_id"))
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -254,13 +323,13 @@ def frequent_phrases(docs: DataFrame, min_count: int = 100, longest: int = 5, sm
     totals = counts.groupBy("lang").agg(F.sum("a").alias("n"))
     frequent = numbered(counts.filter(F.col("word").isNotNull()))
     words = frequent.select("id", "lang", "a", F.array("word").alias("words"))
-    n_words = max(1, frequent.count())
+    n_words = n_frequent = max(1, frequent.count())
+    ranges = max(1, (totals.agg(F.sum("n")).first()[0] or 0) // RANGE)
     kinds = _kind(n_words), _kind(n_words)
     relation = materialize(_first_relation(texts, frequent, kinds[0], small), "relation-1", CODEC)
     levels = [words]
     for length in range(2, longest + 1):
-        counts = phrase_counts(relation, length, n_words, kinds).groupBy("key").agg(F.sum("n").alias("a"))
-        frequent = numbered(counts.filter(F.col("a") >= min_count))
+        frequent = numbered(phrase_counts(relation, length, n_frequent, n_words, kinds, min_count, ranges))
         n_frequent = frequent.count()
         if not n_frequent:
             break
@@ -301,8 +370,11 @@ def collocations(docs: DataFrame, min_count: int = 100, longest: int = 5, first:
     score = F.expr("(cast(1000 as decimal(4,0)) * cast(a as decimal(17,0)) * cast(n as decimal(17,0))) div (cast(l as decimal(17,0)) * cast(r as decimal(17,0)))")
     weakest = cuts.groupBy("lang", "phrase", "a", "n").agg(F.min(F.struct(score.alias("score"), "k", "l", "r")).alias("cut"))
     rows = weakest.select("lang", "phrase", "a", "cut.l", "cut.r", "n", "cut.score")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= first)
+    # no phrase is among a language's first that isn't among the first of its part
+    order, some = [F.desc("score"), F.desc("a"), "phrase"], F.pmod(F.xxhash64("phrase"), F.lit(RANKED))
+    rows = rows.withColumn("_part", some)
+    rows = rows.withColumn("_place", F.row_number().over(Window.partitionBy("lang", "_part").orderBy(*order))).filter(F.col("_place") <= first)
+    ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("rank") <= first)
     return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
